@@ -153,7 +153,7 @@ def _sql_string(text: str) -> str:
 def learn_merges(
     counts: DataFrame,
     limit: int,
-    rounds_per_epoch: int = 16,
+    rounds_per_epoch: int = 12,
     candidates: int = 256,
     words_per_task: int = 200_000,
     known: set[bytes] = frozenset(),
