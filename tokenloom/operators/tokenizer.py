@@ -66,8 +66,8 @@ class Tokenizer:
 def ids_of_tokens(tokenizer: Tokenizer, tokens: Column) -> Column:
     """``array<string>`` of tokens to the ``array<int>`` of their ids. Narrow: no shuffle, no join."""
     if len(tokenizer.merges) <= EXPRESSION_MERGES and tokenizer.rank_order_is_exact():
-        return _ids_by_expression(tokenizer, tokens)
-    return _ids_by_arrow(tokenizer)(tokens)
+        return ids_by_expression(tokenizer, tokens)
+    return ids_by_arrow(tokenizer)(tokens)
 
 
 def encode(tokenizer: Tokenizer, text: Column) -> Column:
@@ -75,7 +75,7 @@ def encode(tokenizer: Tokenizer, text: Column) -> Column:
     return ids_of_tokens(tokenizer, tx.tokens(text, tokenizer.specials))
 
 
-def _ids_by_expression(tokenizer: Tokenizer, tokens: Column) -> Column:
+def ids_by_expression(tokenizer: Tokenizer, tokens: Column) -> Column:
     table = sym.SymbolTable()
     rules = [table.merge_rule(left, right) for left, right in tokenizer.merges]
     ids = sym.string_table([str(tokenizer.ids.get(token, "")) for token in table.tokens])
@@ -122,7 +122,7 @@ def merge_word(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes
     return [part for part in parts if part is not None]
 
 
-def _ids_by_arrow(tokenizer: Tokenizer):
+def ids_by_arrow(tokenizer: Tokenizer):
     """Arrow function from lists of tokens to lists of ids.
 
     Each batch is reduced to its distinct tokens by Arrow; only words the task has not

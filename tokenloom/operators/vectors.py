@@ -109,6 +109,21 @@ def group_softmax(
     return found.withColumn(out, weight).drop("score_value", "top", "denominator")
 
 
+def _partials(batch: pa.Scalar, q_ids: np.ndarray, scores: np.ndarray, v: np.ndarray) -> pa.Table:
+    top = scores.max(axis=1) if len(q_ids) else np.zeros(0)
+    weights = np.exp(scores - top[:, None])
+    pooled = weights @ v if len(q_ids) else np.zeros((0, v.shape[1]))
+    return pa.table(
+        {
+            "batch": pa.array([batch.as_py()] * len(q_ids), batch.type),
+            "q_id": pa.array(q_ids, pa.int64()),
+            "top": pa.array(top, pa.float64()),
+            "mass": pa.array(weights.sum(axis=1), pa.float64()),
+            "pooled": _lists_of(pooled),
+        }
+    )
+
+
 Mask = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -127,7 +142,10 @@ def attention_pool(
     (maximum, sum of weights, weighted sum) per key block. So a batch of any size is
     spread over many tasks, each holding two blocks.
     """
-    def blocked(rows: DataFrame, row_id: str, count: str, number: str) -> DataFrame:
+    queries = queries.withColumn("q_id", F.col("q_id").cast("long"))
+    keys = keys.withColumn("k_id", F.col("k_id").cast("long"))
+
+    def blocked(rows: DataFrame, row_id: str, count: str, number: str) -> tuple[DataFrame, DataFrame]:
         # The number of blocks follows from the batch's row count.
         counts = rows.groupBy("batch").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(count))
         found = lookup_join(rows, counts, "batch", F.col(row_id), 1, broadcast_values=broadcast_values)
@@ -143,43 +161,23 @@ def attention_pool(
     )
     scale = float(width) ** 0.5
 
-    def partial(left: pa.Table, right: pa.Table) -> pa.Table:
+    def partial(cell: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
-            return None
+            return _partials(cell[0], np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros((0, 1)))
         q, k = (_rows_of(t.column(n).combine_chunks(), width) for t, n in ((left, "q"), (right, "k")))
-        v_width = right.column("v").combine_chunks().value_lengths()[0].as_py()
-        v = _rows_of(right.column("v").combine_chunks(), v_width)
-        scores = q @ k.T
+        v = right.column("v").combine_chunks()
+        v = _rows_of(v, v.value_lengths()[0].as_py())
         q_ids, k_ids = left.column("q_id").to_numpy(), right.column("k_id").to_numpy()
+        scores = q @ k.T
         if mask is not None:
             scores = np.where(mask(q_ids[:, None], k_ids[None, :]), scores, -np.inf)
-        scores = scores / scale
         seen = np.isfinite(scores).any(axis=1)
-        scores, kept = scores[seen], left.filter(pa.array(seen))
-        top = scores.max(axis=1) if len(scores) else np.zeros(0)
-        weights = np.exp(scores - top[:, None])
-        return pa.table(
-            {
-                "batch": kept.column("batch"),
-                "q_id": kept.column("q_id"),
-                "top": pa.array(top),
-                "mass": pa.array(weights.sum(axis=1)),
-                "pooled": _lists_of(weights @ v),
-            }
-        )
-
-    def partial_or_empty(left: pa.Table, right: pa.Table) -> pa.Table:
-        result = partial(left, right)
-        return schema.empty_table() if result is None else result
+        return _partials(cell[0], q_ids[seen], scores[seen] / scale, v)
 
     batch_type = queries.schema["batch"].dataType.simpleString()
-    id_type = queries.schema["q_id"].dataType.simpleString()
-    ddl = f"batch {batch_type}, q_id {id_type}, top double, mass double, pooled array<double>"
-    from pyspark.sql.pandas.types import to_arrow_schema  # the Arrow form of the result schema
-
-    schema = to_arrow_schema(queries.sparkSession.createDataFrame([], ddl).schema)
+    ddl = f"batch {batch_type}, q_id bigint, top double, mass double, pooled array<double>"
     cell = ["batch", "q_block", "k_block"]
-    partials = q_side.groupBy(*cell).cogroup(k_side.groupBy(*cell)).applyInArrow(partial_or_empty, ddl)
+    partials = q_side.groupBy(*cell).cogroup(k_side.groupBy(*cell)).applyInArrow(partial, ddl)
 
     # One partial per key block and query: put on a common maximum and added.
     gathered = partials.groupBy("batch", "q_id").agg(
