@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 SURROGATES_START, SURROGATES_SIZE = 0xD800, 0x800
 MAX_SYMBOLS = 1_000_000
-_SEPARATOR = "\U0010ffff"
+# Not a symbol: beyond the last one, and not a character that text should contain.
+SEPARATOR = "\U0010ffff"
 
 
 def symbol(index: int) -> str:
@@ -20,8 +21,10 @@ def symbol(index: int) -> str:
     return chr(index if index < SURROGATES_START else index + SURROGATES_SIZE)
 
 
-def symbol_index(character: Column) -> Column:
+def symbol_index(character: Column, n_symbols: int = MAX_SYMBOLS) -> Column:
     code = F.ascii(character)
+    if n_symbols <= SURROGATES_START:
+        return code
     return F.when(code < SURROGATES_START, code).otherwise(code - SURROGATES_SIZE)
 
 
@@ -52,7 +55,7 @@ class SymbolTable:
 
 def string_table(strings: list[str]) -> Column:
     """A constant array built from one literal; the optimizer folds the split away."""
-    return F.split(F.lit(_SEPARATOR.join(strings)), _SEPARATOR, -1)
+    return F.split(F.lit(SEPARATOR.join(strings)), SEPARATOR, -1)
 
 
 def base_word(token: Column) -> Column:

@@ -17,7 +17,9 @@ from tokenloom.functions import symbols as sym
 from tokenloom.functions import text as tx
 
 # Merges up to this number are applied by Spark expressions, more by an Arrow function.
-EXPRESSION_MERGES = 64
+EXPRESSION_MERGES = 32
+# Words up to this many bytes are merged by rescanning, longer ones with a queue.
+_SHORT_WORD = 48
 # A decode table is a constant array up to this id; beyond it decoding is a join.
 DENSE_IDS = 2_000_000
 _WORD_CACHE = 500_000
@@ -76,27 +78,73 @@ def encode(tokenizer: Tokenizer, text: Column) -> Column:
 
 
 def ids_by_expression(tokenizer: Tokenizer, tokens: Column) -> Column:
+    """All tokens of a row are merged at once: fenced by a separator and joined to one string.
+
+    A merge is then one ``replace`` per row instead of one per token, and it cannot cross
+    a fence. Rows that hold the separator character themselves are merged token by token.
+    """
     table = sym.SymbolTable()
     rules = [table.merge_rule(left, right) for left, right in tokenizer.merges]
-    ids = sym.string_table([str(tokenizer.ids.get(token, "")) for token in table.tokens])
+    fence = sym.SEPARATOR
+    fence_bytes = fence.encode("utf-8").decode("latin-1")
+
+    specials = [s.encode("utf-8") for s in tokenizer.specials]
+    singles = [sym.symbol(table.add(whole)) for whole in specials]
+    ids = _ids_of_symbols(tokenizer, table)
+
+    def merged(items: Column) -> Column:
+        fenced = F.concat(F.lit(fence), F.array_join(items, fence + fence), F.lit(fence))
+        row = F.replace(sym.base_word(fenced), F.lit(fence_bytes), F.lit(fence))
+        for whole, single in zip(specials, singles):
+            row = F.replace(row, F.lit(fence + whole.decode("latin-1") + fence), F.lit(fence + single + fence))
+        return F.replace(sym.apply_rules(row, rules), F.lit(fence), F.lit(""))
+
+    def one(token: Column) -> Column:
+        found = ids(sym.apply_rules(sym.base_word(token), rules))
+        for whole in specials:
+            found = F.when(token == whole.decode("utf-8"), F.array(F.lit(tokenizer.ids[whole]))).otherwise(found)
+        return found
+
+    def encoded(items: Column) -> Column:
+        unfenced = F.flatten(F.transform(items, one))
+        is_fenced = F.contains(F.array_join(items, ""), F.lit(fence))
+        return (
+            F.when(F.size(items) == 0, F.array().cast("array<int>"))
+            .when(is_fenced, unfenced)
+            .otherwise(ids(merged(items)))
+        )
+
+    # The lambda binds the tokens, so that they are computed once per row.
+    return F.get(F.transform(F.array(tokens), encoded), F.lit(0))
+
+
+def _ids_of_symbols(tokenizer: Tokenizer, table: sym.SymbolTable):
+    """Column function from a symbol string to ids, one array access per symbol."""
+    known = [tokenizer.ids.get(token, -1) for token in table.tokens]
+    numbers = sym.string_table([str(i) for i in known]).cast("array<int>")
 
     def token_id(character: Column) -> Column:
-        found = F.get(ids, sym.symbol_index(character))
-        return F.when(found != "", found.cast("int")).otherwise(F.raise_error(F.lit("token without an id")))
-
-    def encode_one(token: Column) -> Column:
-        merged = F.transform(sym.characters(sym.apply_rules(sym.base_word(token), rules)), token_id)
-        for special in tokenizer.specials:
-            special_id = tokenizer.ids[special.encode("utf-8")]
-            merged = F.when(token == special, F.array(F.lit(special_id))).otherwise(merged)
-        return merged
+        found = F.get(numbers, sym.symbol_index(character, len(table.tokens)))
+        if -1 in known:
+            found = F.when(found >= 0, found).otherwise(F.raise_error(F.lit("token without an id")).cast("int"))
+        return found
 
-    return F.flatten(F.transform(tokens, encode_one))
+    return lambda word: F.transform(sym.characters(word), token_id)
 
 
 def merge_word(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
     """Repeat: merge the adjacent pair of lowest rank, leftmost first, until none is left."""
     parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
+    if len(parts) <= _SHORT_WORD:
+        worst = float("inf")
+        while len(parts) > 1:
+            found = [ranks.get(pair, worst) for pair in zip(parts, parts[1:])]
+            best = min(found)
+            if best == worst:
+                break
+            at = found.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
     following = list(range(1, len(parts) + 1))
     preceding = list(range(-1, len(parts) - 1))
     end = len(parts)
@@ -129,9 +177,8 @@ def ids_by_arrow(tokenizer: Tokenizer):
     met before run the merge loop, everything else is a vectorized gather.
     """
     ids, specials = tokenizer.ids, frozenset(tokenizer.specials)
-    ranks = {}
-    for rank, pair in enumerate(tokenizer.merges):
-        ranks[pair] = rank
+    # A pair listed twice keeps its last rank.
+    ranks = {pair: rank for rank, pair in enumerate(tokenizer.merges)}
 
     def word_ids(word: str, cache: dict[str, list[int]]) -> list[int]:
         known = cache.get(word)
@@ -174,13 +221,14 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer, token: str = "token") -
     return words.withColumn("ids", ids_of_tokens(tokenizer, F.array(F.col(token))))
 
 
-def _id_table(strings: dict[int, str]) -> Column:
-    return sym.string_table([strings.get(i, "?") for i in range(max(strings) + 1)])
-
-
-def _checked(found: Column) -> Column:
-    known = F.coalesce(found, F.lit("?"))
-    return F.when(known != "?", known).otherwise(F.raise_error(F.lit("unknown token id")))
+def _lookup(tokenizer: Tokenizer, ids: Column) -> Column:
+    """Ids to the hex of their tokens; one array access each."""
+    last = max(tokenizer.vocab, default=-1)
+    hexes = sym.string_table([tokenizer.vocab[i].hex().upper() if i in tokenizer.vocab else "?" for i in range(last + 1)])
+    unknown = F.raise_error(F.lit("unknown token id"))
+    if len(tokenizer.vocab) == last + 1:
+        return F.transform(ids, lambda i: F.coalesce(F.get(hexes, i), unknown))
+    return F.transform(ids, lambda i: F.coalesce(F.nullif(F.get(hexes, i), F.lit("?")), unknown))
 
 
 def decode(tokenizer: Tokenizer, ids: Column) -> Column:
@@ -188,15 +236,12 @@ def decode(tokenizer: Tokenizer, ids: Column) -> Column:
 
     The bytes of a token are one array access away, so decoding neither explodes nor joins.
     """
-    hexes = _id_table({i: token.hex().upper() for i, token in tokenizer.vocab.items()})
-    parts = F.transform(ids, lambda i: _checked(F.get(hexes, i)))
-    return tx.utf8_replace(F.unhex(F.concat_ws("", parts)))
+    return tx.utf8_replace(F.unhex(F.concat_ws("", _lookup(tokenizer, ids))))
 
 
 def decode_each(tokenizer: Tokenizer, ids: Column) -> Column:
     """Each id decoded on its own."""
-    hexes = _id_table({i: token.hex().upper() for i, token in tokenizer.vocab.items()})
-    return F.transform(ids, lambda i: tx.utf8_replace(F.unhex(_checked(F.get(hexes, i)))))
+    return F.transform(_lookup(tokenizer, ids), lambda h: tx.utf8_replace(F.unhex(h)))
 
 
 def decode_documents(encoded: DataFrame, tokenizer: Tokenizer, key: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -38,7 +38,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return src.spread(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def _delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def _delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id")
-    return _table(spark, sf_dir, "conversations").select(key, "text")
+    return src.spread(_table(spark, sf_dir, "conversations").select(key, "text"), "doc_id")
 
 
 def _role_specials(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -389,7 +389,9 @@ def clip_l2_norm(spark, sf_dir):
 
 def _document_stream(spark, sf_dir) -> DataFrame:
     schema = _table(spark, sf_dir, "documents").schema
-    return st.read_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet").select("doc_id", "text")
+    items = st.read_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet").select("doc_id", "text")
+    # The whole stream is one small file here, so its items are spread over the cores.
+    return items.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id")
 
 
 def encode_stream(spark, sf_dir):

@@ -11,6 +11,16 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     return spark.read.format(fmt).options(**options).load(path)
 
 
+def spread(docs: DataFrame, key: str) -> DataFrame:
+    """Spreads a small input over the cores before CPU-heavy work on its texts.
+
+    An input that already has enough splits is left alone, so only inputs smaller than
+    about two file splits per core are ever shuffled.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(2 * cores, key) if docs.rdd.getNumPartitions() < 2 * cores else docs
+
+
 def read_whole_files(spark: SparkSession, path: str, errors: str = "ignore") -> DataFrame:
     """``path, text``: one row per file, read as bytes so that newlines stay as they are."""
     repair = {"ignore": tx.utf8_ignore, "replace": tx.utf8_replace}[errors]
