@@ -1,0 +1,77 @@
+import random
+
+import pytest
+from brute import train
+
+from tokenloom.functions.symbols import SymbolTable
+from tokenloom.operators import vocab as vb
+from tokenloom.operators import words as wd
+from tokenloom.plans.train import safe_prefix, train_bpe
+
+EOT = "<|endoftext|>"
+
+
+def corpus(seed, alphabet, n):
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 9))) for _ in range(30)) for _ in range(n)]
+
+
+def learned(trained):
+    return [(bytes.fromhex(r.left_hex), bytes.fromhex(r.right_hex)) for r in trained.merges.orderBy("rank").collect()]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdé", "the quick brown"])
+def test_merges_equal_one_by_one_training(spark, alphabet):
+    texts = corpus(3, alphabet, 6) + ["aaaa aaaaa aaa", f"x{EOT}y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trained = train_bpe(docs, 257 + 40, [EOT], rounds_per_epoch=4, candidates=16)
+    expected = train(texts, 40, [EOT])
+    assert learned(trained) == expected
+    vocab = {r.token_id: bytes(r.token) for r in trained.vocab.collect()}
+    assert vocab[256] == EOT.encode() and [vocab[257 + i] for i in range(len(expected))] == [a + b for a, b in expected]
+
+
+def test_stops_when_no_pair_is_left(spark):
+    docs = spark.createDataFrame([(0, "ab ab")], "doc_id long, text string")
+    assert learned(train_bpe(docs, 400)) == train(["ab ab"], 144) == [(b"a", b"b"), (b" ", b"ab")]
+
+
+def test_degenerate_corpora(spark):
+    empty = spark.createDataFrame([(0, "")], "doc_id long, text string")
+    trained = train_bpe(empty, 300, [EOT])
+    assert trained.vocab.count() == trained.merges.count() == 0
+    docs = spark.createDataFrame([(0, "some words")], "doc_id long, text string")
+    trained = train_bpe(docs, 100, [EOT])
+    assert (trained.vocab.count(), trained.merges.count()) == (257, 0)
+
+
+def test_safe_prefix_stops_at_conflicts_and_ties():
+    a, b, c, d, e, f = (bytes([x]) for x in b"abcdef")
+    assert safe_prefix([(a, b, 9), (c, d, 8), (b, e, 7), (e, f, 6)], set(), False, 9) == [(a, b), (c, d)]
+    assert safe_prefix([(a, b, 9), (c, d, 7), (b, e, 7)], set(), False, 9) == [(a, b)]
+    assert safe_prefix([(a, a, 9), (c, d, 8)], set(), False, 9) == [(a, a)]
+    assert safe_prefix([(a, b, 9), (c, d, 8)], {b"cd"}, False, 9) == [(a, b)]
+    assert safe_prefix([(a, b, 9), (c, d, 8)], set(), True, 9) == [(a, b)]
+
+
+def test_pair_operators(spark):
+    counts = spark.createDataFrame([("aaa", False, 3), ("ab", False, 2), ("b", False, 9)], "token string, is_special boolean, n long")
+    words = wd.word_table(counts)
+    stats = wd.pair_stats(words)
+    assert {(r.left_hex, r.right_hex): r.n for r in stats.collect()} == {("61", "61"): 6, ("61", "62"): 2}
+    assert tuple(wd.best_pair(stats).first()) == ("61", "61", 6)
+    table = SymbolTable()
+    merged = wd.words_to_hex(wd.apply_merge(words, b"a", b"a", table), table)
+    assert sorted(r.word_hex for r in merged.collect()) == [" 61  62 ", " 6161  61 "]
+    assert wd.best_pair(stats.limit(0)).count() == 0
+
+
+def test_vocabulary_operators(spark):
+    vocab = vb.vocab_frame(spark, vb.base_entries([EOT, "a"]))
+    assert vocab.count() == 257
+    grown = vb.extend_vocab(vocab, ["<|x|>", EOT, "<|y|>", "<|x|>"])
+    assert {bytes(r.token): r.token_id for r in grown.where("token_id > 255").collect()} == {
+        EOT.encode(): 256, b"<|x|>": 257, b"<|y|>": 258}
+    leaky = vb.vocab_frame(spark, [(0, b"a<|b", False), (1, b"<|s|>", True), (2, b"\xc3\xc7\xc0", False)])
+    assert [r.token_id for r in vb.special_leaks(leaky).collect()] == [0]
+    assert [bytes.fromhex(r.token_hex) for r in vb.longest_tokens(leaky, 2).collect()] == [b"<|s|>", b"a<|b"]

@@ -157,7 +157,10 @@ def attention_pool(
         "batch", "q_block", F.explode(F.sequence(F.lit(0), F.col("k_blocks") - 1)).alias("k_block"), "q_id", "q"
     )
     k_side = lookup_join(k_rows, q_counts, "batch", F.col("k_id"), 1, broadcast_values=broadcast_values).select(
-        "batch", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "k_block", "k_id", "k", "v"
+        F.col("batch").alias("key_batch"),
+        F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("key_q_block"),
+        F.col("k_block").alias("key_k_block"),
+        "k_id", "k", "v",
     )
     scale = float(width) ** 0.5
 
@@ -176,8 +179,9 @@ def attention_pool(
 
     batch_type = queries.schema["batch"].dataType.simpleString()
     ddl = f"batch {batch_type}, q_id bigint, top double, mass double, pooled array<double>"
-    cell = ["batch", "q_block", "k_block"]
-    partials = q_side.groupBy(*cell).cogroup(k_side.groupBy(*cell)).applyInArrow(partial, ddl)
+    q_cells = q_side.groupBy("batch", "q_block", "k_block")
+    k_cells = k_side.groupBy("key_batch", "key_q_block", "key_k_block")
+    partials = q_cells.cogroup(k_cells).applyInArrow(partial, ddl)
 
     # One partial per key block and query: put on a common maximum and added.
     gathered = partials.groupBy("batch", "q_id").agg(
