@@ -3,11 +3,21 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.session import shared_folder
+
 # Up to this many values (rows times values per row) a table may be broadcast.
 BROADCAST_VALUES = 16_000_000
 SALTS = 32
 
 
+def stored(table: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read back: computed once, cheap to count."""
+    spark = table.sparkSession
+    folder = shared_folder(spark, "lookup")
+    table.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,

@@ -1,9 +1,22 @@
 """Running positions over a whole table without a single-task window."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def count_below(bounds: list[int], value: Column) -> Column:
+    """How many of the sorted bounds are smaller than the value, by halving steps."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    limits = F.lit(bounds)
+
+    def step_up(found: Column, step: Column) -> Column:
+        return F.when(F.get(limits, found + step - 1) < value, found + step).otherwise(found)
+
+    return F.aggregate(F.lit(steps), F.lit(0), step_up)
+
+
 def running_total(rows: DataFrame, key: str, amount: str, into: str, buckets: int | None = None) -> tuple[DataFrame, int]:
     """Adds ``into``: the sum of ``amount`` over all rows with a smaller key. Also the total.
 
@@ -19,8 +32,7 @@ def running_total(rows: DataFrame, key: str, amount: str, into: str, buckets: in
         F.coalesce(F.sum(amount), F.lit(0)).alias("total"),
     ).first()
     bounds = sorted(set(summary["bounds"] or []))
-    limits = F.lit(bounds) if bounds else F.array().cast("array<bigint>")
-    bucketed = rows.withColumn("bucket", F.size(F.filter(limits, lambda b: b < F.col(key))))
+    bucketed = rows.withColumn("bucket", count_below(bounds, F.col(key)))
 
     totals = bucketed.groupBy("bucket").agg(F.sum(amount).alias("bucket_total"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

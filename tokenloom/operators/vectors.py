@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as ar
-from tokenloom.operators.lookup import BROADCAST_VALUES, lookup_join
+from tokenloom.operators.lookup import BROADCAST_VALUES, lookup_join, stored
 
 
 def embedding_lookup(
@@ -98,13 +98,13 @@ def group_softmax(
     map-side, so a group of any size is never gathered in one task.
     """
     scored = rows.withColumn("score_value", F.col(score).cast("double"))
-    tops = rows.groupBy(group).agg(F.max(F.col(score).cast("double")).alias("top"))
-    shifted = lookup_join(scored.select(group, "score_value", spread.alias("spread")), tops, group, F.col("spread"), 1,
-                          broadcast_values=broadcast_values)
+    tops = stored(scored.groupBy(group).agg(F.max("score_value").alias("top")))
+    slim = scored.select(group, "score_value", spread.alias("spread"))
+    shifted = lookup_join(slim, tops, group, F.col("spread"), 1, broadcast_values=broadcast_values)
     sums = shifted.groupBy(group).agg(
         F.first("top").alias("top"), F.sum(F.exp(F.col("score_value") - F.col("top"))).alias("denominator")
     )
-    found = lookup_join(scored, sums, group, spread, 2, broadcast_values=broadcast_values)
+    found = lookup_join(scored, stored(sums), group, spread, 2, broadcast_values=broadcast_values)
     weight = F.exp(F.col("score_value") - F.col("top")) / F.col("denominator")
     return found.withColumn(out, weight).drop("score_value", "top", "denominator")
 
@@ -147,7 +147,7 @@ def attention_pool(
 
     def blocked(rows: DataFrame, row_id: str, count: str, number: str) -> tuple[DataFrame, DataFrame]:
         # The number of blocks follows from the batch's row count.
-        counts = rows.groupBy("batch").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(count))
+        counts = stored(rows.groupBy("batch").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(count)))
         found = lookup_join(rows, counts, "batch", F.col(row_id), 1, broadcast_values=broadcast_values)
         return found.withColumn(number, F.pmod(F.xxhash64(row_id), F.col(count)).cast("int")).drop(count), counts
 

@@ -7,6 +7,13 @@ from tokenloom.operators.positions import running_total
 
 # Starts are broadcast up to this batch size, joined by shuffle beyond.
 BROADCAST_STARTS = 1_000_000
+# Rows with more ids are cut into pieces of this size before they are cut into blocks.
+PIECE = 16_384
+
+
+def default_block(m: int) -> int:
+    """Ids per block: small enough to copy cheaply, with at most an eighth repeated."""
+    return max(256, 8 * m)
 
 
 def place_documents(encoded: DataFrame, key: str = "doc_id", ids: str = "ids") -> tuple[DataFrame, int]:
@@ -28,9 +35,16 @@ def _segments(placed: DataFrame, m: int, block: int, ids: str) -> DataFrame:
 
     A row is cut into slices, not into single ids. A block is block + m ids at most.
     """
-    last = F.col("doc_start") + F.col("n_ids") - 1
+    pieces = placed.where("n_ids > 0").select(
+        "doc_start", ids, F.explode(F.sequence(F.lit(0), F.floor((F.col("n_ids") - 1) / PIECE))).alias("piece")
+    )
+    pieces = pieces.select(
+        (F.col("doc_start") + F.col("piece") * PIECE).alias("doc_start"),
+        F.slice(ids, (F.col("piece") * PIECE + 1).cast("int"), F.lit(PIECE)).alias(ids),
+    )
+    last = F.col("doc_start") + F.size(ids) - 1
     first_block = F.greatest(F.lit(0), F.floor((F.col("doc_start") - m) / block))
-    touched = placed.where("n_ids > 0").select(
+    touched = pieces.select(
         "doc_start", ids, F.explode(F.sequence(first_block, F.floor(last / block))).alias("block_no")
     )
     low = F.greatest(F.lit(0), F.col("block_no") * block - F.col("doc_start"))
@@ -56,8 +70,9 @@ def _window(run, offset, m: int):
     return F.slice(run, (offset + 1).cast("int"), F.lit(m))
 
 
-def lm_windows(encoded: DataFrame, m: int, block: int = 8192, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+def lm_windows(encoded: DataFrame, m: int, block: int | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``start, x, y`` for every start with m + 1 ids: x are m ids, y the same moved by one."""
+    block = block or default_block(m)
     placed, _ = place_documents(encoded, key, ids)
     blocks = _blocks(_segments(placed, m, block, ids), block)
     n_starts = F.least(F.lit(block), F.size("run") - m)
@@ -72,11 +87,11 @@ def lm_windows(encoded: DataFrame, m: int, block: int = 8192, key: str = "doc_id
 
 
 def windows_at(
-    encoded: DataFrame, samples: DataFrame, m: int, batch_size: int, block: int = 8192, key: str = "doc_id", ids: str = "ids"
+    encoded: DataFrame, samples: DataFrame, m: int, batch_size: int, block: int | None = None, key: str = "doc_id", ids: str = "ids"
 ) -> DataFrame:
     """``sample_id, start, x, y`` for given ``sample_id, start``; starts past the last window give no row."""
     placed, _ = place_documents(encoded, key, ids)
-    return _cut_samples(placed, samples, m, batch_size, block, ids)
+    return _cut_samples(placed, samples, m, batch_size, block or default_block(m), ids)
 
 
 def _cut_samples(placed: DataFrame, samples: DataFrame, m: int, batch_size: int, block: int, ids: str) -> DataFrame:
@@ -97,7 +112,7 @@ def _cut_samples(placed: DataFrame, samples: DataFrame, m: int, batch_size: int,
 
 
 def lm_batch(
-    encoded: DataFrame, batch_size: int, m: int, seed: int, block: int = 8192, key: str = "doc_id", ids: str = "ids"
+    encoded: DataFrame, batch_size: int, m: int, seed: int, block: int | None = None, key: str = "doc_id", ids: str = "ids"
 ) -> DataFrame:
     """``sample_id, start, x, y``: starts drawn uniformly and independently, with replacement.
 
@@ -110,4 +125,4 @@ def lm_batch(
         F.col("id").alias("sample_id"),
         F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total - m)).alias("start"),
     )
-    return _cut_samples(placed, draws, m, batch_size, block, ids)
+    return _cut_samples(placed, draws, m, batch_size, block or default_block(m), ids)
