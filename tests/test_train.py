@@ -66,6 +66,16 @@ def test_pair_operators(spark):
     assert wd.best_pair(stats.limit(0)).count() == 0
 
 
+def test_pairs_of_long_words(spark):
+    rng = random.Random(8)
+    for size in (2, 64, 65, 66, 67, 129, 1000):
+        word = "".join(rng.choice("ab") for _ in range(size))
+        words = spark.createDataFrame([(word, 2)], "word string, n long")
+        found = {r.pair: r.n for r in wd.pair_counts(words).collect()}
+        assert found == {p: 2 * sum(word[i : i + 2] == p for i in range(size)) for p in found}
+        assert sum(found.values()) == 2 * (size - 1)
+
+
 def test_vocabulary_operators(spark):
     vocab = vb.vocab_frame(spark, vb.base_entries([EOT, "a"]))
     assert vocab.count() == 257

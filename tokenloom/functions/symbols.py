@@ -77,10 +77,3 @@ def apply_rules(word: Column, rules: list[str]) -> Column:
 def characters(word: Column) -> Column:
     return F.split(word, "")
 
-
-def pair_strings(chars: Column) -> Column:
-    """Adjacent character pairs of a word given as array; overlaps count."""
-    return F.transform(
-        F.slice(chars, F.lit(2), F.greatest(F.size(chars) - 1, F.lit(0))),
-        lambda right, i: F.concat(F.get(chars, i), right),
-    )

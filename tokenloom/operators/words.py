@@ -40,10 +40,20 @@ def word_table(counts: DataFrame) -> DataFrame:
     return words.where(F.length("word") > 1)
 
 
-def explode_pairs(words: DataFrame, weight: str = "n") -> DataFrame:
-    """``pair, weight`` for each adjacent position; ``aaa`` gives ``aa`` twice."""
-    chars = words.select(sym.characters(F.col("word")).alias("chars"), weight)
-    return chars.select(F.explode(sym.pair_strings(F.col("chars"))).alias("pair"), weight)
+# Long words are first cut into pieces that overlap by one symbol, because finding the
+# i-th symbol of a string takes i steps.
+PAIR_ROWS = """
+    SELECT substr(piece, at, 2) AS pair, n FROM (
+      SELECT piece, n, explode(sequence(1, length(piece) - 1)) AS at FROM (
+        SELECT substr(word, 64 * piece_no + 1, 65) AS piece, n FROM (
+          SELECT word, n, explode(sequence(0, (length(word) - 2) div 64)) AS piece_no
+          FROM {words} WHERE length(word) > 1)))
+"""
+
+
+def explode_pairs(words: DataFrame) -> DataFrame:
+    """``pair, n`` for each adjacent position; ``aaa`` gives ``aa`` twice."""
+    return words.sparkSession.sql(PAIR_ROWS, words=words)
 
 
 def pair_counts(words: DataFrame) -> DataFrame:

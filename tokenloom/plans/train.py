@@ -119,15 +119,13 @@ class _MergeLoop:
             hits.append(f"contains(word, {pair})")
         hit = " OR ".join(hits)
         # Each changed word leaves its old pairs and brings its new ones.
+        changed = f"""(SELECT w.word, w.n FROM (
+            SELECT explode(array(struct(word, -n AS n), struct({merged} AS word, n))) AS w
+            FROM {self.words} WHERE {hit}))"""
         pairs = self.spark.sql(
             f"""
-            SELECT pair, sum(n) AS n FROM (
-              SELECT pair, n FROM {self.pairs}
-              UNION ALL
-              SELECT explode(transform(slice(chars, 2, size(chars) - 1), (c, i) -> concat(chars[i], c))), n
-              FROM (SELECT split(w.word, '') AS chars, w.n FROM (
-                SELECT explode(array(struct(word, -n AS n), struct({merged} AS word, n))) AS w
-                FROM {self.words} WHERE {hit})))
+            SELECT pair, sum(n) AS n
+            FROM (SELECT pair, n FROM {self.pairs} UNION ALL {wd.PAIR_ROWS.format(words=changed)})
             GROUP BY pair HAVING sum(n) > 0
             """
         )
