@@ -29,7 +29,7 @@ def test_softmax_in_arrays_and_over_groups(spark):
         np.testing.assert_allclose(column(rows, "p"), softmax(x), atol=1e-9)
     long = frame(spark, x).select("vec_id", F.posexplode("embedding").alias("dim", "score"))
     for limit in (vec.BROADCAST_VALUES, 0):
-        p = vec.group_softmax(long, "vec_id", "score", F.col("dim"), broadcast_values=limit).orderBy("vec_id", "dim").collect()
+        p = vec.group_softmax(long, "vec_id", "score", broadcast_values=limit).orderBy("vec_id", "dim").collect()
         np.testing.assert_allclose(np.array([r.p for r in p]).reshape(3, 5), softmax(x), atol=1e-9)
 
 
@@ -75,10 +75,11 @@ def test_project_in_one_and_in_many_blocks(spark):
         np.testing.assert_allclose(column(got, "projected"), x @ w.T, atol=1e-9)
 
 
-def test_embedding_lookup_broadcast_and_salted(spark):
+def test_embedding_lookup_by_broadcast_and_by_shuffle(spark):
     x = RNG.normal(size=(10, 4))
     sequences = spark.createDataFrame([(0, [1, 1, 1, 9]), (1, [0]), (2, [])], "doc_id long, ids array<int>")
-    for limit in (vec.BROADCAST_VALUES, 0):
+    # 12 values are three vectors: too few for the table, enough for the hot id.
+    for limit in (vec.BROADCAST_VALUES, 12, 0):
         got = vec.embedding_lookup(sequences, frame(spark, x), 4, broadcast_values=limit).orderBy("doc_id", "pos").collect()
         assert [(r.doc_id, r.pos, r.token_id) for r in got] == [(0, 0, 1), (0, 1, 1), (0, 2, 1), (0, 3, 9), (1, 0, 0)]
         np.testing.assert_allclose(np.array([r.vector for r in got]), x[[1, 1, 1, 9, 0]], atol=1e-9)

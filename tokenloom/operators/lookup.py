@@ -1,13 +1,14 @@
 """Joining rows with a table of one row per key, with a size check and hot keys in mind."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.session import shared_folder
 
 # Up to this many values (rows times values per row) a table may be broadcast.
 BROADCAST_VALUES = 16_000_000
-SALTS = 32
+# A key with more than one row in this many counts as hot; so fewer keys than this are hot.
+HOT_SHARE = 1_000
 
 
 def stored(table: DataFrame) -> DataFrame:
@@ -22,19 +23,22 @@ def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     key: str,
-    spread: Column,
     values_per_row: int,
     how: str = "inner",
     broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """``rows`` with the matching row of ``table``, which has each key once.
 
-    A table within the limit is broadcast and the rows stay where they are. A larger one
-    is joined by shuffle: each of its rows is repeated per salt, and ``spread``, any
-    expression that differs between rows of one key, sends a hot key to many tasks.
+    A table within the limit is broadcast and the rows stay where they are. With a larger
+    one, the rows of hot keys meet a broadcast of just these keys - few by definition -
+    and only the other rows are shuffled, none of whose keys can fill a task.
     """
     if table.count() * values_per_row <= broadcast_values:
         return rows.join(F.broadcast(table), key, how)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    repeated = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [key, "salt"], how).drop("salt")
+    share = max(1, min(HOT_SHARE, broadcast_values // values_per_row))
+    counts = stored(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    hot = counts.where(F.col("n") * share > counts.agg(F.sum("n")).scalar()).select(key)
+    hot_table = table.join(F.broadcast(hot), key, "left_semi")
+    hot_rows = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_table), key, how)
+    cold_rows = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
+    return hot_rows.unionByName(cold_rows)

@@ -24,8 +24,7 @@ def embedding_lookup(
     """``key, pos, token_id, vector`` for each id of each sequence; an id without vector is an error."""
     each = sequences.select(key, F.posexplode(ids).alias("pos", "token_id"))
     table = vectors.select(F.col(vec_id).cast("int").alias("token_id"), F.col(vector).alias("vector"))
-    spread = F.struct(key, "pos")
-    found = lookup_join(each, table, "token_id", spread, width, "left", broadcast_values)
+    found = lookup_join(each, table, "token_id", width, "left", broadcast_values)
     checked = F.coalesce(F.col("vector"), F.raise_error(F.lit("id without a vector")))
     return found.select(key, "pos", "token_id", checked.alias("vector"))
 
@@ -90,7 +89,7 @@ def rms_normalize(
 
 
 def group_softmax(
-    rows: DataFrame, group: str, score: str, spread: Column, out: str = "p", broadcast_values: int = BROADCAST_VALUES
+    rows: DataFrame, group: str, score: str, out: str = "p", broadcast_values: int = BROADCAST_VALUES
 ) -> DataFrame:
     """Adds the softmax of ``score`` over all rows of the same group.
 
@@ -99,12 +98,12 @@ def group_softmax(
     """
     scored = rows.withColumn("score_value", F.col(score).cast("double"))
     tops = stored(scored.groupBy(group).agg(F.max("score_value").alias("top")))
-    slim = scored.select(group, "score_value", spread.alias("spread"))
-    shifted = lookup_join(slim, tops, group, F.col("spread"), 1, broadcast_values=broadcast_values)
+    slim = scored.select(group, "score_value")
+    shifted = lookup_join(slim, tops, group, 1, broadcast_values=broadcast_values)
     sums = shifted.groupBy(group).agg(
         F.first("top").alias("top"), F.sum(F.exp(F.col("score_value") - F.col("top"))).alias("denominator")
     )
-    found = lookup_join(scored, stored(sums), group, spread, 2, broadcast_values=broadcast_values)
+    found = lookup_join(scored, stored(sums), group, 2, broadcast_values=broadcast_values)
     weight = F.exp(F.col("score_value") - F.col("top")) / F.col("denominator")
     return found.withColumn(out, weight).drop("score_value", "top", "denominator")
 
@@ -148,15 +147,15 @@ def attention_pool(
     def blocked(rows: DataFrame, row_id: str, count: str, number: str) -> tuple[DataFrame, DataFrame]:
         # The number of blocks follows from the batch's row count.
         counts = stored(rows.groupBy("batch").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(count)))
-        found = lookup_join(rows, counts, "batch", F.col(row_id), 1, broadcast_values=broadcast_values)
+        found = lookup_join(rows, counts, "batch", 1, broadcast_values=broadcast_values)
         return found.withColumn(number, F.pmod(F.xxhash64(row_id), F.col(count)).cast("int")).drop(count), counts
 
     q_rows, q_counts = blocked(queries, "q_id", "q_blocks", "q_block")
     k_rows, k_counts = blocked(keys, "k_id", "k_blocks", "k_block")
-    q_side = lookup_join(q_rows, k_counts, "batch", F.col("q_id"), 1, broadcast_values=broadcast_values).select(
+    q_side = lookup_join(q_rows, k_counts, "batch", 1, broadcast_values=broadcast_values).select(
         "batch", "q_block", F.explode(F.sequence(F.lit(0), F.col("k_blocks") - 1)).alias("k_block"), "q_id", "q"
     )
-    k_side = lookup_join(k_rows, q_counts, "batch", F.col("k_id"), 1, broadcast_values=broadcast_values).select(
+    k_side = lookup_join(k_rows, q_counts, "batch", 1, broadcast_values=broadcast_values).select(
         F.col("batch").alias("key_batch"),
         F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("key_q_block"),
         F.col("k_block").alias("key_k_block"),

@@ -349,7 +349,7 @@ def rms_normalize(spark, sf_dir):
 
 def group_softmax(spark, sf_dir):
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding")[0].alias("score"))
-    weighted = vec.group_softmax(rows, "label", "score", F.col("vec_id"))
+    weighted = vec.group_softmax(rows, "label", "score")
     return weighted.select("vec_id", "label", _rounded(F.col("p")).alias("p"))
 
 
