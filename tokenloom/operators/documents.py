@@ -36,31 +36,28 @@ def chunk_boundaries(
     """
     spark, width = docs.sparkSession, len(delimiter.encode("utf-8"))
     parts = F.split(F.col(text), _literal_pattern(delimiter), -1)
-    # Bytes before each delimiter of the row, relative to the row's start.
-    sizes = docs.select(key, F.transform(parts, lambda p: F.octet_length(p) + width).alias("part_sizes"))
+    # Bytes of each part with its delimiter; the texts themselves go no further.
+    sizes = docs.select(key, F.transform(parts, lambda p: (F.octet_length(p) + width).cast("long")).alias("part_sizes"))
     rows = sizes.withColumn("n_bytes", F.aggregate("part_sizes", F.lit(0).cast("long"), lambda a, x: a + x))
     placed, size = running_total(rows, key, "n_bytes", "row_start")
 
-    parts_placed = placed.select(
-        F.col("row_start"),
-        F.posexplode("part_sizes").alias("part_pos", "part_size"),
-        "part_sizes",
-    ).select(
-        (
-            F.col("row_start")
-            + F.aggregate(F.slice("part_sizes", F.lit(1), F.col("part_pos")), F.lit(0).cast("long"), lambda a, x: a + x)
-        ).alias("start"),
-        "part_size",
-    )
     step = size // n_chunks
-    found = F.col("start") + F.col("part_size") - width
-    previous = F.when(F.col("start") > 0, F.col("start") - width).otherwise(F.lit(-1))
-    if step:
-        first_guess = F.greatest(F.lit(1), F.floor(previous / step) + 1)
-        wanted = (first_guess <= n_chunks - 1) & (first_guess * step <= found)
-    else:
-        wanted = (F.col("start") == 0) & F.lit(n_chunks > 1)
-    # At most n_chunks + 1 rows remain.
-    inner = parts_placed.where(wanted).select(found.alias("boundary"))
+
+    def visit(state, part_size):
+        """Go over one part and its delimiter; keep the delimiter's offset if a cut moves there."""
+        start = state["start"]
+        found = start + part_size - width
+        previous = F.when(start > 0, start - width).otherwise(F.lit(-1))
+        if step:
+            first_guess = F.greatest(F.lit(1), F.floor(previous / step) + 1)
+            wanted = (first_guess <= n_chunks - 1) & (first_guess * step <= found)
+        else:
+            wanted = (start == 0) & F.lit(n_chunks > 1)
+        cuts = F.when(wanted, F.array_append(state["cuts"], found)).otherwise(state["cuts"])
+        return F.struct((start + part_size).alias("start"), cuts.alias("cuts"))
+
+    before = F.struct(F.col("row_start").alias("start"), F.array().cast("array<bigint>").alias("cuts"))
+    # Linear in the parts of a row; all rows together find at most n_chunks - 1 cuts.
+    inner = placed.select(F.explode(F.aggregate("part_sizes", before, visit)["cuts"]).alias("boundary"))
     ends = spark.createDataFrame([(0,), (size,)], "boundary long")
     return inner.unionByName(ends).distinct()

@@ -40,12 +40,12 @@ class Tokenizer:
 
     @classmethod
     def from_tables(cls, vocab: DataFrame, merges: DataFrame, specials: list[str] = ()) -> "Tokenizer":
-        size = vocab.count()
-        if size > sym.MAX_SYMBOLS:
-            raise ValueError(f"a vocabulary of {size} tokens is more than {sym.MAX_SYMBOLS}")
+        for name, table in (("vocabulary", vocab), ("list of merges", merges)):
+            size = table.count()
+            if size > sym.MAX_SYMBOLS:
+                raise ValueError(f"a {name} of {size} rows is more than {sym.MAX_SYMBOLS}")
         entries = {r.token_id: bytes.fromhex(r.token_hex) for r in vocab.select("token_id", "token_hex").collect()}
-        # At most one merge per learned token, so the vocabulary bounds this too.
-        pairs = merges.orderBy("rank").limit(sym.MAX_SYMBOLS).select("left_hex", "right_hex").collect()
+        pairs = merges.orderBy("rank").select("left_hex", "right_hex").collect()
         return cls(entries, [(bytes.fromhex(a), bytes.fromhex(b)) for a, b in pairs], list(specials))
 
     def rank_order_is_exact(self) -> bool:
