@@ -86,12 +86,17 @@ def utf8_ignore(data: Column) -> Column:
     """Bytes to text, malformed sequences are dropped.
 
     The repair marks bad bytes with U+FFFD, so a genuine U+FFFD is first escaped with
-    U+E000 (itself escaped), the marks are removed, and the escapes are undone.
+    U+E000 (itself escaped), the marks are removed, and the escapes are undone. Escaping
+    works on the Latin-1 reading of the bytes; a lead byte never occurs inside another
+    character, so a match is always a whole one.
     """
-    escape, escape_tag, mark_tag = " EE  80  80 ", " EE  80  81 ", " EE  80  82 "
-    escaped = F.replace(spaced_hex(data), F.lit(escape), F.lit(escape + escape_tag))
-    escaped = F.replace(escaped, F.lit(" EF  BF  BD "), F.lit(escape + mark_tag))
-    repaired = utf8_replace(F.unhex(F.replace(escaped, F.lit(" "), F.lit(""))))
+    escape, escape_tag, mark_tag, mark = (
+        c.encode("utf-8").decode("latin-1") for c in ("\ue000", "\ue001", "\ue002", "\ufffd")
+    )
+    latin = F.decode(data, "ISO-8859-1")
+    escaped = F.replace(latin, F.lit(escape), F.lit(escape + escape_tag))
+    escaped = F.replace(escaped, F.lit(mark), F.lit(escape + mark_tag))
+    repaired = utf8_replace(F.encode(escaped, "ISO-8859-1"))
     kept = F.replace(repaired, F.lit("\ufffd"), F.lit(""))
     kept = F.replace(kept, F.lit("\ue000\ue002"), F.lit("\ufffd"))
     kept = F.replace(kept, F.lit("\ue000\ue001"), F.lit("\ue000"))
