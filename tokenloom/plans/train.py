@@ -64,7 +64,7 @@ class _MergeLoop:
         self.folder, self.rounds_per_epoch, self.candidates = folder, rounds_per_epoch, candidates
         self.table = sym.SymbolTable()
         self.epoch = self.rounds = self.step = 0
-        self.held: list[DataFrame] = []
+        self.held: list[tuple[str, DataFrame]] = []
 
     def start(self, words: DataFrame, n_words: int, words_per_task: int) -> None:
         cores = self.spark.sparkContext.defaultParallelism
@@ -92,7 +92,7 @@ class _MergeLoop:
         self.words, self.pairs = f"words_{self.step}", f"pairs_{self.step}"
         words.createOrReplaceTempView(self.words)
         pairs.createOrReplaceTempView(self.pairs)
-        self.held += [words, pairs]
+        self.held += [(self.words, words), (self.pairs, pairs)]
 
     def ranked(self) -> list[tuple[bytes, bytes, int]]:
         hexes = f"split('{','.join(token.hex().upper() for token in self.table.tokens)}', ',')"
@@ -106,8 +106,7 @@ class _MergeLoop:
         # The job above has filled this round's caches. The words before it are still
         # needed once: the current words are derived from them in the next round.
         done, self.held = self.held[:-4], self.held[-4:]
-        for frame in done:
-            frame.unpersist()
+        self._release(done)
         return [(self.table.token_of(r[0][0]), self.table.token_of(r[0][1]), r[1]) for r in top]
 
     def advance(self, batch: list[tuple[bytes, bytes]]) -> None:
@@ -138,9 +137,13 @@ class _MergeLoop:
         else:
             self._use(words.persist(), pairs.persist())
 
-    def stop(self) -> None:
-        for frame in self.held:
+    def _release(self, held: list[tuple[str, DataFrame]]) -> None:
+        for name, frame in held:
             frame.unpersist()
+            self.spark.catalog.dropTempView(name)
+
+    def stop(self) -> None:
+        self._release(self.held)
         self.held = []
 
 
