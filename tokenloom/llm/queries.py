@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm import hosts, lineblocks, mixing, quality, rabitq, secret_scan, simhash, unigram, vafile
+from tokenloom.llm import compact_windows, hosts, lineblocks, mixing, quality, rabitq, secret_scan, simhash, unigram, vafile
 from tokenloom.sources.corpus import read_documents
 
 K = 5
@@ -46,6 +46,10 @@ def op2_simhash(spark, sf_dir):
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op3_repeated_passages(spark, sf_dir):
+    return compact_windows.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixture(spark, sf_dir):
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -90,7 +94,7 @@ def op10_near_vectors(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_simhash, op4_mixture, op5_top_k, op6_secrets, op7_quality, op8_main_text,
+    for f in (op1_sentencepiece, op2_simhash, op3_repeated_passages, op4_mixture, op5_top_k, op6_secrets, op7_quality, op8_main_text,
               op9_url_filter, op10_near_vectors)
 }
 ORACLES: dict[str, str] = {}
