@@ -41,7 +41,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, root`` for each node of ``links`` (``a, b``): root is the smallest node reachable.
+    """``node, root`` for each node of ``links`` (``a, b``) that is not a root: root is the smallest node reachable.
 
     Alternates large and small stars until nothing changes. Each step keeps at most one
     link per node and smaller neighbour, a node with many links is aggregated before the

@@ -46,8 +46,8 @@ def fitted(sizes: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
         spare = min(int(counts[i] - taken[i]), max(0, left - SEARCHED) // int(sizes[i]))
         taken[i] += spare
         left -= spare * int(sizes[i])
-    # Some of what was taken goes back, so that the search has small and large sizes to choose from.
-    window = min(left + int(sizes.max()), SEARCHED)
+    # Some of what was taken goes back, smallest sizes first, so that the search has enough to choose from.
+    window = max(left, SEARCHED)
     for i in order[::-1].tolist():
         while left < window and taken[i] > 0 and left + sizes[i] <= window:
             taken[i] -= 1

@@ -1,9 +1,10 @@
-"""The registered queries of this package: one for each operator, over whole tables."""
+"""The registered queries of this package (and, in ORACLES, their SQL): one for each operator, over whole tables."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.llm import compact_windows, hosts, lineblocks, mixing, quality, rabitq, secret_scan, simhash, unigram, vafile
+from tokenloom.llm.oracles import ORACLES
 from tokenloom.sources.corpus import read_documents
 
 K = 5
@@ -97,4 +98,3 @@ QUERIES = {
     for f in (op1_sentencepiece, op2_simhash, op3_repeated_passages, op4_mixture, op5_top_k, op6_secrets, op7_quality, op8_main_text,
               op9_url_filter, op10_near_vectors)
 }
-ORACLES: dict[str, str] = {}
