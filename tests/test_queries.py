@@ -2,6 +2,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tokenloom.plans.oracles import ORACLES
+from tokenloom.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations events".split()
@@ -16,17 +18,18 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_flagship(spark):
     assert contract.entry(spark).count() == 100
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, database, name):
-    found = contract.queries()[name](spark, SF_DIR).toPandas()
-    expected = database.sql(contract.oracle_sql()[name]).df()
+    found = QUERIES[name](spark, SF_DIR).toPandas()
+    expected = database.sql(ORACLES[name]).df()
     columns = sorted(found.columns)
     assert columns == sorted(expected.columns) and len(found) == len(expected) > 0
     found, expected = (f[columns].sort_values(columns).reset_index(drop=True) for f in (found, expected))

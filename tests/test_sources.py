@@ -55,9 +55,21 @@ def test_text_format_round_trip(spark, tmp_path):
     assert {r.token_id: bytes(r.token) for r in small.collect()} == {5: b"a", 2: b" t", 6: EOT.encode()}
 
 
+def test_export_of_equal_bytes(spark):
+    vocab = vb.vocab_frame(spark, [*vb.base_entries([]), (256, b"ab", False), (257, b"ab", False)])
+    folder = shared_folder(spark, "test")
+    art.export_text_format(vocab, vb.merges_frame(spark, [(b"a", b"b")]), folder)
+    again = art.import_text_format(spark, f"{folder}/vocab", f"{folder}/merges")[0]
+    assert [r.token_id for r in again.where("token_hex = '6162'").collect()] == [257]
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(f"one\r\n{EOT}two é{EOT}".encode())
     assert sorted(r.text for r in src.read_delimited(spark, str(tmp_path / "a.txt")).collect()) == ["one\r\n", "two é"]
+    (tmp_path / "c.txt").write_bytes(b"x\xff\xe2\x82" + EOT.encode() + b"\xc3y")
+    rows = src.read_delimited(spark, str(tmp_path / "c.txt")).collect()
+    assert sorted(r.text for r in rows) == ["x", "y"] and len({r.doc_id for r in rows}) == 2
+    assert sorted(r.text for r in src.read_delimited(spark, str(tmp_path / "c.txt"), errors="replace").collect()) == ["x\ufffd\ufffd", "\ufffdy"]
     (tmp_path / "b.txt").write_bytes(b"ok \xff\xc3\r\n end")
     bad = str(tmp_path / "b.txt")
     assert src.read_whole_files(spark, bad).first().text == "ok \r\n end"

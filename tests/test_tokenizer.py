@@ -33,7 +33,7 @@ def test_encode_matches_plain_python_and_decodes_back(spark, n_merges):
     assert ids_by(docs.select("doc_id", tk.ids_by_arrow(tokenizer)(lists).alias("ids"))) == expected
     assert tuple(tk.roundtrip_mismatches(docs, tokenizer).first()) == (len(texts), 0)
     encoded = tk.encode_documents(docs, tokenizer)
-    assert {r.doc_id: r.text for r in tk._decode_by_join(encoded, tokenizer, "doc_id", "ids").collect()} == dict(enumerate(texts))
+    assert {r.doc_id: r.text for r in tk.decode_documents(encoded, tokenizer).collect()} == dict(enumerate(texts))
 
 
 def test_hand_made_merges_take_the_exact_loop(spark):
@@ -88,3 +88,40 @@ def test_decode_repairs_and_rejects(spark):
 def test_equal_bytes_use_the_greatest_id(spark):
     tokenizer = tk.Tokenizer({**{i: bytes([i]) for i in range(256)}, 300: b"a"}, [])
     assert ids_by(tk.encode_documents(frame(spark, ["ab"]), tokenizer)) == {0: [300, 98]}
+
+
+@pytest.mark.parametrize("expression_merges", [0, 1000])
+def test_a_part_that_no_merge_makes(spark, expression_merges):
+    merges = [(b"xy", b"z")] + train(CORPUS, 5)
+    tokenizer = make(merges)
+    assert not tokenizer.rank_order_is_exact()
+    lists = tk.tx.tokens(F.col("text"), SPECIALS)
+    got = frame(spark, ["xyz the"]).select(tk.ids_of_tokens(tokenizer, lists, expression_merges).alias("ids")).first().ids
+    assert got == encode("xyz the", tokenizer.ids, merges, SPECIALS)
+
+
+@pytest.mark.parametrize("gap", [1, 7, 40_000_000])
+def test_decoding_with_and_without_gaps_between_ids(spark, gap):
+    tokenizer = tk.Tokenizer({i * gap: bytes([i]) for i in range(50)}, [])
+    rows = spark.createDataFrame([(7, [0, 2 * gap, 49 * gap]), (7, [3 * gap]), (8, None), (9, [])], "doc_id long, ids array<int>")
+    got = sorted((tuple(r) for r in tk.decode_documents(rows, tokenizer).collect()), key=str)
+    assert got == sorted([(7, "\x00\x021"), (7, "\x03"), (8, None), (9, "")], key=str)
+    texts = [(r.doc_id, r.pos, r.token_text) for r in tk.token_strings(rows, tokenizer).collect()]
+    assert sorted(texts) == [(7, 0, "\x00"), (7, 0, "\x03"), (7, 1, "\x02"), (7, 2, "1")]
+    for bad in ([gap * 50], [None], [-1]):
+        with pytest.raises(Exception, match="unknown token id"):
+            tk.decode_documents(spark.createDataFrame([(1, bad)], "doc_id long, ids array<int>"), tokenizer).collect()
+
+
+def test_lost_texts_count_as_mismatches(spark):
+    tokenizer = make(train(CORPUS, 5))
+    docs = spark.createDataFrame([(1, None), (2, "a")], "doc_id long, text string")
+    assert tuple(tk.roundtrip_mismatches(docs, tokenizer).first()) == (2, 0)
+
+
+def test_missing_specials_are_added(spark):
+    vocab, merges = vb.base_vocab(spark, []), vb.merges_frame(spark, [])
+    tokenizer = tk.Tokenizer.from_tables(vocab, merges, [EOT, "<|b|>", EOT])
+    assert (tokenizer.ids[EOT.encode()], tokenizer.ids[b"<|b|>"]) == (256, 257)
+    with pytest.raises(ValueError, match="more than 10"):
+        tk.Tokenizer.from_tables(vocab, merges, max_tokens=10)

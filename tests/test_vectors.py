@@ -78,8 +78,7 @@ def test_project_in_one_and_in_many_blocks(spark):
 def test_embedding_lookup_by_broadcast_and_by_shuffle(spark):
     x = RNG.normal(size=(10, 4))
     sequences = spark.createDataFrame([(0, [1, 1, 1, 9]), (1, [0]), (2, [])], "doc_id long, ids array<int>")
-    # 12 values are three vectors: too few for the table, enough for the hot id.
-    for limit in (vec.BROADCAST_VALUES, 12, 0):
+    for limit in (vec.BROADCAST_VALUES, 0):
         got = vec.embedding_lookup(sequences, frame(spark, x), 4, broadcast_values=limit).orderBy("doc_id", "pos").collect()
         assert [(r.doc_id, r.pos, r.token_id) for r in got] == [(0, 0, 1), (0, 1, 1), (0, 2, 1), (0, 3, 9), (1, 0, 0)]
         np.testing.assert_allclose(np.array([r.vector for r in got]), x[[1, 1, 1, 9, 0]], atol=1e-9)
@@ -103,7 +102,7 @@ def test_attention_over_many_blocks(spark, block):
         "few": (lambda a, b: (a % 2 == 0) & (b != a), lambda a, b: a % 2 == 0 and b != a),
     }
     for mask, allowed in masks.values():
-        got = {r.q_id: np.array(r.pooled) for r in vec.attention_pool(queries, keys, width, mask, block, 0 if block == 4 else 10**6).collect()}
+        got = {r.q_id: np.array(r.pooled) for r in vec.attention_pool(queries, keys, width, mask, block).collect()}
         for i in range(n):
             seen = [j for j in range(n) if batch[j] == batch[i] and allowed(i, j)]
             if not seen:
@@ -117,3 +116,51 @@ def test_causal_pool_first_row_sees_itself(spark):
     x = RNG.normal(size=(5, 3))
     got = {r.q_id: r.pooled for r in vec.causal_pool(frame(spark, x), 3, "label", "vec_id").collect()}
     np.testing.assert_allclose(got[0], x[0], atol=1e-9)
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_causal_pool_over_many_blocks(spark, block, monkeypatch):
+    monkeypatch.setattr(vec, "MERGED", 2)
+    x, groups = RNG.normal(size=(30, 3)), np.array([0] * 25 + [1] * 5)
+    got = {r.q_id: r.pooled for r in vec.causal_pool(frame(spark, x, groups), 3, "label", "vec_id", block=block).collect()}
+    for i in range(30):
+        seen = [j for j in range(i + 1) if groups[j] == groups[i]]
+        np.testing.assert_allclose(got[i], softmax(x[i] @ x[seen].T / np.sqrt(3)) @ x[seen], atol=1e-9)
+
+
+def test_causal_plan_makes_half_of_the_cells(spark):
+    x = RNG.normal(size=(64, 2))
+    cells = []
+    original = vec._pooled
+    try:
+        vec._pooled = lambda met, *rest: cells.append(met) or original(met, *rest)
+        vec.causal_pool(frame(spark, x), 2, "label", "vec_id", block=8).collect()
+    finally:
+        vec._pooled = original
+    n = cells[0].applyInArrow(lambda key, a, b: vec.pa.table({"n": [1] if a.num_rows and b.num_rows else []}, vec.pa.schema([("n", vec.pa.int64())])), "n long").count()
+    blocks = round((2 * n) ** 0.5)
+    assert n <= blocks * (blocks + 1) / 2 and blocks >= 7
+
+
+def test_attention_with_odd_rows(spark):
+    rows = [(0, 1, [1.0, 0.0]), (0, 2, None), (0, 3, [float("nan"), 1.0]), (None, 4, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "batch int, id long, x array<double>")
+    queries, keys = df.selectExpr("batch", "id AS q_id", "x AS q"), df.selectExpr("batch", "id AS k_id", "x AS k", "x AS v")
+    got = {r.q_id: r.pooled for r in vec.attention_pool(queries, keys, 2).collect()}
+    assert got.keys() == {1, 3, 4} and np.isnan(got[3]).all() and np.isnan(got[1]).all() and got[4] == [1.0, 1.0]
+    with pytest.raises(Exception, match="occurs twice"):
+        vec.attention_pool(queries.unionByName(queries), keys, 2).collect()
+
+
+def test_groups_of_null_and_vectors_of_another_width(spark):
+    rows = spark.createDataFrame([(1, None, 1.0), (2, None, 1.0), (3, 5, 2.0)], "id int, g int, s double")
+    for limit in (vec.BROADCAST_VALUES, 0):
+        assert {r.id: r.p for r in vec.group_softmax(rows, "g", "s", broadcast_values=limit).collect()} == {1: 0.5, 2: 0.5, 3: 1.0}
+    weights = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.0, 1.0])], "row_no int, weights array<double>")
+    odd = spark.createDataFrame([(1, [1.0, 1.0]), (2, None)], "vec_id long, embedding array<double>")
+    for block_values in (vec.BROADCAST_VALUES, 2):
+        got = {r.vec_id: r.projected for r in vec.vector_project(odd, weights, 2, block_values=block_values).collect()}
+        assert got == {1: [3.0, 1.0], 2: None}
+        wide = spark.createDataFrame([(1, [1.0] * 3), (2, [1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="instead of 2"):
+            vec.vector_project(wide, weights, 2, block_values=block_values).collect()

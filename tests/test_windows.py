@@ -6,7 +6,7 @@ from brute import boundaries
 
 from tokenloom.operators import documents as dc
 from tokenloom.operators import windows as win
-from tokenloom.operators.positions import running_total
+from tokenloom.operators.positions import starts
 
 EOT = "<|endoftext|>"
 
@@ -31,11 +31,11 @@ def encoded(spark):
 
 
 @pytest.mark.parametrize("buckets", [1, 3, 50])
-def test_running_total(spark, buckets):
+def test_starts(spark, buckets):
     # Half of the keys lie close together, the others far apart.
     rows = [(i if i < 100 else i * 10**9, i % 7) for i in range(200)]
     frame = spark.createDataFrame(rows, "k long, v long").repartition(4)
-    placed, total = running_total(frame, "k", "v", "before", buckets)
+    placed, total = starts(frame, "k", "v", "before", buckets)
     at, expected = 0, {}
     for key, value in rows:
         expected[key] = at
@@ -43,6 +43,14 @@ def test_running_total(spark, buckets):
     assert total == at and {r.k: r.before for r in placed.collect()} == expected
 
 
+def test_starts_need_unique_keys(spark):
+    twice = spark.createDataFrame([(1, 2), (1, 3), (2, 1)], "k long, v long")
+    with pytest.raises(Exception, match="k occurs twice: 1"):
+        starts(twice, "k", "v", "before")[0].collect()
+    with pytest.raises(ValueError, match="1 rows without a k"):
+        starts(spark.createDataFrame([(None, 2)], "k long, v long"), "k", "v", "before")
+
+
 def test_token_stream(encoded):
     frame, total = encoded
     rows = win.token_stream(frame).orderBy("gpos").collect()
@@ -79,12 +87,11 @@ def test_random_batch_is_uniform_and_repeatable(spark):
     assert all(again[r.sample_id] == r.start for r in rows if r.sample_id < 50)
 
 
-def test_batches_too_large_to_broadcast(encoded, monkeypatch, spark):
+def test_batches_too_large_to_broadcast(encoded, spark):
     frame, total = encoded
     starts = spark.createDataFrame([(i, i * 3 % (total - 4)) for i in range(40)], "sample_id long, start long")
-    small = sorted(map(tuple, win.windows_at(frame, starts, 4, 40, 8).select("sample_id", "start").collect()))
-    monkeypatch.setattr(win, "BROADCAST_STARTS", 1)
-    assert sorted(map(tuple, win.windows_at(frame, starts, 4, 40, 8).select("sample_id", "start").collect())) == small
+    small = sorted(map(tuple, win.windows_at(frame, starts, 4, 8).select("sample_id", "start").collect()))
+    assert sorted(map(tuple, win.windows_at(frame, starts, 4, 8, broadcast_starts=1).select("sample_id", "start").collect())) == small
     assert len(small) == 40
 
 

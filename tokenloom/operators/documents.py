@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
-from tokenloom.operators.positions import running_total
+from tokenloom.operators.positions import starts
+from tokenloom.session import stored
 
 
 def document_split(docs: DataFrame, delimiter: str = tx.END_OF_TEXT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,12 +37,13 @@ def chunk_boundaries(
     """
     spark, width = docs.sparkSession, len(delimiter.encode("utf-8"))
     parts = F.split(F.col(text), _literal_pattern(delimiter), -1)
-    # Bytes of each part with its delimiter; the texts themselves go no further.
-    sizes = docs.select(key, F.transform(parts, lambda p: (F.octet_length(p) + width).cast("long")).alias("part_sizes"))
-    rows = sizes.withColumn("n_bytes", F.aggregate("part_sizes", F.lit(0).cast("long"), lambda a, x: a + x))
-    placed, size = running_total(rows, key, "n_bytes", "row_start")
-
+    # Bytes of each part with its delimiter, stored once; the texts themselves go no further.
+    sizes = stored(
+        docs.select(key, F.transform(parts, lambda p: (F.octet_length(p) + width).cast("long")).alias("part_sizes")), "parts")
+    rows = sizes.select(key, F.aggregate("part_sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_bytes"))
+    found, size = starts(rows, key, "n_bytes", "row_start")
     step = size // n_chunks
+    placed = sizes.join(found, key)
 
     def visit(state, part_size):
         """Go over one part and its delimiter; keep the delimiter's offset if a cut moves there."""

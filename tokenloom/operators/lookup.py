@@ -1,22 +1,10 @@
-"""Joining rows with a table of one row per key, with a size check and hot keys in mind."""
+"""Joining rows with a table of one row per key."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.session import shared_folder
-
 # Up to this many values (rows times values per row) a table may be broadcast.
 BROADCAST_VALUES = 16_000_000
-# A key with more than one row in this many counts as hot; so fewer keys than this are hot.
-HOT_SHARE = 1_000
-
-
-def stored(table: DataFrame) -> DataFrame:
-    """The table written to the shared folder and read back: computed once, cheap to count."""
-    spark = table.sparkSession
-    folder = shared_folder(spark, "lookup")
-    table.write.parquet(folder)
-    return spark.read.parquet(folder)
 
 
 def lookup_join(
@@ -27,18 +15,13 @@ def lookup_join(
     how: str = "inner",
     broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
-    """``rows`` with the matching row of ``table``, which has each key once.
+    """``rows`` with the matching row of ``table``, which has each key once; null matches null.
 
-    A table within the limit is broadcast and the rows stay where they are. With a larger
-    one, the rows of hot keys meet a broadcast of just these keys - few by definition -
-    and only the other rows are shuffled, none of whose keys can fill a task.
+    A table within the limit is broadcast and the rows stay where they are. A larger one
+    is joined by a shuffle of both sides; the rows of a hot key are then split over tasks
+    by adaptive execution, as the table's side of it is a single row.
     """
-    if table.count() * values_per_row <= broadcast_values:
-        return rows.join(F.broadcast(table), key, how)
-    share = max(1, min(HOT_SHARE, broadcast_values // values_per_row))
-    counts = stored(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
-    hot = counts.where(F.col("n") * share > counts.agg(F.sum("n")).scalar()).select(key)
-    hot_table = table.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_table), key, how)
-    cold_rows = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
-    return hot_rows.unionByName(cold_rows)
+    named = table.withColumnRenamed(key, "__key")
+    small = table.count() * values_per_row <= broadcast_values
+    side = F.broadcast(named) if small else named.hint("merge")
+    return rows.join(side, F.col(key).eqNullSafe(F.col("__key")), how).drop("__key")

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import symbols as sym
 from tokenloom.functions import text as tx
+from tokenloom.operators.positions import count_below
 
-# Merges up to this number are applied by Spark expressions, more by an Arrow function.
+# Merges up to this number are applied by Spark expressions, more by an Arrow function; same ids either way.
 EXPRESSION_MERGES = 32
+# Vocabulary and merges are held by the driver and each task; a larger table is refused when it is loaded.
+MAX_TOKENS = 10_000_000
 # Words up to this many bytes are merged by rescanning, longer ones with a queue.
 _SHORT_WORD = 48
-# A decode table is a constant array up to this id; beyond it decoding is a join.
-DENSE_IDS = 2_000_000
 _WORD_CACHE = 500_000
 
 
@@ -39,35 +40,47 @@ class Tokenizer:
             raise ValueError(f"specials without an id, see extend_vocab: {missing}")
 
     @classmethod
-    def from_tables(cls, vocab: DataFrame, merges: DataFrame, specials: list[str] = ()) -> "Tokenizer":
+    def from_tables(
+        cls, vocab: DataFrame, merges: DataFrame, specials: list[str] = (), max_tokens: int = MAX_TOKENS
+    ) -> "Tokenizer":
+        """Specials that the vocabulary lacks are added after its greatest id, in the given order."""
         for name, table in (("vocabulary", vocab), ("list of merges", merges)):
             size = table.count()
-            if size > sym.MAX_SYMBOLS:
-                raise ValueError(f"a {name} of {size} rows is more than {sym.MAX_SYMBOLS}")
+            if size > max_tokens:
+                raise ValueError(f"a {name} of {size} rows is more than {max_tokens}")
         entries = {r.token_id: bytes.fromhex(r.token_hex) for r in vocab.select("token_id", "token_hex").collect()}
+        known, following = set(entries.values()), max(entries, default=-1) + 1
+        for special in dict.fromkeys(s.encode("utf-8") for s in specials):
+            if special not in known:
+                entries[following] = special
+                following += 1
         pairs = merges.orderBy("rank").select("left_hex", "right_hex").collect()
         return cls(entries, [(bytes.fromhex(a), bytes.fromhex(b)) for a, b in pairs], list(specials))
 
     def rank_order_is_exact(self) -> bool:
         """Whether applying the merges one after the other equals lowest-rank-first.
 
-        It does if no merge makes a token that an earlier or the same merge consumes: then
-        once a merge has been applied everywhere, nothing later can give it new work.
-        Trained merges have this property, hand-made lists may not.
+        It does if each part is a byte or made before, and no merge makes a token that an
+        earlier or the same merge consumes: then once a merge has been applied everywhere,
+        nothing later can give it new work. Trained merges have this property, hand-made
+        lists may not.
         """
-        consumed = set()
-        if len(set(self.merges)) < len(self.merges):
+        consumed, made = set(), {bytes([b]) for b in range(256)}
+        if len(set(self.merges)) < len(self.merges) or len(self.merges) + 256 > sym.MAX_SYMBOLS:
             return False
         for left, right in self.merges:
+            if left not in made or right not in made:
+                return False
             consumed |= {left, right}
             if left + right in consumed:
                 return False
+            made.add(left + right)
         return True
 
 
-def ids_of_tokens(tokenizer: Tokenizer, tokens: Column) -> Column:
+def ids_of_tokens(tokenizer: Tokenizer, tokens: Column, expression_merges: int = EXPRESSION_MERGES) -> Column:
     """``array<string>`` of tokens to the ``array<int>`` of their ids. Narrow: no shuffle, no join."""
-    if len(tokenizer.merges) <= EXPRESSION_MERGES and tokenizer.rank_order_is_exact():
+    if len(tokenizer.merges) <= expression_merges and tokenizer.rank_order_is_exact():
         return ids_by_expression(tokenizer, tokens)
     return ids_by_arrow(tokenizer)(tokens)
 
@@ -222,21 +235,32 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer, token: str = "token") -
 
 
 def _lookup(tokenizer: Tokenizer, ids: Column) -> Column:
-    """Ids to the hex of their tokens; one array access each."""
-    last = max(tokenizer.vocab, default=-1)
-    hexes = sym.string_table([tokenizer.vocab[i].hex().upper() if i in tokenizer.vocab else "?" for i in range(last + 1)])
+    """Ids to the hex of their tokens, null for null; an id that is null or unknown is an error.
+
+    The table has one entry for each id that exists, in order. Where the ids have no gaps an
+    id is its place; else the place is found by halving steps over the ids.
+    """
+    known = sorted(tokenizer.vocab)
+    hexes = sym.string_table([tokenizer.vocab[i].hex().upper() for i in known])
     unknown = F.raise_error(F.lit("unknown token id"))
-    if len(tokenizer.vocab) == last + 1:
-        return F.transform(ids, lambda i: F.coalesce(F.get(hexes, i), unknown))
-    return F.transform(ids, lambda i: F.coalesce(F.nullif(F.get(hexes, i), F.lit("?")), unknown))
+
+    def place(token_id: Column) -> Column:
+        if not known or known[-1] - known[0] + 1 == len(known):
+            return token_id - F.lit(known[0] if known else 0)
+        numbers = sym.string_table([str(i) for i in known]).cast("array<int>")
+        at = count_below(numbers, len(known), token_id)
+        return F.when(F.get(numbers, at) == token_id, at)
+
+    return F.transform(ids, lambda i: F.coalesce(F.get(hexes, place(i)), unknown))
 
 
 def decode(tokenizer: Tokenizer, ids: Column) -> Column:
-    """Ids to text, malformed bytes as U+FFFD; an unknown id is an error.
+    """Ids to text, malformed bytes as U+FFFD; null ids give null.
 
     The bytes of a token are one array access away, so decoding neither explodes nor joins.
     """
-    return tx.utf8_replace(F.unhex(F.concat_ws("", _lookup(tokenizer, ids))))
+    joined = F.concat_ws("", _lookup(tokenizer, ids))
+    return F.when(ids.isNotNull(), tx.utf8_replace(F.unhex(joined)))
 
 
 def decode_each(tokenizer: Tokenizer, ids: Column) -> Column:
@@ -245,26 +269,8 @@ def decode_each(tokenizer: Tokenizer, ids: Column) -> Column:
 
 
 def decode_documents(encoded: DataFrame, tokenizer: Tokenizer, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``key, text``."""
-    if max(tokenizer.vocab, default=0) <= DENSE_IDS:
-        return encoded.select(key, decode(tokenizer, F.col(ids)).alias("text"))
-    return _decode_by_join(encoded, tokenizer, key, ids)
-
-
-def _decode_by_join(encoded: DataFrame, tokenizer: Tokenizer, key: str, ids: str) -> DataFrame:
-    """For sparse, huge ids. The vocabulary has passed the count check, so it may be broadcast."""
-    rows = [(i, token.hex().upper()) for i, token in tokenizer.vocab.items()]
-    vocab = encoded.sparkSession.createDataFrame(rows, "token_id int, token_hex string")
-    each = encoded.select(key, F.posexplode_outer(ids).alias("pos", "token_id"))
-    found = each.join(F.broadcast(vocab), "token_id", "left").withColumn(
-        "token_hex",
-        F.when(F.col("token_id").isNull(), "").otherwise(
-            F.coalesce("token_hex", F.raise_error(F.lit("unknown token id")))
-        ),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "token_hex")))
-    joined = found.groupBy(key).agg(F.concat_ws("", F.transform(ordered, lambda t: t["token_hex"])).alias("h"))
-    return joined.select(key, tx.utf8_replace(F.unhex("h")).alias("text"))
+    """``key, text``; one row per row, also where keys repeat."""
+    return encoded.select(key, decode(tokenizer, F.col(ids)).alias("text"))
 
 
 def token_strings(encoded: DataFrame, tokenizer: Tokenizer, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -281,5 +287,5 @@ def roundtrip_mismatches(docs: DataFrame, tokenizer: Tokenizer, text: str = "tex
     """Rows, and rows whose text does not come back from its ids. One narrow pass and one sum."""
     back = decode(tokenizer, encode(tokenizer, F.col(text)))
     return docs.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum((back != F.col(text)).cast("long")), F.lit(0)).alias("n_bad")
+        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum((~back.eqNullSafe(F.col(text))).cast("long")), F.lit(0)).alias("n_bad")
     )

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.operators.positions import running_total
+from tokenloom.operators.positions import starts
+from tokenloom.session import stored
 
 # Starts are broadcast up to this batch size, joined by shuffle beyond.
 BROADCAST_STARTS = 1_000_000
@@ -18,9 +19,9 @@ def default_block(m: int) -> int:
 
 def place_documents(encoded: DataFrame, key: str = "doc_id", ids: str = "ids") -> tuple[DataFrame, int]:
     """Adds ``doc_start``, the stream position of the first id of each row. Also the length."""
-    sized = encoded.select(key, ids, F.size(ids).alias("n_ids"))
-    placed, total = running_total(sized, key, "n_ids", "doc_start")
-    return placed, int(total)
+    sizes = encoded.select(key, F.coalesce(F.size(ids), F.lit(0)).alias("n_ids"))
+    found, total = starts(sizes, key, "n_ids", "doc_start")
+    return encoded.select(key, ids, F.coalesce(F.size(ids), F.lit(0)).alias("n_ids")).join(found, key), int(total)
 
 
 def token_stream(encoded: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -87,16 +88,17 @@ def lm_windows(encoded: DataFrame, m: int, block: int | None = None, key: str =
 
 
 def windows_at(
-    encoded: DataFrame, samples: DataFrame, m: int, batch_size: int, block: int | None = None, key: str = "doc_id", ids: str = "ids"
+    encoded: DataFrame, samples: DataFrame, m: int, block: int | None = None, key: str = "doc_id", ids: str = "ids",
+    broadcast_starts: int = BROADCAST_STARTS,
 ) -> DataFrame:
     """``sample_id, start, x, y`` for given ``sample_id, start``; starts past the last window give no row."""
     placed, _ = place_documents(encoded, key, ids)
-    return _cut_samples(placed, samples, m, batch_size, block or default_block(m), ids)
+    return _cut_samples(placed, samples, m, block or default_block(m), ids, broadcast_starts)
 
 
-def _cut_samples(placed: DataFrame, samples: DataFrame, m: int, batch_size: int, block: int, ids: str) -> DataFrame:
-    wanted = samples.withColumn("block_no", F.floor(F.col("start") / block))
-    bounded = batch_size <= BROADCAST_STARTS
+def _cut_samples(placed: DataFrame, samples: DataFrame, m: int, block: int, ids: str, broadcast_starts: int = BROADCAST_STARTS) -> DataFrame:
+    wanted = stored(samples.withColumn("block_no", F.floor(F.col("start") / block)), "starts")
+    bounded = wanted.count() <= broadcast_starts
     # Only blocks that hold a start are put together.
     needed = wanted.select("block_no").distinct()
     segments = _segments(placed, m, block, ids).join(F.broadcast(needed) if bounded else needed, "block_no", "left_semi")
@@ -125,4 +127,4 @@ def lm_batch(
         F.col("id").alias("sample_id"),
         F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total - m)).alias("start"),
     )
-    return _cut_samples(placed, draws, m, batch_size, block or default_block(m), ids)
+    return _cut_samples(placed, draws, m, block or default_block(m), ids)

@@ -12,7 +12,7 @@ _SPACES = (
 )
 _MARK = r"\x{E000}"
 _DELIMITED = "replace(text, chr(10), '<|endoftext|>')"
-_TURNS = "SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations"
+_TURNS = "SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS doc_id, text FROM conversations"
 _DOCUMENTS = "SELECT doc_id, text FROM documents"
 
 
@@ -60,8 +60,8 @@ def _pairs(words: str) -> str:
     )
 
 
-def _training(merges: int = q.N_MERGES) -> list[str]:
-    parts = _counts()
+def _training(merges: int = q.N_MERGES, counts: list[str] | None = None) -> list[str]:
+    parts = counts or _counts()
     parts.append(f"w0 AS MATERIALIZED (SELECT {_SPACED.format('token')} AS s, n FROM counts)")
     for i in range(1, merges + 1):
         parts.append(
@@ -228,7 +228,7 @@ def _oracles() -> dict[str, str]:
         f"windows AS (SELECT gpos AS start, {window.format(0, m - 1)} AS x, {window.format(1, m)} AS y FROM stream "
         f"QUALIFY gpos < count(*) OVER () - {m})"
     )
-    logits = f"embedding[1:{q.N_LOGITS}]"
+    logits = "embedding"
     loss = "ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))) + list_max(l) - l[label + 1]"
     losses = " UNION ALL ".join(
         f"SELECT {s} AS scale, {_round(f'avg({loss})')} AS loss, count(*) AS n_rows FROM "
@@ -252,6 +252,8 @@ def _oracles() -> dict[str, str]:
             "SELECT 'vocab' AS kind, token_id AS no, shown AS line FROM v UNION ALL "
             "SELECT 'merge', rank, a.shown || ' ' || b.shown FROM a JOIN b USING (rank)",
         ),
+        # Each text is followed by the delimiter; the malformed bytes around it are dropped.
+        "delimited_files": pretokens,
         "special_split": f"SELECT doc_id, piece_pos, piece, piece IN ({_special_list()}) AS is_special FROM ("
         + _rows("doc_id", "documents", _pieces(_DELIMITED), ("piece_pos", "piece")) + ")",
         "pretokenize": _rows("doc_id", "documents", _pretokens("text"), ("tok_pos", "token")),
@@ -266,10 +268,14 @@ def _oracles() -> dict[str, str]:
         "top_pairs": _with(first_pairs, f"SELECT {pair_columns} FROM pairs {ranked} {q.TOP}"),
         # Words of one byte hold no pair and are not in the word table.
         "apply_merge": _with(
-            _training(1),
+            [*first_pairs, f"m1 AS (SELECT l, r FROM pairs {ranked} 1)"],
             f"SELECT replace({_SPACED.format('token')}, ' ' || l || '  ' || r || ' ', ' ' || l || r || ' ') AS word_hex, n "
             "FROM counts, m1 WHERE strlen(token) > 1",
         ),
+        "train_exhausted": _with(
+            _training(q.N_EXHAUSTED, ["counts AS MATERIALIZED (SELECT lang AS token, count(*) AS n FROM documents GROUP BY lang)"]),
+            "SELECT * FROM merges",
+        ),
         "train_bpe": _with(train, "SELECT * FROM merges"),
         "trained_vocab": _with(train, "SELECT * FROM vocab"),
         "base_vocab": _with(
@@ -301,7 +307,8 @@ def _oracles() -> dict[str, str]:
         "token_counts": _with(docs, "SELECT token_id, count(*) AS n FROM (SELECT unnest(ids) AS token_id FROM enc) GROUP BY token_id"),
         "token_stream": _with(docs + _STREAM, "SELECT gpos, doc_id, token_id FROM stream"),
         "lm_windows": _with(turns + _STREAM + [windows], f"SELECT start, {_text('x')} AS x, {_text('y')} AS y FROM windows"),
-        "lm_batch": f"SELECT {q.BATCH} AS n_samples, 0 AS bad_windows, 0 AS bad_starts",
+        "lm_batch": _with(
+            docs, f"SELECT {q.SAMPLES} AS n_samples, 0 AS bad_windows, 0 AS bad_starts, 0 AS bad_cells, sum(len(ids))::BIGINT AS n_ids FROM enc"),
         "lm_batch_fixed": _with(
             docs + _STREAM + [
                 f"starts AS (SELECT i AS sample_id, (i * 7919) % ((SELECT count(*) FROM stream) - {m}) AS start FROM range({q.BATCH}) t(i))",
@@ -312,8 +319,7 @@ def _oracles() -> dict[str, str]:
         ),
         "embedding_lookup": _with(
             train + _encoding("SELECT item_id AS doc_id, text FROM benchmark"),
-            f"SELECT doc_id, pos, token_id, {_round('embedding[1]::DOUBLE')} AS v_first, {_round('embedding[64]::DOUBLE')} AS v_last, "
-            f"{_round('list_sum(list_transform(embedding, lambda x: x::DOUBLE))')} AS v_sum FROM ("
+            f"SELECT doc_id, pos, token_id, (generate_subscripts(embedding, 1) - 1)::INT AS dim, {_round('unnest(embedding)::DOUBLE')} AS value FROM ("
             "SELECT doc_id, unnest(ids) AS token_id, generate_subscripts(ids, 1) - 1 AS pos FROM enc) "
             "JOIN embeddings ON vec_id = token_id",
         ),
@@ -329,7 +335,7 @@ def _oracles() -> dict[str, str]:
         "group_softmax": (
             f"SELECT vec_id, label, {_round('e / sum(e) OVER (PARTITION BY label)')} AS p FROM ("
             "SELECT vec_id, label, exp(s - max(s) OVER (PARTITION BY label)) AS e FROM ("
-            "SELECT vec_id, label, embedding[1]::DOUBLE AS s FROM embeddings))"
+            "SELECT vec_id, label, list_sum(list_transform(embedding, lambda x: x::DOUBLE)) AS s FROM embeddings))"
         ),
         "attention_pool": _attention("a.vec_id <> b.vec_id"),
         "causal_pool": _attention("b.vec_id <= a.vec_id"),

@@ -17,19 +17,23 @@ from tokenloom.operators import vocab as vb
 from tokenloom.operators import windows as win
 from tokenloom.operators import words as wd
 from tokenloom.plans.train import train_bpe
-from tokenloom.session import shared_folder
+from tokenloom.session import is_folder, shared_folder, stored
 from tokenloom.sources import artifacts as art
 from tokenloom.sources import corpus as src
 from tokenloom.streaming import text as st
 
 SPECIALS = [tx.END_OF_TEXT, tx.END_OF_TEXT * 2]
-N_MERGES = 24
+#: Enough for the plan that larger vocabularies get, too.
+N_MERGES = 64
+#: More than the texts of one column have pairs for.
+N_EXHAUSTED = 12
 N_CHUNKS = 16
 CONTEXT = 16
 BATCH = 256
 TOP = 20
 WIDTH = 64
-N_LOGITS = 10
+SAMPLES = 4096
+CELLS = 8
 VOCAB_SIZE = 256 + len(SPECIALS) + N_MERGES
 
 
@@ -47,21 +51,29 @@ def _delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id")
-    return src.spread(_table(spark, sf_dir, "conversations").select(key, "text"), "doc_id")
+    """Turns under one number: conversation by conversation, with room for the longest one."""
+    rows = _table(spark, sf_dir, "conversations")
+    room = rows.agg((F.coalesce(F.max("turn"), F.lit(0)) + 1).alias("room")).scalar()
+    return src.spread(rows.select((F.col("conv_id") * room + F.col("turn")).alias("doc_id"), "text"), "doc_id")
 
 
 def _role_specials(spark: SparkSession, sf_dir: str) -> list[str]:
-    """One special token per role of the conversations; roles are a handful of names."""
-    roles = _table(spark, sf_dir, "conversations").select("role").distinct().orderBy("role").limit(1000)
+    """One special token per role of the conversations, as many as there are: each becomes an entry of the vocabulary."""
+    roles = _table(spark, sf_dir, "conversations").select("role").distinct().orderBy("role")
     return [f"<|{r.role}|>" for r in roles.collect()]
 
 
-# A corpus is trained and encoded once per application; the queries below read the tables.
+# A corpus is trained and encoded once per application and state of its files; the queries below read the tables.
+
+
+def _state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """What a table is made of: its files with size and time. Few rows per file, none of the data is read."""
+    files = _table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return tuple(sorted(map(str, files.distinct().collect())))
 
 
 @lru_cache(maxsize=None)
-def _artifacts(application_id: str, spark: SparkSession, sf_dir: str) -> str:
+def _artifacts(application_id: str, spark: SparkSession, sf_dir: str, state: tuple) -> str:
     folder = shared_folder(spark, "tokenizer")
     trained = train_bpe(_documents(spark, sf_dir), VOCAB_SIZE, SPECIALS)
     art.save_tokenizer(trained.vocab, trained.merges, folder)
@@ -69,7 +81,8 @@ def _artifacts(application_id: str, spark: SparkSession, sf_dir: str) -> str:
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return art.load_tokenizer(spark, _artifacts(spark.sparkContext.applicationId, spark, sf_dir))
+    state = _state(spark, sf_dir, "documents")
+    return art.load_tokenizer(spark, _artifacts(spark.sparkContext.applicationId, spark, sf_dir, state))
 
 
 def _tokenizer(spark: SparkSession, sf_dir: str) -> tk.Tokenizer:
@@ -77,7 +90,7 @@ def _tokenizer(spark: SparkSession, sf_dir: str) -> tk.Tokenizer:
 
 
 @lru_cache(maxsize=None)
-def _encoded_folder(application_id: str, spark: SparkSession, sf_dir: str, name: str) -> str:
+def _encoded_folder(application_id: str, spark: SparkSession, sf_dir: str, name: str, state: tuple) -> str:
     folder = shared_folder(spark, f"encoded-{name}")
     docs = {"documents": _documents, "conversations": _turns}[name](spark, sf_dir)
     tk.encode_documents(docs, _tokenizer(spark, sf_dir)).write.parquet(folder)
@@ -85,7 +98,8 @@ def _encoded_folder(application_id: str, spark: SparkSession, sf_dir: str, name:
 
 
 def _encoded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(_encoded_folder(spark.sparkContext.applicationId, spark, sf_dir, name))
+    state = _state(spark, sf_dir, name) + _state(spark, sf_dir, "documents")
+    return spark.read.parquet(_encoded_folder(spark.sparkContext.applicationId, spark, sf_dir, name, state))
 
 
 def _as_text(ids: str) -> Column:
@@ -157,6 +171,15 @@ def gpt2_import(spark, sf_dir):
 # Text
 
 
+def delimited_files(spark, sf_dir):
+    """Texts written as one delimited file with malformed bytes in it, read back and counted in pre-tokens."""
+    folder = shared_folder(spark, "delimited")
+    broken = F.concat(F.lit("FF"), F.hex(F.encode("text", "UTF-8")), F.lit("E282"))
+    lines = _documents(spark, sf_dir).select(F.unhex(broken).cast("string").alias("value"))
+    lines.write.option("lineSep", tx.END_OF_TEXT).text(folder)
+    return wd.pretoken_counts(src.read_delimited(spark, folder)).select("token", "n")
+
+
 def special_split(spark, sf_dir):
     return dc.special_split(_delimited(spark, sf_dir), SPECIALS)
 
@@ -214,10 +237,9 @@ def top_pairs(spark, sf_dir):
 
 
 def apply_merge(spark, sf_dir):
-    best = best_pair(spark, sf_dir).first()
-    table = sym.SymbolTable()
-    merged = wd.apply_merge(
-        _words(spark, sf_dir), bytes.fromhex(best.left_hex), bytes.fromhex(best.right_hex), table)
+    words, table = stored(_words(spark, sf_dir), "words"), sym.SymbolTable()
+    best = wd.best_pair(wd.pair_stats(words)).first()
+    merged = wd.apply_merge(words, bytes.fromhex(best.left_hex), bytes.fromhex(best.right_hex), table)
     return wd.words_to_hex(merged, table)
 
 
@@ -228,6 +250,12 @@ def train(spark, sf_dir):
     return train_bpe(_documents(spark, sf_dir), VOCAB_SIZE, SPECIALS).merges
 
 
+def train_exhausted(spark, sf_dir):
+    """A corpus whose pairs run out long before the vocabulary is full, and empty texts: training stops early."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("lang").alias("text"))
+    return train_bpe(docs.unionByName(docs.select(F.lit("").alias("text"))), 256 + N_EXHAUSTED, []).merges
+
+
 def trained_vocab(spark, sf_dir):
     return _vocab_view(_tables(spark, sf_dir)[0])
 
@@ -294,17 +322,23 @@ def lm_windows(spark, sf_dir):
 
 
 def lm_batch(spark, sf_dir):
-    """What a random batch must satisfy, counted."""
+    """What a random batch must satisfy, counted; starts may leave the mean of a uniform draw by five sigma in no cell."""
     encoded = _encoded(spark, sf_dir, "documents")
     total = encoded.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("total"))
-    batch = win.lm_batch(encoded, BATCH, CONTEXT, seed=7)
+    last = total.scalar() - CONTEXT
+    batch = win.lm_batch(encoded, SAMPLES, CONTEXT, seed=7)
     moved = F.slice("y", 1, CONTEXT - 1) == F.slice("x", 2, CONTEXT - 1)
     sized = (F.size("x") == CONTEXT) & (F.size("y") == CONTEXT)
-    inside = (F.col("start") >= 0) & (F.col("start") < total.scalar() - CONTEXT)
+    inside = (F.col("start") >= 0) & (F.col("start") < last)
+    mean, sigma = SAMPLES / CELLS, (SAMPLES / CELLS * (1 - 1 / CELLS)) ** 0.5
+    in_cell = [F.sum((F.floor(F.col("start") * CELLS / last) == i).cast("long")) for i in range(CELLS)]
+    uneven = [(F.abs(n - F.lit(mean)) > 5 * sigma).cast("long") for n in in_cell]
     return batch.agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.sum((~(moved & sized)).cast("long")).alias("bad_windows"),
         F.sum((~inside).cast("long")).alias("bad_starts"),
+        sum(uneven[1:], uneven[0]).alias("bad_cells"),
+        F.max(total.scalar()).alias("n_ids"),
     )
 
 
@@ -313,7 +347,7 @@ def lm_batch_fixed(spark, sf_dir):
     total = encoded.agg(F.sum(F.size("ids"))).first()[0]
     starts = spark.range(BATCH).select(
         F.col("id").alias("sample_id"), ((F.col("id") * 7919) % (total - CONTEXT)).alias("start"))
-    batch = win.windows_at(encoded, starts, CONTEXT, BATCH)
+    batch = win.windows_at(encoded, starts, CONTEXT)
     return batch.select("sample_id", "start", _as_text("x"), _as_text("y"))
 
 
@@ -324,13 +358,8 @@ def embedding_lookup(spark, sf_dir):
     items = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     encoded = tk.encode_documents(items, _tokenizer(spark, sf_dir))
     found = vec.embedding_lookup(encoded, _table(spark, sf_dir, "embeddings"), WIDTH)
-    values = F.col("vector").cast("array<double>")
-    return found.select(
-        "doc_id", "pos", "token_id",
-        _rounded(values[0]).alias("v_first"),
-        _rounded(values[WIDTH - 1]).alias("v_last"),
-        _rounded(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("v_sum"),
-    )
+    each = found.select("doc_id", "pos", "token_id", F.posexplode("vector").alias("dim", "value"))
+    return each.withColumn("value", _rounded(F.col("value").cast("double")))
 
 
 def vector_project(spark, sf_dir):
@@ -348,7 +377,9 @@ def rms_normalize(spark, sf_dir):
 
 
 def group_softmax(spark, sf_dir):
-    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding")[0].alias("score"))
+    """Scores are the sums of all components."""
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", total.alias("score"))
     weighted = vec.group_softmax(rows, "label", "score")
     return weighted.select("vec_id", "label", _rounded(F.col("p")).alias("p"))
 
@@ -369,9 +400,9 @@ def causal_pool(spark, sf_dir):
 
 
 def cross_entropy(spark, sf_dir):
-    """The first components as logits, as they are and a thousand times larger."""
+    """All components as logits, as they are and a thousand times larger."""
     rows = _table(spark, sf_dir, "embeddings")
-    logits = F.slice(F.col("embedding").cast("array<double>"), 1, N_LOGITS)
+    logits = F.col("embedding").cast("array<double>")
     losses = [
         vec.cross_entropy(rows, F.transform(logits, lambda x: x * scale), F.col("label")).select(
             F.lit(scale).alias("scale"), _rounded(F.col("loss")).alias("loss"), "n_rows")
@@ -389,9 +420,11 @@ def clip_l2_norm(spark, sf_dir):
 
 def _document_stream(spark, sf_dir) -> DataFrame:
     schema = _table(spark, sf_dir, "documents").schema
-    items = st.read_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet").select("doc_id", "text")
-    # The whole stream is one small file here, so its items are spread over the cores.
-    return items.repartition(2 * spark.sparkContext.defaultParallelism, "doc_id")
+    # A table is one file or a folder of files.
+    path = f"{sf_dir}/documents.parquet"
+    if is_folder(spark, path):
+        return st.read_stream(spark, path, schema).select("doc_id", "text")
+    return st.read_stream(spark, sf_dir, schema, pathGlobFilter="documents.parquet").select("doc_id", "text")
 
 
 def encode_stream(spark, sf_dir):
@@ -413,9 +446,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         corpus_scan, chunk_boundaries, document_split, utf8_ignore, artifact_roundtrip, gpt2_import, gpt2_export,
-        special_split, pretokenize, pretokenize_runs, byte_sequences, special_encode, vocab_leak_check,
+        delimited_files, special_split, pretokenize, pretokenize_runs, byte_sequences, special_encode, vocab_leak_check,
         pretoken_counts, corpus_stats, pair_stats, best_pair, top_pairs, apply_merge,
-        trained_vocab, base_vocab, extend_vocab, longest_tokens,
+        train_exhausted, trained_vocab, base_vocab, extend_vocab, longest_tokens,
         encode_words, encode_documents, encode_documents_arrow, decode_documents, token_strings, roundtrip_mismatches,
         token_counts, token_stream, lm_windows, lm_batch, lm_batch_fixed,
         embedding_lookup, vector_project, rms_normalize, group_softmax, attention_pool, causal_pool, cross_entropy,

@@ -4,6 +4,9 @@ Words and pair counts are tables. A round ranks the pairs, takes the longest pre
 the ranking that no merge inside it can disturb, and goes on with these merges. Only the
 ranked candidates (at most ``candidates`` rows) reach the driver.
 
+A word table within a fixed bound - distinct words, not the corpus - goes to one task
+instead, which does the same merges with an index from pairs to words.
+
 A round scans the cached words once, rewrites those that hold a merged pair, and corrects
 the pair counts by the difference. Every ``rounds_per_epoch`` rounds both tables are
 written below the shared folder and read back, which cuts the lineage: a lost executor
@@ -11,15 +14,20 @@ costs one re-read and the replay of a few narrow projections.
 """
 
 import math
+import re
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import symbols as sym
 from tokenloom.operators import vocab as vb
 from tokenloom.operators import words as wd
-from tokenloom.session import shared_folder
+from tokenloom.session import delete, shared_folder
 
 
 @dataclass
@@ -95,14 +103,9 @@ class _MergeLoop:
         self.held += [(self.words, words), (self.pairs, pairs)]
 
     def ranked(self) -> list[tuple[bytes, bytes, int]]:
-        hexes = f"split('{','.join(token.hex().upper() for token in self.table.tokens)}', ',')"
-        index = "ascii({c})"
-        if len(self.table.tokens) > sym.SURROGATES_START:
-            index = f"ascii({{c}}) - if(ascii({{c}}) < {sym.SURROGATES_START}, 0, {sym.SURROGATES_SIZE})"
-        left, right = (f"get({hexes}, {index.format(c=c)})" for c in ("pair", "substr(pair, 2, 1)"))
-        top = self.spark.sql(
-            f"SELECT pair, n FROM {self.pairs} ORDER BY n DESC, {left} DESC, {right} DESC LIMIT {self.candidates}"
-        ).collect()
+        hexes, n = self.table.hex_literal(), len(self.table.tokens)
+        sides = (F.get(hexes, sym.symbol_index(F.substr("pair", F.lit(i), F.lit(1)), n)) for i in (1, 2))
+        top = self.spark.table(self.pairs).orderBy(F.desc("n"), *(side.desc() for side in sides)).limit(self.candidates).collect()
         # The job above has filled this round's caches. The words before it are still
         # needed once: the current words are derived from them in the next round.
         done, self.held = self.held[:-4], self.held[-4:]
@@ -110,32 +113,26 @@ class _MergeLoop:
         return [(self.table.token_of(r[0][0]), self.table.token_of(r[0][1]), r[1]) for r in top]
 
     def advance(self, batch: list[tuple[bytes, bytes]]) -> None:
+        """The shape of a round's plan does not depend on its merges, so its code is compiled once.
+
+        Only the changed words are exploded, and only their pairs are shuffled: the pair
+        table stays partitioned by pair, and the differences come to it.
+        """
         rules = [self.table.merge_rule(left, right) for left, right in batch]
-        merged, hits = "word", []
-        for rule in rules:
-            pair, token = (_sql_string(part) for part in (rule[:2], rule[2]))
-            merged = f"replace({merged}, {pair}, {token})"
-            hits.append(f"contains(word, {pair})")
-        hit = " OR ".join(hits)
+        words, pairs = self.spark.table(self.words), self.spark.table(self.pairs)
+        hit = F.rlike("word", F.lit("|".join(re.escape(rule[:2]) for rule in rules)))
+        merged = sym.apply_rules(F.col("word"), rules)
         # Each changed word leaves its old pairs and brings its new ones.
-        changed = f"""(SELECT w.word, w.n FROM (
-            SELECT explode(array(struct(word, -n AS n), struct({merged} AS word, n))) AS w
-            FROM {self.words} WHERE {hit}))"""
-        pairs = self.spark.sql(
-            f"""
-            SELECT pair, sum(n) AS n
-            FROM (SELECT pair, n FROM {self.pairs} UNION ALL {wd.PAIR_ROWS.format(words=changed)})
-            GROUP BY pair HAVING sum(n) > 0
-            """
-        )
-        words = self.spark.sql(
-            f"SELECT CASE WHEN {hit} THEN {merged} ELSE word END AS word, n FROM {self.words}"
-        )
+        both = F.explode(F.array(F.struct("word", (-F.col("n")).alias("n")), F.struct(merged.alias("word"), "n"))).alias("w")
+        changed = words.where(hit).select(both).select("w.*")
+        union = pairs.unionByName(wd.pair_counts(changed).where("n <> 0"))
+        fresh = union.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+        words = words.withColumn("word", F.when(hit, merged).otherwise(F.col("word")))
         self.rounds += 1
         if self.rounds >= self.rounds_per_epoch:
-            self._restart(words.where("length(word) > 1"), pairs)
+            self._restart(words.where("length(word) > 1"), fresh)
         else:
-            self._use(words.persist(), pairs.persist())
+            self._use(words.persist(), fresh.persist())
 
     def _release(self, held: list[tuple[str, DataFrame]]) -> None:
         for name, frame in held:
@@ -147,8 +144,77 @@ class _MergeLoop:
         self.held = []
 
 
-def _sql_string(text: str) -> str:
-    return "'" + "".join(f"\\U{ord(c):08x}" for c in text) + "'"
+# A word table up to these bounds is merged in one task, a larger one by rounds of jobs; same merges either way.
+ONE_TASK_WORDS = 1_000_000
+ONE_TASK_SYMBOLS = 16_000_000
+
+
+def _greater_first(token: bytes) -> tuple[int, ...]:
+    """A key under which greater byte strings come first."""
+    return (*(255 - b for b in token), 256)
+
+
+def merge_words(words: Iterable[tuple[str, int]], limit: int, known: set[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Merges in order, for words small enough for one task, from ``word, n`` with one character per byte.
+
+    Keeps the count of each pair and the words it was seen in, so a merge touches only those.
+    """
+    spelled = [([bytes([ord(c)]) for c in word], n) for word, n in words]
+    counts: dict[tuple[bytes, bytes], int] = defaultdict(int)
+    where: dict[tuple[bytes, bytes], set[int]] = defaultdict(set)
+    for i, (parts, n) in enumerate(spelled):
+        for pair in zip(parts, parts[1:]):
+            counts[pair] += n
+            where[pair].add(i)
+
+    def entry(pair: tuple[bytes, bytes]):
+        return -counts[pair], _greater_first(pair[0]), _greater_first(pair[1]), pair
+
+    queue = [entry(pair) for pair in counts]
+    heapify(queue)
+    while limit and queue:
+        n, _, _, (left, right) = heappop(queue)
+        if counts.get((left, right), 0) != -n:
+            continue  # its count has changed since, and a newer entry is in the queue
+        yield left, right
+        limit -= 1
+        joined, touched = left + right, set()
+        for i in where.pop((left, right)):
+            parts, times = spelled[i]
+            out, at = [], 0
+            while at < len(parts):
+                if at + 1 < len(parts) and parts[at] == left and parts[at + 1] == right:
+                    out.append(joined)
+                    at += 2
+                else:
+                    out.append(parts[at])
+                    at += 1
+            if len(out) == len(parts):
+                continue
+            for sign, own in ((-times, parts), (times, out)):
+                for pair in zip(own, own[1:]):
+                    counts[pair] += sign
+                    touched.add(pair)
+            for pair in zip(out, out[1:]):
+                where[pair].add(i)
+            spelled[i] = (out, times)
+        for pair in touched:
+            if counts[pair] > 0:
+                heappush(queue, entry(pair))
+            else:
+                del counts[pair]
+
+
+def _in_one_task(words: DataFrame, limit: int, known: set[bytes]) -> list[tuple[bytes, bytes]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((w, n) for b in batches for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        found = list(merge_words(rows, limit, known))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(found)), pa.int32()), *(pa.array([pair[i] for pair in found], pa.binary()) for i in (0, 1))],
+            ["rank", "left", "right"])
+
+    learned = words.coalesce(1).mapInArrow(run, "rank int, left binary, right binary").collect()
+    return [(bytes(r["left"]), bytes(r["right"])) for r in sorted(learned, key=lambda r: r["rank"])]
 
 
 def learn_merges(
@@ -158,23 +224,31 @@ def learn_merges(
     candidates: int = 256,
     words_per_task: int = 200_000,
     known: set[bytes] = frozenset(),
+    one_task_words: int = ONE_TASK_WORDS,
 ) -> list[tuple[bytes, bytes]]:
     """Up to ``limit`` merges, in order, learned from ``token, is_special, n``."""
     spark = counts.sparkSession
-    loop = _MergeLoop(spark, shared_folder(spark, "train"), rounds_per_epoch, candidates)
     words = wd.word_table(counts)
-    loop.start(words, words.count(), words_per_task)
+    size = words.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum(F.length("word")), F.lit(0)).alias("symbols")).first()
+    if size["words"] <= one_task_words and size["symbols"] <= ONE_TASK_SYMBOLS:
+        return _in_one_task(words, limit, known)
+    folder = shared_folder(spark, "train")
+    loop = _MergeLoop(spark, folder, rounds_per_epoch, candidates)
     merges: list[tuple[bytes, bytes]] = []
-    while len(merges) < limit:
-        ranked = loop.ranked()
-        if not ranked:
-            break
-        taken = loop.table.index.keys() | known
-        batch = safe_prefix(ranked, taken, len(ranked) == candidates, limit - len(merges))
-        merges += batch
-        if len(merges) < limit:
-            loop.advance(batch)
-    loop.stop()
+    try:
+        loop.start(words, size["words"], words_per_task)
+        while len(merges) < limit:
+            ranked = loop.ranked()
+            if not ranked:
+                break
+            taken = loop.table.index.keys() | known
+            batch = safe_prefix(ranked, taken, len(ranked) == candidates, limit - len(merges))
+            merges += batch
+            if len(merges) < limit:
+                loop.advance(batch)
+    finally:
+        loop.stop()
+        delete(spark, folder)
     return merges
 
 
@@ -184,9 +258,12 @@ def train_bpe(
     """Vocabulary and merges of a corpus. No words at all gives two empty tables."""
     spark, specials = docs.sparkSession, list(specials)
     folder = shared_folder(spark, "counts")
-    # Pre-tokenizing is the one pass over the corpus; its result is kept, not recomputed.
-    wd.pretoken_counts(docs, specials, text).write.parquet(folder)
-    return train_from_counts(spark.read.parquet(folder), vocab_size, specials, **loop_options)
+    try:
+        # Pre-tokenizing is the one pass over the corpus; its result is kept, not recomputed.
+        wd.pretoken_counts(docs, specials, text).write.parquet(folder)
+        return train_from_counts(spark.read.parquet(folder), vocab_size, specials, **loop_options)
+    finally:
+        delete(spark, folder)
 
 
 def train_from_counts(counts: DataFrame, vocab_size: int, specials: list[str] = (), **loop_options) -> TrainedBpe:

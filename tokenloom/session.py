@@ -4,7 +4,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=None)
@@ -23,3 +23,31 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/tokenloom-{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(table: DataFrame, purpose: str) -> DataFrame:
+    """The table written to the shared folder and read back: computed once, cheap to count, not lost with an executor."""
+    folder = shared_folder(table.sparkSession, purpose)
+    table.write.parquet(folder)
+    return table.sparkSession.read.schema(table.schema).parquet(folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where) and files.getFileStatus(where).isDirectory()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of intermediate data, in whatever file system it lies."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)

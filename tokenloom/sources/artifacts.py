@@ -45,9 +45,11 @@ def export_text_format(vocab: DataFrame, merges: DataFrame, folder: str) -> None
 
     Both files are bounded by the vocabulary size, hence single partitions.
     """
+    # Equal bytes under several ids share one name; the format keeps the greatest id, as encoding does.
+    named = printable_vocab(vocab).groupBy("printable").agg(F.max("token_id").alias("token_id"))
     entries = F.array_sort(F.collect_list(F.struct("token_id", "printable")))
     as_map = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["printable"], e["token_id"])))
-    printable_vocab(vocab).agg(F.to_json(as_map).alias("value")).coalesce(1).write.text(f"{folder}/vocab")
+    named.agg(F.to_json(as_map).alias("value")).coalesce(1).write.text(f"{folder}/vocab")
     lines = F.array_sort(F.collect_list(F.struct("rank", "line")))
     printable_merges(merges).agg(
         F.array_join(F.transform(lines, lambda e: e["line"]), "\n").alias("value")

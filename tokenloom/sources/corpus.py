@@ -1,4 +1,4 @@
-"""Corpus readers. Every reader gives ``doc_id, text`` with one row per document."""
+"""Corpus readers."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,18 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     return spark.read.format(fmt).options(**options).load(path)
 
 
-def spread(docs: DataFrame, key: str) -> DataFrame:
-    """Spreads a small input over the cores before CPU-heavy work on its texts.
+#: Inputs of at most so many file splits (of 128 MB by default) may be spread.
+SMALL_SPLITS = 8
 
-    An input that already has enough splits is left alone, so only inputs smaller than
-    about two file splits per core are ever shuffled.
+
+def spread(docs: DataFrame, key: str, small_splits: int = SMALL_SPLITS) -> DataFrame:
+    """Spreads a small input over the cores before CPU-heavy work on its texts; for callers that want it.
+
+    Only an input of ``small_splits`` splits or less, a gigabyte or so, is ever shuffled.
     """
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(2 * cores, key) if docs.rdd.getNumPartitions() < 2 * cores else docs
+    splits = docs.rdd.getNumPartitions()
+    return docs.repartition(2 * cores, key) if splits < 2 * cores and splits <= small_splits else docs
 
 
 def read_whole_files(spark: SparkSession, path: str, errors: str = "ignore") -> DataFrame:
@@ -27,12 +31,15 @@ def read_whole_files(spark: SparkSession, path: str, errors: str = "ignore") ->
     return spark.read.format("binaryFile").load(path).select("path", repair(F.col("content")).alias("text"))
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = tx.END_OF_TEXT) -> DataFrame:
-    """``text``: one row per document of files whose documents end with a delimiter.
+def read_delimited(spark: SparkSession, path: str, delimiter: str = tx.END_OF_TEXT, errors: str = "ignore") -> DataFrame:
+    """``doc_id, text``: one row per document of files whose documents end with a delimiter.
 
-    The text source splits large files between tasks at the delimiter.
+    The text source splits large files between tasks at the delimiter. Malformed bytes are
+    dropped, or replaced. ``doc_id`` is unique, and the same for the same files and splits.
     """
-    return spark.read.text(path, lineSep=delimiter).withColumnRenamed("value", "text")
+    repair = {"ignore": tx.utf8_ignore, "replace": tx.utf8_replace}[errors]
+    lines = spark.read.text(path, lineSep=delimiter)
+    return lines.select(F.monotonically_increasing_id().alias("doc_id"), repair(F.col("value").cast("binary")).alias("text"))
 
 
 def corpus_scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.operators.tokenizer import Tokenizer, encode_documents
 from tokenloom.operators.words import pretoken_counts
+from tokenloom.session import delete, exists, stored
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -23,19 +24,44 @@ def write_encoded_stream(items: DataFrame, tokenizer: Tokenizer, out: str, check
     return writer.trigger(availableNow=True).start(out)
 
 
-def write_count_stream(items: DataFrame, out: str, checkpoint: str, specials: list[str] = (), text: str = "text"):
+#: So many folders of changed totals are put together into one.
+COMPACT_EVERY = 16
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def write_count_stream(
+    items: DataFrame, out: str, checkpoint: str, specials: list[str] = (), text: str = "text", compact_every: int = COMPACT_EVERY
+):
     """Running counts: each micro-batch writes the totals it changed into its own folder.
 
     A repeated micro-batch overwrites its folder. Totals only grow, so the current count
-    of a token is the greatest written one, see ``read_counts``.
+    of a token is the greatest written one, see ``read_counts``. Every few batches the
+    folders are put together; stopping in between leaves a total twice, which changes
+    nothing. The state, one row per distinct token, is kept in RocksDB.
     """
+    spark = items.sparkSession
     counts = pretoken_counts(items, list(specials), text)
 
     def save(changed: DataFrame, batch_id: int) -> None:
+        own = changed.sparkSession
         changed.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            older = [f"{out}/batch_id={i}" for i in range(max(0, batch_id - compact_every), batch_id + 1)]
+            older = [path for path in older if exists(own, path)]
+            whole = own.read.parquet(*older).groupBy("token", "is_special").agg(F.max("n").alias("n"))
+            stored(whole, "counts").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            for path in older[:-1]:
+                delete(own, path)
 
     writer = counts.writeStream.outputMode("update").foreachBatch(save)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
 
 
 def read_counts(spark: SparkSession, out: str) -> DataFrame:
