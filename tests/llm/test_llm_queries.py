@@ -89,7 +89,10 @@ def test_pieces_equal_library(spark):
 def test_long_chunks_equal_short_ones():
     model = unigram.Unigram.load(queries.tokenizer_file())
     chunks = ["▁internationalization", "▁▁▁x", "\n", "漢é", "▁" + "ab" * 20]
-    assert all((model._one(c) == ids).all() for c, ids in zip(chunks, model.segment(chunks)))
+    flat, sizes = model.segment([*chunks, "▁" + "é" * 90])
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    assert all((model._one(c) == ids).all() for c, ids in zip(chunks, parts))
+    assert model.decode(flat.tolist()) == " ".join("".join(chunks + ["▁" + "é" * 90]).split("▁"))[1:]
 
 
 def test_a_marker_in_a_piece_joins_chunks():
@@ -98,6 +101,13 @@ def test_a_marker_in_a_piece_joins_chunks():
     assert not model.cuts_at_markers and model.pieces[flat[-1]][0] == "a▁b" and model.decode(flat.tolist()) == "xa b"
 
 
+def test_decoding_a_table(spark):
+    model = unigram.Unigram.load(queries.tokenizer_file())
+    docs = spark.createDataFrame([(1, "a  b\n"), (2, None), (3, ""), (4, "漢 ▁")], "doc_id long, text string")
+    back = unigram.decode(unigram.encode(docs, model), model).collect()
+    assert {r.doc_id: r.decoded for r in back} == {1: "a  b\n", 2: None, 3: "", 4: "漢 ▁"}
+
+
 def test_round_trip(spark):
     assert all(r.round_trip for r in _rows(spark, "op1_sentencepiece", LARGER))
 

@@ -22,7 +22,7 @@ UNKNOWN_PENALTY = 10.0
 #: Chunks longer than this are searched one by one, the others side by side.
 LONG = 48
 #: Distinct chunks a task remembers, in all their characters.
-REMEMBERED = 4_000_000
+REMEMBERED = 8_000_000
 
 
 @dataclass
@@ -157,28 +157,44 @@ class Unigram:
                 self._of_point[ord(c)] = i
         return points, self._of_point[points]
 
-    def segment(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids of the best segmentation of each chunk; of equal ones, that with the longer piece further right."""
-        found: list[np.ndarray] = [np.empty(0, np.int32)] * len(chunks)
+    def segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks in a row, and how many each has, by the best segmentation of each.
+
+        Of equal ones, that with the longer piece further right.
+        """
         short = [i for i, c in enumerate(chunks) if len(c) <= LONG]
-        if short:
-            for i, ids in zip(short, self._side_by_side([chunks[i] for i in short])):
-                found[i] = ids
+        flat, sizes = self._side_by_side([chunks[i] for i in short])
+        if len(short) == len(chunks):
+            return flat, sizes
+        parts, lengths = [], np.zeros(len(chunks), dtype=np.int64)
+        lengths[short] = sizes
+        ends, at = np.cumsum(sizes), 0
         for i, chunk in enumerate(chunks):
             if len(chunk) > LONG:
-                found[i] = self._one(chunk)
-        return found
-
-    def _ids(self, steps: list[int], points: list[int]) -> np.ndarray:
-        """Ids of a path; an unknown character, marked by -1 - its place, becomes its bytes."""
-        out = []
-        for step in steps:
-            if step >= 0:
-                out.append(step)
+                parts.append(self._one(chunk))
+                lengths[i] = len(parts[-1])
             else:
-                c = chr(points[-1 - step])
-                out += [self.byte_ids[b] for b in (MARKER if c == LITERAL else c).encode("utf-8", "surrogatepass")]
-        return np.array(out, dtype=np.int32)
+                parts.append(flat[ends[at] - sizes[at] : ends[at]])
+                at += 1
+        return np.concatenate(parts), lengths
+
+    def _ids(self, steps: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of paths, and how many each step gives: an unknown character, marked by -1 - its place, becomes its bytes."""
+        sizes = np.ones(len(steps), dtype=np.int64)
+        lost = np.flatnonzero(steps < 0)
+        if not len(lost):
+            return steps, sizes
+        found, which = np.unique(points[-1 - steps[lost]], return_inverse=True)
+        spelled = [(MARKER if chr(c) == LITERAL else chr(c)).encode("utf-8", "surrogatepass") for c in found.tolist()]
+        table = np.zeros((len(found), 4), dtype=np.int32)
+        for row, data in zip(table, spelled):
+            row[: len(data)] = [self.byte_ids[b] for b in data]
+        sizes[lost] = np.array([len(data) for data in spelled])[which]
+        out, starts = np.repeat(steps, sizes), (np.cumsum(sizes) - sizes)[lost]
+        for place in range(4):
+            has = sizes[lost] > place
+            out[starts[has] + place] = table[which[has], place]
+        return out, sizes
 
     def _one(self, chunk: str) -> np.ndarray:
         points, symbols = self._symbols([chunk])
@@ -207,10 +223,12 @@ class Unigram:
         while at:
             at, number = back[at]
             steps.append(number)
-        return self._ids(steps[::-1], points.tolist())
+        return self._ids(np.array(steps[::-1], dtype=np.int32), points)[0]
 
-    def _side_by_side(self, chunks: list[str]) -> list[np.ndarray]:
+    def _side_by_side(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same search for many chunks at once, one start and one piece length at a time."""
+        if not chunks:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         lengths = np.array([len(c) for c in chunks])
         order = np.argsort(-lengths, kind="stable")
         lengths = lengths[order]
@@ -256,29 +274,42 @@ class Unigram:
             steps.append(number_of[to])
             whose.append(live)
             at[live] = start_of[to]
-        steps, whose = np.concatenate(steps)[::-1], np.concatenate(whose)[::-1]
+        # Paths were found from their ends; put them in the order of the chunks given.
+        steps, whose = np.concatenate(steps)[::-1], order[np.concatenate(whose)[::-1]]
         grouped = np.argsort(whose, kind="stable")
-        parts = np.split(steps[grouped], np.cumsum(np.bincount(whose, minlength=len(lengths)))[:-1])
-        found: list[np.ndarray] = [np.empty(0, np.int32)] * len(chunks)
-        known = points if (steps < 0).any() else None
-        for i, part in zip(order.tolist(), parts):
-            found[i] = part if known is None or (part >= 0).all() else self._ids(part.tolist(), known)
-        return found
+        flat, sizes = self._ids(steps[grouped], points)
+        return flat, np.bincount(whose[grouped], weights=sizes, minlength=len(chunks)).astype(np.int64)
 
     # Decoding
 
-    def decode(self, ids: list[int]) -> str:
-        """The text: markers become spaces, byte pieces their bytes, and the dummy space goes."""
-        if not hasattr(self, "_bytes_of"):
-            self._bytes_of = [p[0].replace(MARKER, " ").encode() if p else b"" for p in self.pieces]
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> list[str]:
+        """A text for each run of ids: markers become spaces, byte pieces their bytes, and the dummy space goes."""
+        if not hasattr(self, "_spelled"):
+            spelled = [p[0].replace(MARKER, " ").encode() if p else b"" for p in self.pieces]
             for b, i in enumerate(self.byte_ids):
-                self._bytes_of[i] = bytes([b])
-        try:
-            out = b"".join(map(self._bytes_of.__getitem__, ids))
-        except IndexError as error:
-            raise ValueError("an id is not in the vocabulary") from error
-        text = out.decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+                spelled[i] = bytes([b])
+            lengths = np.array([len(x) for x in spelled], dtype=np.int64)
+            self._spelled = np.frombuffer(b"".join(spelled) or b"\0", dtype=np.uint8), np.cumsum(lengths) - lengths, lengths
+        data, starts, lengths = self._spelled
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(lengths)):
+            raise ValueError("an id is not in the vocabulary")
+        sizes = lengths[flat]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        whole = data[ragged(starts[flat], sizes)].tobytes()
+        texts = []
+        for low, high in zip(stops[ends[:-1]].tolist(), stops[ends[1:]].tolist()):
+            text = whole[low:high].decode("utf-8", "replace")
+            texts.append(text[1:] if text[:1] == " " else text)
+        return texts
+
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_all(np.array(ids, dtype=np.int64), np.array([0, len(ids)]))[0]
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run, in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Encoder:
@@ -290,8 +321,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.held = 0
+        self.flat, self.sizes, self.held = np.empty(0, np.int32), np.empty(0, np.int64), 0
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids start and end."""
@@ -302,53 +332,63 @@ class Encoder:
             own = self.model.chunks(text or "")
             parts += own
             counts.append(len(own))
-        new = list(dict.fromkeys(p for p in parts if p not in self.number))
-        for chunk, ids in zip(new, self.model.segment(new)):
-            self.number[chunk] = len(self.ids)
-            self.ids.append(ids)
-            self.held += len(chunk)
-        numbers = list(map(self.number.__getitem__, parts))
-        pieces = [self.ids[k] for k in numbers]
-        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return np.concatenate(pieces) if pieces else np.empty(0, np.int32), ends
+        numbers = list(map(self.number.get, parts))
+        new = list(dict.fromkeys(p for p, n in zip(parts, numbers) if n is None))
+        if new:
+            flat, sizes = self.model.segment(new)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.flat, self.sizes = np.append(self.flat, flat), np.append(self.sizes, sizes)
+            self.held += sum(map(len, new))
+            numbers = list(map(self.number.__getitem__, parts))
+        chosen = np.array(numbers, dtype=np.int64)
+        sizes = self.sizes[chosen]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        return self.flat[ragged((np.cumsum(self.sizes) - self.sizes)[chosen], sizes)], ends
 
 
 #: Characters of texts encoded at once.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 20
+
 
+def encode(docs: DataFrame, model: Unigram, key: str = "doc_id", text: str = "text", check: str | None = None) -> DataFrame:
+    """``key, ids`` for each row; a null text has null ids, an empty one none.
 
-def encode(docs: DataFrame, model: Unigram, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, text, ids`` for each row; a null text has null ids, an empty one none."""
+    ``check`` names a further column that tells whether the ids decode to the very text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
         for batch in batches:
+            keys, column = batch.columns
             low = 0
-            texts = batch.column(1).to_pylist()
-            while low < len(texts):
-                high, held = low, 0
-                while high < len(texts) and (high == low or held + len(texts[high] or "") <= TOGETHER):
-                    held += len(texts[high] or "")
-                    high += 1
-                flat, ends = encoder.encode(texts[low:high])
-                part = batch.slice(low, high - low)
-                none = pa.array([t is None for t in texts[low:high]])
-                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32)), mask=none)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], [key, text, "ids"])
-                low = high
+            while low < len(column):
+                texts, held = [], 0
+                while low + len(texts) < len(column) and held < TOGETHER:
+                    texts.append(column[low + len(texts)].as_py())
+                    held += len(texts[-1] or "")
+                flat, ends = encoder.encode(texts)
+                ids = pa.ListArray.from_arrays(
+                    pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32)), mask=pa.array([t is None for t in texts]))
+                out = [keys.slice(low, len(texts)), ids]
+                if check:
+                    out.append(pa.array([back == (t or "") for t, back in zip(texts, model.decode_all(flat, ends))], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(out, [key, "ids", check][: len(out)])
+                low += len(texts)
 
     columns = docs.select(key, F.col(text).cast("string").alias(text))
-    return columns.mapInArrow(run, columns.withColumn("ids", F.lit(None).cast("array<int>")).schema)
+    given = columns.select(key, F.lit(None).cast("array<int>").alias("ids"), *([F.lit(True).alias(check)] if check else []))
+    return columns.mapInArrow(run, given.schema)
 
 
 def decode(encoded: DataFrame, model: Unigram, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """The columns of ``encoded`` and the decoded text; null ids decode to null."""
+    """The columns of ``encoded`` and the decoded text; null ids decode to null. A row's ids stay within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            texts = pa.array([None if x is None else model.decode(x) for x in lists], pa.string())
+            lists = batch.column(batch.schema.get_field_index(ids))
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            texts = pa.array(model.decode_all(flat, ends), pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, into])
 
     return encoded.mapInArrow(run, encoded.withColumn(into, F.lit(None).cast("string")).schema)
