@@ -26,6 +26,8 @@ CONFIDENCE = 4.0
 SEED = 20_260
 TILE_ROWS = 1024
 COMPARED = 256
+#: Pairs computed exactly at once.
+CHECKED = 16_384
 
 
 def rotation(width: int, number: int) -> np.ndarray:
@@ -106,18 +108,20 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keep = side[i + low] != side[j + low]
                     i, j = i[keep], j[keep]
                 i, j = i + low, j + low
-                # A pair counts in the first band it shares, and only if its exact cosine says so.
-                first = ~(bands[i, :earlier] == bands[j, :earlier]).any(axis=1)
-                i, j = i[first], j[first]
-                sure = np.einsum("ij,ij->i", unit[i], unit[j]) >= THRESHOLD
-                i, j = i[sure], j[sure]
-                np.add.at(links, i, own[j])
-                np.add.at(links, j, own[i])
-                for x, y in zip(i.tolist(), j.tolist()):
-                    if forest.join(x, y):
-                        a.append(ids[start + x])
-                        b.append(ids[start + y])
-                        n.append(0)
+                for at in range(0, len(i), CHECKED):
+                    x, y = i[at : at + CHECKED], j[at : at + CHECKED]
+                    # A pair counts in the first band it shares, and only if its exact cosine says so.
+                    first = ~(bands[x, :earlier] == bands[y, :earlier]).any(axis=1)
+                    x, y = x[first], y[first]
+                    sure = np.einsum("ij,ij->i", unit[x], unit[y]) >= THRESHOLD
+                    x, y = x[sure], y[sure]
+                    np.add.at(links, x, own[y])
+                    np.add.at(links, y, own[x])
+                    for one, other in zip(x.tolist(), y.tolist()):
+                        if forest.join(one, other):
+                            a.append(ids[start + one])
+                            b.append(ids[start + other])
+                            n.append(0)
             linked = np.flatnonzero(links)
             a += ids[start + linked].tolist()
             b += [None] * len(linked)
