@@ -220,7 +220,7 @@ def _in_one_task(words: DataFrame, limit: int, known: set[bytes]) -> list[tuple[
 def learn_merges(
     counts: DataFrame,
     limit: int,
-    rounds_per_epoch: int = 12,
+    rounds_per_epoch: int = 4,
     candidates: int = 256,
     words_per_task: int = 200_000,
     known: set[bytes] = frozenset(),

@@ -1,5 +1,6 @@
 """Where jobs keep intermediate tables."""
 
+import atexit
 import tempfile
 import uuid
 from functools import lru_cache
@@ -22,7 +23,24 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = _local_root(spark.sparkContext.applicationId)
-    return f"{root.rstrip('/')}/tokenloom-{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/tokenloom-{purpose}-{uuid.uuid4().hex}"
+    _made.append((spark, folder))
+    return folder
+
+
+#: Folders of this application. Tables may be read from them as long as it runs.
+_made: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_intermediate() -> None:
+    """Deletes the intermediate folders of this application; called when it ends, or before by its owner."""
+    while _made:
+        spark, folder = _made.pop()
+        try:
+            delete(spark, folder)
+        except Exception:  # the JVM has gone before: nothing can be reached any more
+            _made.clear()
 
 
 def stored(table: DataFrame, purpose: str) -> DataFrame:
