@@ -154,61 +154,59 @@ def _greater_first(token: bytes) -> tuple[int, ...]:
     return (*(255 - b for b in token), 256)
 
 
-def merge_words(words: Iterable[tuple[str, int]], limit: int, known: set[bytes]) -> Iterator[tuple[bytes, bytes]]:
-    """Merges in order, for words small enough for one task, from ``word, n`` with one character per byte.
+def merge_words(words: Iterable[tuple[str, int]], limit: int) -> Iterator[tuple[bytes, bytes]]:
+    """Merges in order, for words small enough for one task, from ``word, n`` as symbol strings.
 
     Keeps the count of each pair and the words it was seen in, so a merge touches only those.
     """
-    spelled = [([bytes([ord(c)]) for c in word], n) for word, n in words]
-    counts: dict[tuple[bytes, bytes], int] = defaultdict(int)
-    where: dict[tuple[bytes, bytes], set[int]] = defaultdict(set)
-    for i, (parts, n) in enumerate(spelled):
-        for pair in zip(parts, parts[1:]):
-            counts[pair] += n
-            where[pair].add(i)
-
-    def entry(pair: tuple[bytes, bytes]):
-        return -counts[pair], _greater_first(pair[0]), _greater_first(pair[1]), pair
+    table, texts, times = sym.SymbolTable(), [], []
+    counts: dict[str, int] = defaultdict(int)
+    where: dict[str, set[int]] = defaultdict(set)
+    for i, (word, n) in enumerate(words):
+        texts.append(word)
+        times.append(n)
+        for at in range(len(word) - 1):
+            counts[word[at : at + 2]] += n
+            where[word[at : at + 2]].add(i)
+
+    def entry(pair: str):
+        return -counts[pair], *(_greater_first(table.token_of(c)) for c in pair), pair
 
     queue = [entry(pair) for pair in counts]
     heapify(queue)
     while limit and queue:
-        n, _, _, (left, right) = heappop(queue)
-        if counts.get((left, right), 0) != -n:
+        n, _, _, pair = heappop(queue)
+        if counts.get(pair, 0) != -n:
             continue  # its count has changed since, and a newer entry is in the queue
-        yield left, right
+        yield table.token_of(pair[0]), table.token_of(pair[1])
         limit -= 1
-        joined, touched = left + right, set()
-        for i in where.pop((left, right)):
-            parts, times = spelled[i]
-            out, at = [], 0
-            while at < len(parts):
-                if at + 1 < len(parts) and parts[at] == left and parts[at + 1] == right:
-                    out.append(joined)
-                    at += 2
-                else:
-                    out.append(parts[at])
-                    at += 1
-            if len(out) == len(parts):
+        joined = table.merge_rule(*(table.token_of(c) for c in pair))[2]
+        changes: dict[str, int] = defaultdict(int)
+        for i in where.pop(pair):
+            old, own = texts[i], times[i]
+            new = texts[i] = old.replace(pair, joined)
+            if new == old:
+                continue
+            for at in range(len(old) - 1):
+                changes[old[at : at + 2]] -= own
+            for at in range(len(new) - 1):
+                changes[new[at : at + 2]] += own
+                if joined in new[at : at + 2]:
+                    where[new[at : at + 2]].add(i)
+        for pair, change in changes.items():
+            if not change:
                 continue
-            for sign, own in ((-times, parts), (times, out)):
-                for pair in zip(own, own[1:]):
-                    counts[pair] += sign
-                    touched.add(pair)
-            for pair in zip(out, out[1:]):
-                where[pair].add(i)
-            spelled[i] = (out, times)
-        for pair in touched:
+            counts[pair] += change
             if counts[pair] > 0:
                 heappush(queue, entry(pair))
             else:
                 del counts[pair]
 
 
-def _in_one_task(words: DataFrame, limit: int, known: set[bytes]) -> list[tuple[bytes, bytes]]:
+def _in_one_task(words: DataFrame, limit: int) -> list[tuple[bytes, bytes]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((w, n) for b in batches for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        found = list(merge_words(rows, limit, known))
+        found = list(merge_words(rows, limit))
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(found)), pa.int32()), *(pa.array([pair[i] for pair in found], pa.binary()) for i in (0, 1))],
             ["rank", "left", "right"])
@@ -231,7 +229,7 @@ def learn_merges(
     words = wd.word_table(counts)
     size = words.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum(F.length("word")), F.lit(0)).alias("symbols")).first()
     if size["words"] <= one_task_words and size["symbols"] <= ONE_TASK_SYMBOLS:
-        return _in_one_task(words, limit, known)
+        return _in_one_task(words, limit)
     folder = shared_folder(spark, "train")
     loop = _MergeLoop(spark, folder, rounds_per_epoch, candidates)
     merges: list[tuple[bytes, bytes]] = []
