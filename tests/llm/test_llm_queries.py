@@ -285,6 +285,7 @@ def test_pages_without_landmarks():
     page = (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div class='cookie-notice'>{long}</div>"
             f"<div><p>{long}<p>Short.<p>{long} <a href=z>more</a></div><div id=comments><p>{long}</div><script>'<p>'</script>")
     assert main_text(page) == f"{long}\nShort.\n{long} more"
+    assert main_text(f"<article><p>{long}<div class='x cookieBanner'>{long}</div><p>b<aside>c</aside><p>d</article><p>e") == f"{long}\nb\nd"
     assert main_text("<p>a < b &lt; c <!-- x --> d") == "a < b < c d"
 
 

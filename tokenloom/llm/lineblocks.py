@@ -37,11 +37,12 @@ FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended cookie cookies consent gdpr "
     "notice notification popup modal overlay newsletter subscribe subscription signup login share sharing social comment "
-    "comments discussion disqus replies reply respond form hidden".split())
+    "comments discussion disqus replies reply respond form hidden alert toast disclaimer pagination pager toolbar topbar "
+    "adsbygoogle adbox adslot commentlist commentform mainmenu sidenav topnav navmenu cookiebar".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>|<[!?][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -51,14 +52,16 @@ def _is_furniture(name: str, attributes: str) -> bool:
     if name in ("html", "body") or not attributes.strip():
         return False
     for kind, *values in _ATTRIBUTE.findall(attributes):
-        kind, value = kind.lower(), "".join(values).lower()
+        kind, named = kind.lower(), "".join(values)
+        value = named.lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true" or kind == "style" and _HIDDEN.search(value):
             return True
         if kind == "role" and value.strip() in FURNITURE_ROLES:
             return True
         # An article stays one, whatever it is called.
         if kind in ("class", "id") and name not in MAIN:
-            if any(not FURNITURE_NAMES.isdisjoint(_NAME.findall(word)) for word in value.split()):
+            # The parts of names such as "side-bar", "cookieBanner" or "ad_2".
+            if any(part.lower() in FURNITURE_NAMES for part in _NAME.findall(named)):
                 return True
     return False
 
