@@ -37,14 +37,21 @@ def rotation(width: int, number: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _bands(unit: np.ndarray) -> np.ndarray:
+def rotations(width: int, known: dict[int, list[np.ndarray]]) -> list[np.ndarray]:
+    """All rotations of a width, made once for what ``known`` belongs to."""
+    if width not in known:
+        known[width] = [rotation(width, number) for number in range(ROTATIONS)]
+    return known[width]
+
+
+def _bands(unit: np.ndarray, turns: list[np.ndarray]) -> np.ndarray:
     """Parts of the sign codes under each rotation: vectors with a large cosine agree in one at least."""
     width = unit.shape[1]
     bits = min(BAND_BITS, width)
     weights = 1 << np.arange(bits, dtype=np.int64)
     found = []
-    for number in range(ROTATIONS):
-        signs = (unit @ rotation(width, number)) > 0
+    for turn in turns:
+        signs = (unit @ turn) > 0
         for low in range(0, width - bits + 1, bits):
             found.append(signs[:, low : low + bits] @ weights)
     return np.stack(found, axis=1)
@@ -56,11 +63,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         ids, groups, widths = (batch.column(i).to_numpy() for i in range(3))
         for width in np.unique(widths).tolist():
             chosen = np.flatnonzero(widths == width)
-            bands = _bands(_unit(matrix(batch.column(3).take(pa.array(chosen)), width)))
+            bands = _bands(_unit(matrix(batch.column(3).take(pa.array(chosen)), width)), rotations(width, known))
             n, each = bands.shape
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(ids[chosen], each)),
@@ -83,6 +91,7 @@ def _estimates(rotated: np.ndarray, side: slice, rest: slice) -> tuple[np.ndarra
 def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``a, b, n``: with b null, a has n more links; else a and b are connected."""
     keys = ["label", "width", "band", "code", "left_part", "right_part"]
+    known: dict[int, list[np.ndarray]] = {}
     for table in whole_groups(batches, keys):
         starts = run_starts([table[k].to_numpy() for k in keys])
         ends = np.append(starts[1:], table.num_rows)
@@ -96,7 +105,8 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             exact = matrix(vectors.slice(start, end - start), int(widths[start]))
             unit = _unit(exact)
-            bands, rotated = _bands(unit), unit @ rotation(unit.shape[1], 0)
+            turns = rotations(unit.shape[1], known)
+            bands, rotated = _bands(unit, turns), unit @ turns[0]
             earlier, forest = int(band[start]), Forest(end - start)
             own, side = copies[start:end], parts[start:end]
             links = np.zeros(end - start, dtype=np.int64)
