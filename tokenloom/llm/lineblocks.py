@@ -40,40 +40,98 @@ FURNITURE_NAMES = frozenset(
     "comments discussion disqus replies reply respond form hidden alert toast disclaimer pagination pager toolbar topbar "
     "adsbygoogle adbox adslot commentlist commentform mainmenu sidenav topnav navmenu cookiebar".split())
 
+#: Names that say what a page has or lacks: the words beside them name no furniture.
+MODIFIERS = frozenset("has no not with without".split())
+SWITCHES = frozenset("enabled disabled supported".split())
+#: Names of what readers write, which may well be more than the text of the page.
+REPLIES = frozenset("comment comments discussion disqus replies reply respond commentlist commentform".split())
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>|<[!?][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_furniture(name: str, attributes: str) -> bool:
-    if name in FURNITURE:
-        return True
+def _names(named: str) -> set[str]:
+    """The parts of names such as "side-bar", "cookieBanner" or "ad_2", without modifiers and what they belong to."""
+    found = set()
+    for word in named.split():
+        parts = [part.lower() for part in _NAME.findall(word)]
+        if parts and parts[-1] not in SWITCHES:
+            found.update(parts[: next((i for i, part in enumerate(parts) if part in MODIFIERS), len(parts))])
+    return found
+
+
+def _furniture(name: str, attributes: str) -> str:
+    """Empty if no furniture; "sure", or "named" or "replies" where only names or a form say so: these may wrap a whole page."""
+    kinds = {"named"} if name == "form" else {"sure"} if name in FURNITURE else set()
     if name in ("html", "body") or not attributes.strip():
-        return False
+        return max(kinds, default="")
     for kind, *values in _ATTRIBUTE.findall(attributes):
         kind, named = kind.lower(), "".join(values)
         value = named.lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true" or kind == "style" and _HIDDEN.search(value):
-            return True
+            kinds.add("sure")
         if kind == "role" and value.strip() in FURNITURE_ROLES:
-            return True
+            kinds.add("named" if value.strip() == "form" else "sure")
         # An article stays one, whatever it is called.
         if kind in ("class", "id") and name not in MAIN:
-            # The parts of names such as "side-bar", "cookieBanner" or "ad_2".
-            if any(part.lower() in FURNITURE_NAMES for part in _NAME.findall(named)):
-                return True
-    return False
+            names = _names(named) & FURNITURE_NAMES
+            if "hidden" in names:
+                kinds.add("sure")
+            elif names:
+                kinds.add("replies" if names & REPLIES else "named")
+    return max(kinds, default="")  # "sure" goes before "replies", and that before "named"
+
+
+class _Skipped:
+    """An element left out by its name: where it starts, its text outside links, and whether it has an article or main."""
+
+    def __init__(self, at: int, kind: str):
+        self.at, self.kind, self.held, self.has_main = at, kind, 0, False
 
 
 def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """``text, length outside links, whether in main text`` of each line; furniture leaves empty lines."""
+    """``text, length outside links, whether in main text`` of each line; furniture leaves empty lines.
+
+    An element that only its name makes furniture stays if it turns out to wrap the text of the page.
+    """
+    spared: set[int] = set()
+    while True:
+        lines, skipped = _lines(html, spared)
+        wrapper = _wrapper(lines, skipped)
+        if wrapper is None:
+            return lines
+        spared.add(wrapper.at)
+
+
+def _wrapper(lines: list[tuple[str, int, bool]], skipped: list[_Skipped]) -> _Skipped | None:
+    """The skipped element that holds the text of the page, if one does."""
+    if not any(s.held for s in skipped) or any(line[0] and line[2] for line in lines):
+        return None
+    own = [line[1] for line in lines]
+    rest = max((sum(own[i : i + WINDOW]) for i in range(len(own))), default=0)
+    total = sum(own) + sum(s.held for s in skipped)
+
+    def wraps(s: _Skipped) -> bool:
+        most = 2 * s.held > total
+        if rest < SURGE and s.held and (most or s.has_main):
+            return True
+        return s.kind != "replies" and 4 * s.held >= 3 * total
+
+    return max(filter(wraps, skipped), key=lambda s: (s.has_main, s.held), default=None)
+
+
+def _lines(html: str, spared: set[int]) -> tuple[list[tuple[str, int, bool]], list[_Skipped]]:
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
     stack: list[str] = []
     main_depth = skip_depth = link_depth = None  # the place in the stack of the outermost such element
     lower: str | None = None
+    skipped: list[_Skipped] = []
+    named: _Skipped | None = None  # the element being skipped, if only by its name
+    sure_depth = None  # the place of sure furniture inside it
 
     def end_line() -> None:
         nonlocal parts, linked
@@ -84,13 +142,15 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             parts, linked = [], 0
 
     def close_to(depth: int) -> None:
-        nonlocal main_depth, skip_depth, link_depth
+        nonlocal main_depth, skip_depth, link_depth, named, sure_depth
         if skip_depth is None and any(n in BLOCK for n in stack[depth:]):
             end_line()
         del stack[depth:]
         if skip_depth is not None and depth <= skip_depth:
-            skip_depth = None
+            skip_depth = named = None
             lines.extend([("", 0, main_depth is not None and depth > main_depth)] * WINDOW)
+        if sure_depth is not None and depth <= sure_depth:
+            sure_depth = None
         if link_depth is not None and depth <= link_depth:
             link_depth = None
         if main_depth is not None and depth <= main_depth:
@@ -102,6 +162,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             parts.append(text)
             if link_depth is not None:
                 linked += len(text.strip())
+        elif named is not None and sure_depth is None and link_depth is None:
+            named.held += len(text.strip())
 
     at = 0
     while True:
@@ -144,16 +206,25 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         if name in VOID or tag[3].endswith("/") and name not in BLOCK:
             continue
         stack.append(name)
+        kind = "" if skip_depth is not None and (named is None or sure_depth is not None) else _furniture(name, tag[3])
         if skip_depth is None:
-            if _is_furniture(name, tag[3]):
+            if kind and (kind == "sure" or tag.start() not in spared):
                 end_line()
                 skip_depth = len(stack) - 1
+                if kind != "sure":
+                    named = _Skipped(tag.start(), kind)
+                    skipped.append(named)
             elif name in MAIN and main_depth is None:
                 main_depth = len(stack) - 1
-            elif name == "a" and link_depth is None:
-                link_depth = len(stack) - 1
+        elif named is not None and sure_depth is None:
+            if kind == "sure":
+                sure_depth = len(stack) - 1
+            elif name in MAIN:
+                named.has_main = True
+        if name == "a" and link_depth is None and stack[-1] == "a":
+            link_depth = len(stack) - 1
     end_line()
-    return lines
+    return lines, skipped
 
 
 def main_text(html: str | None) -> str:
