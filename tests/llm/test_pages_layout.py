@@ -24,3 +24,15 @@ def test_furniture_stays_furniture():
     assert main_text(f"<div><p>{LONG} x</div>{replies}") == f"{LONG} x"
     assert main_text(f"<article><p>x</article>{cards}{replies}") == "x"
     assert main_text(f"<div class=is-hidden>{LONG}</div><p>x") == "x"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<div><p>{0}</p><div class=ad>x</div><p>The end.</p></div>", "{0}\nThe end."),
+    ("<div><h2>Title</h2><div class=ad>x</div><p>{0}</p><div class=ad>x</div>The end.</div>", "Title\n{0}\nThe end."),
+    ("<div><section><p>{0}</section><div class=ad>x</div><section><h3>So</h3><ul><li>The end.</ul></section></div>", "{0}\nSo\nThe end."),
+    ("<div><div>{0}</div><div class=ad>x</div><div>The end.</div></div>", "{0}\nThe end."),
+    ("<body><p>{0}<nav>x</nav><p>The end.</body>", "{0}\nThe end."),
+    ("<div id=page><div><p>Tagline</div><nav>x</nav><div><p>{0}</div><nav>x</nav><div><p>Imprint</div></div>", "{0}"),
+])
+def test_furniture_inside_an_article(page, text):
+    assert main_text(page.format(LONG)) == text.format(LONG)

@@ -8,6 +8,7 @@ the sums surge and where they dive.
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +28,10 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary "
     "table tbody td tfoot th thead tr ul".split())
 MAIN = frozenset(["article", "main"])
+#: Blocks that are parts of the element around them.
+PARTS = frozenset(
+    "address blockquote caption center dd details dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr legend li ol p "
+    "pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that hold no article text, and names that mark others as such.
 FURNITURE = frozenset(
     "nav header footer aside form menu dialog button select option datalist svg math canvas audio video object map "
@@ -84,6 +89,13 @@ def _furniture(name: str, attributes: str) -> str:
     return max(kinds, default="")  # "sure" goes before "replies", and that before "named"
 
 
+class Line(NamedTuple):
+    text: str
+    own: int  # the length outside links
+    main: bool
+    inside: tuple[int, ...] = ()  # the numbers of the element around the line, and of that around a line without a block of its own
+
+
 class _Skipped:
     """An element left out by its name: where it starts, its text outside links, and whether it has an article or main."""
 
@@ -91,8 +103,8 @@ class _Skipped:
         self.at, self.kind, self.held, self.has_main = at, kind, 0, False
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """``text, length outside links, whether in main text`` of each line; furniture leaves empty lines.
+def lines_of(html: str) -> list[Line]:
+    """The lines of a page; furniture leaves empty lines.
 
     An element that only its name makes furniture stays if it turns out to wrap the text of the page.
     """
@@ -105,11 +117,11 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         spared.add(wrapper.at)
 
 
-def _wrapper(lines: list[tuple[str, int, bool]], skipped: list[_Skipped]) -> _Skipped | None:
+def _wrapper(lines: list[Line], skipped: list[_Skipped]) -> _Skipped | None:
     """The skipped element that holds the text of the page, if one does."""
-    if not any(s.held for s in skipped) or any(line[0] and line[2] for line in lines):
+    if not any(s.held for s in skipped) or any(line.text and line.main for line in lines):
         return None
-    own = [line[1] for line in lines]
+    own = [line.own for line in lines]
     rest = max((sum(own[i : i + WINDOW]) for i in range(len(own))), default=0)
     total = sum(own) + sum(s.held for s in skipped)
 
@@ -122,33 +134,41 @@ def _wrapper(lines: list[tuple[str, int, bool]], skipped: list[_Skipped]) -> _Sk
     return max(filter(wraps, skipped), key=lambda s: (s.has_main, s.held), default=None)
 
 
-def _lines(html: str, spared: set[int]) -> tuple[list[tuple[str, int, bool]], list[_Skipped]]:
-    lines: list[tuple[str, int, bool]] = []
+def _lines(html: str, spared: set[int]) -> tuple[list[Line], list[_Skipped]]:
+    lines: list[Line] = []
     parts: list[str] = []
     linked = 0
     stack: list[str] = []
+    numbers: list[int] = []  # of the elements in the stack
+    opened = 0
     main_depth = skip_depth = link_depth = None  # the place in the stack of the outermost such element
     lower: str | None = None
     skipped: list[_Skipped] = []
     named: _Skipped | None = None  # the element being skipped, if only by its name
     sure_depth = None  # the place of sure furniture inside it
 
+    def inside() -> tuple[int, ...]:
+        around = [i for i, n in enumerate(stack) if n in BLOCK and n not in PARTS and n not in ("html", "body")]
+        own = not any(n in PARTS for n in stack[around[-1] + 1 :]) if around else False
+        # 0 is the page.
+        return tuple(numbers[i] for i in around[-1 - own :][::-1]) + ((0,) if len(around) < 1 + own else ())
+
     def end_line() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                lines.append((text, max(0, len(text) - linked), main_depth is not None))
+                lines.append(Line(text, max(0, len(text) - linked), main_depth is not None, inside()))
             parts, linked = [], 0
 
     def close_to(depth: int) -> None:
         nonlocal main_depth, skip_depth, link_depth, named, sure_depth
         if skip_depth is None and any(n in BLOCK for n in stack[depth:]):
             end_line()
-        del stack[depth:]
+        del stack[depth:], numbers[depth:]
         if skip_depth is not None and depth <= skip_depth:
             skip_depth = named = None
-            lines.extend([("", 0, main_depth is not None and depth > main_depth)] * WINDOW)
+            lines.extend([Line("", 0, main_depth is not None and depth > main_depth)] * WINDOW)
         if sure_depth is not None and depth <= sure_depth:
             sure_depth = None
         if link_depth is not None and depth <= link_depth:
@@ -206,6 +226,8 @@ def _lines(html: str, spared: set[int]) -> tuple[list[tuple[str, int, bool]], li
         if name in VOID or tag[3].endswith("/") and name not in BLOCK:
             continue
         stack.append(name)
+        opened += 1
+        numbers.append(opened)
         kind = "" if skip_depth is not None and (named is None or sure_depth is not None) else _furniture(name, tag[3])
         if skip_depth is None:
             if kind and (kind == "sure" or tag.start() not in spared):
@@ -228,13 +250,13 @@ def _lines(html: str, spared: set[int]) -> tuple[list[tuple[str, int, bool]], li
 
 
 def main_text(html: str | None) -> str:
-    """The lines between surge and dive points, joined by line ends; empty if there are none."""
+    """The lines between surge and dive points, and others of the same elements, joined by line ends; empty if there are none."""
     lines = lines_of(html or "")
-    has_main = any(text and main for text, _, main in lines)
+    has_main = any(line.text and line.main for line in lines)
     if has_main:
-        lengths = [len(text) if main else 0 for text, _, main in lines]
+        lengths = [len(line.text) if line.main else 0 for line in lines]
     else:
-        lengths = [own for _, own, _ in lines]
+        lengths = [line.own for line in lines]
     surge = SURGE_MAIN if has_main else SURGE
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
     regions, start, peak = [], None, 0
@@ -247,12 +269,15 @@ def main_text(html: str | None) -> str:
                 regions.append((peak, start, i))
                 start = None
     kept = [r for r in regions if r[0] >= surge] or sorted(regions, key=lambda r: (-r[0], r[1]))[:1]
+    # Furniture inside an element parts its text: what stands in the same one goes with a region that is kept.
+    around = {number for _, low, high in kept for i in range(low, high) if lengths[i] for number in lines[i].inside}
+    kept = [r for r in regions if r in kept or any(around.intersection(lines[i].inside) for i in range(r[1], r[2]) if lengths[i])]
     found = []
     for _, low, high in kept:
         # The first windows reach ahead of the text they see.
         filled = [i for i in range(low, high) if lengths[i]]
         inside = range(filled[0], filled[-1] + 1)
-        found += [lines[i][0] for i in inside if lines[i][0] and (lengths[i] or not has_main)]
+        found += [lines[i].text for i in inside if lines[i].text and (lengths[i] or not has_main)]
     return "\n".join(found)
 
 
