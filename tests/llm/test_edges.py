@@ -140,3 +140,19 @@ def test_hosts(spark):
         (3, "www.example.com", "/en/x", "www.example.com/en/", "allow"), (4, "a.net", "/es/1", "net/es/", "block"),
         (5, "com", "", None, "allow")], key=str)
     assert hosts.judged(pages.limit(0), outcomes.limit(0), queries.RULES).count() == 0
+
+
+def test_what_lies_beside_a_base_span_is_judged(spark):
+    texts = ["see 0123456789abcdef0123456789abcdef-Zx8Kq2Lm9Vt4Rw7Yp3Nb6Hc1 end",
+             "see Zx8Kq2Lm9Vt4Rw7Yp3Nb6Hc1_0123456789abcdef0123456789abcdef_Qw7Pz3Xc9Vb2Nm5Lk8Jh4Gf6 end",
+             "see 0123456789abcdef0123456789abcdef-Zx8Kq2Lm9 end"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    from test_llm_queries import LARGER
+
+    corpus = spark.read.parquet(f"{LARGER}/documents.parquet").selectExpr("doc_id + 100 AS doc_id", "text")
+    both = docs.unionByName(corpus)
+    found = secret_scan.scanned(both).where("doc_id < 100").withColumn("s", secret_scan.as_text(F.col(secret_scan.ALL)))
+    spans = {r.doc_id: r.s for r in found.select("doc_id", "s").collect()}
+    assert spans == {0: "hex:4:36,markov:36:61", 1: "markov:4:29,hex:29:61,markov:61:86", 2: "hex:4:36"}
+    masked = {r.doc_id: r.text for r in secret_scan.secrets_masked(both).where("doc_id < 100").collect()}
+    assert "Zx8Kq2Lm9Vt4" not in masked[0] + masked[1]

@@ -19,7 +19,8 @@ BASE, ALL = "__base_spans", "__all_spans"
 
 #: Characters of the models; identifiers of the least length that the models judge.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE_LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_LEAST},}}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 #: Mean log-likelihood ratio per transition, in nats, from which a string is held to be random.
 THRESHOLD = 0.5
@@ -116,7 +117,7 @@ def fit(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "tex
 
 
 def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
-    """Identifiers outside base spans whose mean log ratio reaches the threshold."""
+    """Identifiers, or their parts, outside base spans whose mean log ratio reaches the threshold."""
     ratios = F.array(*(F.lit(round(x, 9)) for x in table))
 
     def is_random(span: Column) -> Column:
@@ -124,9 +125,27 @@ def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
         total = F.aggregate(pairs, F.lit(0.0), lambda acc, pair: acc + F.get(ratios, pair))
         return total >= THRESHOLD * F.size(pairs)
 
-    free = F.filter(
-        _spans(text, CANDIDATE, "markov"),
-        lambda span: ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])))
+    def pieces(run: Column) -> Column:
+        """What base spans leave of a run, where that is as long as a candidate."""
+        inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+        nothing = F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>")
+        start = F.struct(run["start"].alias("at"), nothing.alias("pieces"))
+
+        def piece(low: Column, high: Column) -> Column:
+            value = F.substring(run["value"], low - run["start"] + 1, high - low)
+            one = F.struct(low.alias("start"), high.alias("end"), run["kind"].alias("kind"), value.alias("value"))
+            return F.when(high - low >= CANDIDATE_LEAST, F.array(one)).otherwise(nothing)
+
+        def step(state: Column, b: Column) -> Column:
+            more = F.concat(state["pieces"], piece(state["at"], b["start"]))
+            return F.struct(F.greatest(state["at"], b["end"]).alias("at"), more.alias("pieces"))
+
+        def rest(state: Column) -> Column:
+            return F.concat(state["pieces"], piece(state["at"], run["end"]))
+
+        return F.when(F.size(inside) == 0, F.array(run)).otherwise(F.aggregate(inside, start, step, rest))
+
+    free = F.flatten(F.transform(_spans(text, CANDIDATE, "markov"), pieces))
     return _may_hold(text, CANDIDATE, F.filter(free, is_random))
 
 
