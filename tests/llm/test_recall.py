@@ -45,3 +45,13 @@ def test_links_equal_all_pairs(spark):
     total = sum(found.values())
     assert near.sum() > 500 and 0.99 * near.sum() <= total <= near.sum()
     assert all(found[i] <= near[i].sum() for i in range(400))
+
+
+def test_narrow_vectors_meet_as_wide_ones_do():
+    for width in (1, 2, 8, 16, 24, 32, 48, 64, 128):
+        chance = np.random.default_rng(width)
+        a, b = _pairs_near(rabitq.THRESHOLD, 4000, width, chance) if width > 1 else 2 * (np.ones((4, 1)),)
+        turns = rabitq.rotations(width, {})
+        codes = rabitq._bands(a, turns), rabitq._bands(b, turns)
+        assert codes[0].shape[1] >= rabitq.BANDS and (codes[0] == codes[1]).any(axis=1).mean() > 0.99, width
+    assert len(rabitq.rotations(64, {})) == rabitq.ROTATIONS

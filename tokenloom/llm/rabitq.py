@@ -18,9 +18,10 @@ from tokenloom.llm.components import components
 from tokenloom.llm.vectors import finite, matrix
 
 THRESHOLD = 0.98
-#: Rotations, and bits of a code by which pairs meet. Each rotation gives width / BAND_BITS bands.
+#: Rotations at least, bits of a code by which pairs meet, and bands at least. Each rotation gives width / BAND_BITS bands.
 ROTATIONS = 4
 BAND_BITS = 16
+BANDS = 16
 #: Standard deviations that the error bound of an estimate covers.
 CONFIDENCE = 4.0
 SEED = 20_260
@@ -37,10 +38,15 @@ def rotation(width: int, number: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def turns_of(width: int) -> int:
+    """As many rotations as give BANDS bands."""
+    return max(ROTATIONS, -(-BANDS // (width // min(BAND_BITS, width))))
+
+
 def rotations(width: int, known: dict[int, list[np.ndarray]]) -> list[np.ndarray]:
     """All rotations of a width, made once for what ``known`` belongs to."""
     if width not in known:
-        known[width] = [rotation(width, number) for number in range(ROTATIONS)]
+        known[width] = [rotation(width, number) for number in range(turns_of(width))]
     return known[width]
 
 
