@@ -33,7 +33,7 @@ def _words(text):
 @pytest.mark.parametrize("sf_dir", [SF_DIR, LARGER])
 def test_query_equals_sql(spark, name, sf_dir):
     database = duckdb.connect()
-    for table in ("embeddings", "pages", "labels"):
+    for table in ("embeddings", "pages", "labels", "documents"):
         database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     found = queries.QUERIES[name](spark, sf_dir)
     expected = database.sql(oracles.ORACLES[name])

@@ -101,3 +101,19 @@ class Forest:
             return False
         self.parent[max(a, b)] = min(a, b)
         return True
+
+
+#: Long texts are worked on in parts of about so many bytes.
+PART_BYTES = 1 << 22
+
+
+def segments(text: bytes, blank: bytes = b" ", size: int = PART_BYTES) -> Iterator[bytes]:
+    """The text in parts that end before a blank, so that no word is cut; each longer than ``size`` only by a word."""
+    start = 0
+    while len(text) - start > size:
+        cut = text.find(blank, start + size)
+        if cut < 0:
+            break
+        yield text[start:cut]
+        start = cut
+    yield text[start:] if start else text

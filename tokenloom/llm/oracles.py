@@ -82,4 +82,74 @@ SELECT page_id, f.host, path, rule, coalesce(verdict, CASE WHEN bad_host THEN 'b
 FROM fits f LEFT JOIN judged j ON j.host = f.host
 """
 
-ORACLES = {"op5_top_k": OP5, "op9_url_filter": OP9, "op10_near_vectors": OP10}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _price(count: str, total: str, kept: str) -> str:
+    return f"CAST(1 + (1000000000::HUGEINT * ({count} + 2)) // ({total} + 2 * {kept}) AS HUGEINT)"
+
+
+def _gap(p: str, q: str) -> str:
+    return f"(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+
+OP11 = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), groups AS (SELECT DISTINCT lang, source FROM d
+), seen AS MATERIALIZED (SELECT no, lang, source, unnest(ts) AS term FROM d
+), kept AS MATERIALIZED (SELECT lang, term, count(*) AS c FROM seen GROUP BY lang, term HAVING count(DISTINCT no) >= 10
+), langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS c FROM seen JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL
+), priced AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, {_price('coalesce(c.c, 0)', 'coalesce(s.n, 0)', 'l.v')} AS p, {_price('k.c', 'l.n', 'l.v')} AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum({_gap('x.p', 'y.p')}), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN priced y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, {_gap('p', 'q')} AS value FROM priced WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+OP12 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS c FROM (
+    SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w)
+  GROUP BY ALL
+), n AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS MATERIALIZED (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND c >= 10
+), cuts AS (
+  SELECT *, array_to_string(list_slice(ws, 1, cut), ' ') AS head, array_to_string(list_slice(ws, cut + 1, k), ' ') AS tail FROM (
+    SELECT *, unnest(range(1, k)) AS cut FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.cut, h.c AS l, t.c AS r, (1000000::HUGEINT * c.a * c.a) // (h.c::HUGEINT * t.c) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.cut) = 1
+), inner_pairs AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, ws[1] || ' ' || ws[2] AS phrase, a FROM candidates WHERE k = 3 UNION ALL
+    SELECT lang, ws[2] || ' ' || ws[3], a FROM candidates WHERE k = 3) GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN inner_pairs i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLES = {"op5_top_k": OP5, "op9_url_filter": OP9, "op10_near_vectors": OP10, "op11_source_divergence": OP11, "op12_collocations": OP12}

@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm import compact_windows, hosts, lineblocks, mixing, quality, rabitq, secret_scan, simhash, unigram, vafile
+from tokenloom.llm import (
+    compact_windows, divergence, hosts, lineblocks, mixing, packing, phrases, quality, rabitq, secret_scan, simhash, unigram, vafile,
+)
 from tokenloom.llm.oracles import ORACLES
 from tokenloom.sources.corpus import read_documents
 
@@ -26,6 +28,13 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_tokenizer_file() -> str:
+    """The public vocabulary that the queries pack with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def encoded_digest(docs: DataFrame, model: unigram.Unigram) -> DataFrame:
     """``doc_id, n_tokens, n_bytes, ids_sha256, round_trip``; null texts have no tokens and a null digest."""
     first, last = min(model.byte_ids), max(model.byte_ids)
@@ -90,8 +99,21 @@ def op10_near_vectors(spark, sf_dir):
     return rabitq.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark, sf_dir):
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark, sf_dir):
+    pieces = packing.packed(_table(spark, sf_dir, "documents"), word_tokenizer_file())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_sentencepiece, op2_simhash, op3_repeated_passages, op4_mixture, op5_top_k, op6_secrets, op7_quality, op8_main_text,
-              op9_url_filter, op10_near_vectors)
+              op9_url_filter, op10_near_vectors, op11_source_divergence, op12_collocations, op13_packing)
 }
