@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import segments, stored
+from tokenloom.llm.common import segments, stored, whole_groups
 
 #: What a candidate occurs at least, the score's scale, the share of a longer phrase that drops a shorter one, ranks shown.
 LEAST = 10
@@ -26,11 +26,13 @@ SCALE = 1_000_000
 DROP_PERCENT = 50
 TOP = 2000
 #: Suffixes that a group may hold, and how many prefixes may be extended at each depth at most: a larger corpus has a larger budget.
-BUDGET = 1 << 21
+BUDGET = 1 << 19
 EXTENDED = 1 << 16
 #: A task holds so many counts or suffixes before it passes them on; word numbers take 21 bits.
-HELD_WORDS = 500_000
-HELD_SUFFIXES = 1 << 21
+HELD_WORDS = 200_000
+HELD_SUFFIXES = 3 << 17
+SENT_ROWS = 1 << 16
+HELD_LANGS = 8
 _BITS = 21
 #: Candidates of a language are ranked in so many parts first.
 RANK_PARTS = 64
@@ -145,22 +147,21 @@ class _Suffixes:
     def full(self) -> bool:
         return len(self.codes) > HELD_SUFFIXES or len(self.numbers) > HELD_WORDS
 
-    def rows(self, lang: str, extended: set[bytes]) -> pa.RecordBatch:
-        """``lang, suffix, depth, n``: each word of a suffix is followed by a blank; depth is the number of words in its prefix."""
+    def rows(self, lang: str, extended: set[bytes]) -> Iterator[pa.RecordBatch]:
+        """``lang, pair, third, depth, n``: a suffix as its first two words and the third, if any; depth is the number of words in its prefix."""
         self.settle()
-        words, mask = list(self.numbers), (1 << _BITS) - 1
-        table = pa.array([b"", *(w + b" " for w in words[1:])], pa.binary())
-        numbers = [self.codes >> 2 * _BITS, self.codes >> _BITS & mask, self.codes & mask]
-        first, second, third = (table.take(pa.array(n)) for n in numbers)
+        words, mask = [b"", *list(self.numbers)[1:]], (1 << _BITS) - 1
+        table = pa.array(words, pa.binary())
         is_first = np.fromiter((w in extended for w in words), bool, len(words))
-        depth = 1 + is_first[numbers[0]].astype(np.int32)
-        pairs = {(self.numbers.get(a), self.numbers.get(b)) for a, _, b in (e.partition(b" ") for e in extended) if b}
-        codes = [a << _BITS | b for a, b in pairs if a is not None and b is not None]
-        depth += np.isin(self.codes >> _BITS, np.array(codes, dtype=np.int64))
-        suffix = pc.binary_join_element_wise(first, second, third, pa.scalar(b"", pa.binary()))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(self.codes), pa.string()), suffix, pa.array(depth, pa.int32()), pa.array(self.times)],
-            ["lang", "suffix", "depth", "n"])
+        numbers = ((self.numbers.get(a), self.numbers.get(b)) for a, _, b in (e.partition(b" ") for e in extended) if b)
+        pairs = np.array([a << _BITS | b for a, b in numbers if a is not None and b is not None], dtype=np.int64)
+        for low in range(0, len(self.codes), SENT_ROWS):
+            codes, times = self.codes[low : low + SENT_ROWS], self.times[low : low + SENT_ROWS]
+            first, second, third = (table.take(pa.array(n)) for n in (codes >> 2 * _BITS, codes >> _BITS & mask, codes & mask))
+            depth = 1 + is_first[codes >> 2 * _BITS].astype(np.int32) + np.isin(codes >> _BITS, pairs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(codes), pa.string()), pc.binary_join_element_wise(first, second, pa.scalar(b" ", pa.binary())), third,
+                 pa.array(depth, pa.int32()), pa.array(times)], ["lang", "pair", "third", "depth", "n"])
 
 
 def _suffixes(extended: dict[str, set[bytes]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -174,9 +175,40 @@ def _suffixes(extended: dict[str, set[bytes]]) -> Callable[[Iterator[pa.RecordBa
                     held[lang].add(waiting)
                     waiting = waiting[-2:]
                 if held[lang].full():
-                    yield held.pop(lang).rows(lang, extended.get(lang, set()))
+                    yield from held.pop(lang).rows(lang, extended.get(lang, set()))
+            if len(held) > HELD_LANGS:
+                for name in list(held):
+                    yield from held.pop(name).rows(name, extended.get(name, set()))
         for lang, own in held.items():
-            yield own.rows(lang, extended.get(lang, set()))
+            yield from own.rows(lang, extended.get(lang, set()))
+
+    return run
+
+
+def _subtrees(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Nodes of depth two and three of the subtrees of whole groups, as far as ``least`` suffixes lie below them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in whole_groups(batches, ["group_no"]):
+            lang, pair, third = (group[c].combine_chunks().dictionary_encode() for c in ("lang", "pair", "third"))
+            times = group["n"].to_numpy()
+            node = pair.indices.to_numpy().astype(np.int64) * len(lang.dictionary) + lang.indices.to_numpy()
+            totals = np.zeros(len(pair.dictionary) * len(lang.dictionary), np.int64)
+            np.add.at(totals, node, times)
+            inner = np.flatnonzero(totals >= least)
+            # Leaves below smaller nodes are smaller still; an empty third word is the end of a piece.
+            below = (totals[node] >= least) & (pc.binary_length(third.dictionary).to_numpy() > 0)[third.indices.to_numpy()]
+            keys, at = np.unique(node[below] * len(third.dictionary) + third.indices.to_numpy()[below], return_inverse=True)
+            sums = np.zeros(len(keys), np.int64)
+            np.add.at(sums, at, times[below])
+            leaf = keys[sums >= least]
+            above, last = leaf // max(1, len(third.dictionary)), leaf % max(1, len(third.dictionary))
+            both, n_langs = np.concatenate([inner, above]), len(lang.dictionary)
+            pairs = pair.dictionary.take(pa.array(both // n_langs))
+            longer = pc.binary_join_element_wise(pairs[len(inner) :], third.dictionary.take(pa.array(last)), " ")
+            yield pa.RecordBatch.from_arrays(
+                [lang.dictionary.take(pa.array(both % n_langs)), pa.concat_arrays([pairs[: len(inner)], longer]),
+                 pa.array(np.concatenate([totals[inner], sums[sums >= least]]))], ["lang", "phrase", "n"])
 
     return run
 
@@ -225,18 +257,13 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, least: int, budget: int
             extended[name] |= found
     groups = _group_number(words, pairs, total, budget)
 
-    suffixes = rows.mapInArrow(_suffixes(extended), "lang string, suffix binary, depth int, n bigint")
-    suffixes = suffixes.withColumn("suffix", F.col("suffix").cast("string"))
-    prefix = F.expr("substring_index(suffix, ' ', depth)")
-    grouped = suffixes.select(_group_no("lang", prefix, groups).alias("group_no"), "lang", "suffix", "n").repartition("group_no")
-    # All rows of a group lie together, so neither the leaves nor the nodes above them are shuffled again.
-    leaves = grouped.groupBy("group_no", "lang", "suffix").agg(F.sum("n").alias("n"))
-    parts = F.size(F.split("suffix", " ")) - 1
-    deepest = F.when((parts == 3) & (F.col("n") >= least), F.struct(F.rtrim("suffix").alias("phrase"), "n"))
-    nodes = leaves.groupBy("group_no", "lang", F.substring_index("suffix", " ", 2).alias("phrase")).agg(
-        F.sum("n").alias("n"), F.collect_list(deepest).alias("below"))
-    own = F.array(F.struct("phrase", "n"))
-    each = nodes.select("lang", F.explode(F.concat(own, "below")).alias("node")).select("lang", "node.*")
+    suffixes = rows.mapInArrow(_suffixes(extended), "lang string, pair binary, third binary, depth int, n bigint")
+    suffixes = suffixes.withColumns({"pair": F.col("pair").cast("string"), "third": F.col("third").cast("string")})
+    prefix = F.when(F.col("depth") == 1, F.substring_index("pair", " ", 1)).when(F.col("depth") == 2, F.col("pair"))
+    prefix = prefix.otherwise(F.concat_ws(" ", "pair", "third"))
+    grouped = suffixes.select(_group_no("lang", prefix, groups).alias("group_no"), "lang", "pair", "third", "n")
+    grouped = grouped.repartition("group_no").sortWithinPartitions("group_no")
+    each = grouped.mapInArrow(_subtrees(least), "lang string, phrase string, n bigint")
     # The leaves of a pair above the budget lie in several groups; its total was counted on the way.
     if pairs is not None and any(b" " in phrase for found in extended.values() for phrase in found):
         over = pairs.where(F.col("n") > budget)
