@@ -1,27 +1,25 @@
-"""Exact byte-level BPE training as a loop of Spark jobs.
-
-Words and pair counts are tables. A round ranks the pairs, takes the longest prefix of
-the ranking that no merge inside it can disturb, and goes on with these merges. Only the
-ranked candidates (at most ``candidates`` rows) reach the driver.
-
-A word table within a fixed bound - distinct words, not the corpus - goes to one task
-instead, which does the same merges with an index from pairs to words.
-
-A round scans the cached words once, rewrites those that hold a merged pair, and corrects
-the pair counts by the difference. Every ``rounds_per_epoch`` rounds both tables are
-written below the shared folder and read back, which cuts the lineage: a lost executor
-costs one re-read and the replay of a few narrow projections.
+"""Exact byte-level BPE training on an inverted index of words.
+
+The index is a table of postings: one row for each word and each distinct pair of adjacent
+tokens in it, partitioned by pair. A merge touches only words below the pairs it merges, and
+these are read from the partitions of those pairs. A changed word leaves its postings by
+rows with the negative count and enters the ones of its new form, so the index is kept by
+differences, which are put together once they outgrow it; pair counts likewise.
+
+A round takes many merges. It ranks the pairs and reads the *runs* of the best ones: the
+longest stretches of words in which each adjacent pair is a candidate. Runs are summed
+over all words, and as long as the best count lies above that of every pair outside, the
+merges done on the runs are the merges of the corpus (see ``planned``). Only ranked pairs
+and runs, both bounded in number, reach the driver.
 """
 
 import math
-import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import symbols as sym
@@ -36,117 +34,13 @@ class TrainedBpe:
     merges: DataFrame
 
 
-def safe_prefix(ranked: list[tuple[bytes, bytes, int]], known, full: bool, limit: int) -> list[tuple[bytes, bytes]]:
-    """The merges that can be done at once with the result of doing them one by one.
-
-    The first pair is always right. A later pair X keeps its count as long as it cannot
-    overlap an earlier one: X must not start where one ends or end where one starts, and
-    must not be a pair of equal tokens. A pair created by merging (A, B), say (x, AB),
-    occurs at most as often as (x, A), which is such a conflict; so everything ranked
-    strictly above the first conflict also outranks every new pair. A merge whose bytes
-    already form a token adds to existing counts and is therefore done alone.
-    ``full`` says that the ranking was cut off, so its last count bounds what follows.
-    """
-    left, right, _ = ranked[0]
-    if left == right or left + right in known:
-        return [(left, right)]
-    chosen, starts, ends, made = [], set(), set(), set()
-    cut = ranked[-1][2] if full else 0
-    for left, right, n in ranked:
-        joined = left + right
-        if left == right or left in ends or right in starts or joined in known or joined in made:
-            cut = n
-            break
-        chosen.append((left, right, n))
-        starts.add(left)
-        ends.add(right)
-        made.add(joined)
-    kept = [(left, right) for i, (left, right, n) in enumerate(chosen) if i == 0 or n > cut]
-    return kept[:limit]
-
-
-class _MergeLoop:
-    def __init__(self, spark: SparkSession, folder: str, rounds_per_epoch: int, candidates: int):
-        # An own session, so that the loop's settings do not leak into the caller's.
-        self.spark = spark.newSession()
-        self.folder, self.rounds_per_epoch, self.candidates = folder, rounds_per_epoch, candidates
-        self.table = sym.SymbolTable()
-        self.epoch = self.rounds = self.step = 0
-        self.held: list[tuple[str, DataFrame]] = []
-
-    def start(self, words: DataFrame, n_words: int, words_per_task: int) -> None:
-        cores = self.spark.sparkContext.defaultParallelism
-        # Small tables spread over the cores, large ones over tasks of a fixed size.
-        self.tasks = max(1, math.ceil(n_words / words_per_task), min(cores, math.ceil(n_words / 4_000)))
-        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.tasks))
-        self.spark.conf.set("spark.sql.adaptive.enabled", "false")
-        # Inferring constraints from long chains of replace() costs more than it saves.
-        self.spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-        self._restart(words.repartition(self.tasks, "word"), None)
-
-    def _restart(self, words: DataFrame, pairs: DataFrame | None) -> None:
-        """Write the current state over the one before the last, and go on from there."""
-        slot = f"{self.folder}/state-{self.epoch % 2}"
-        words.write.mode("overwrite").parquet(f"{slot}/words")
-        fresh = self.spark.read.parquet(f"{slot}/words").persist()
-        (wd.pair_counts(fresh) if pairs is None else pairs).write.mode("overwrite").parquet(f"{slot}/pairs")
-        self.stop()
-        self._use(fresh, self.spark.read.parquet(f"{slot}/pairs").persist())
-        self.epoch, self.rounds = self.epoch + 1, 0
-
-    def _use(self, words: DataFrame, pairs: DataFrame) -> None:
-        # A new name each time: replacing a view would drop the cache behind it.
-        self.step += 1
-        self.words, self.pairs = f"words_{self.step}", f"pairs_{self.step}"
-        words.createOrReplaceTempView(self.words)
-        pairs.createOrReplaceTempView(self.pairs)
-        self.held += [(self.words, words), (self.pairs, pairs)]
-
-    def ranked(self) -> list[tuple[bytes, bytes, int]]:
-        hexes, n = self.table.hex_literal(), len(self.table.tokens)
-        sides = (F.get(hexes, sym.symbol_index(F.substr("pair", F.lit(i), F.lit(1)), n)) for i in (1, 2))
-        top = self.spark.table(self.pairs).orderBy(F.desc("n"), *(side.desc() for side in sides)).limit(self.candidates).collect()
-        # The job above has filled this round's caches. The words before it are still
-        # needed once: the current words are derived from them in the next round.
-        done, self.held = self.held[:-4], self.held[-4:]
-        self._release(done)
-        return [(self.table.token_of(r[0][0]), self.table.token_of(r[0][1]), r[1]) for r in top]
-
-    def advance(self, batch: list[tuple[bytes, bytes]]) -> None:
-        """The shape of a round's plan does not depend on its merges, so its code is compiled once.
-
-        Only the changed words are exploded, and only their pairs are shuffled: the pair
-        table stays partitioned by pair, and the differences come to it.
-        """
-        rules = [self.table.merge_rule(left, right) for left, right in batch]
-        words, pairs = self.spark.table(self.words), self.spark.table(self.pairs)
-        hit = F.rlike("word", F.lit("|".join(re.escape(rule[:2]) for rule in rules)))
-        merged = sym.apply_rules(F.col("word"), rules)
-        # Each changed word leaves its old pairs and brings its new ones.
-        both = F.explode(F.array(F.struct("word", (-F.col("n")).alias("n")), F.struct(merged.alias("word"), "n"))).alias("w")
-        changed = words.where(hit).select(both).select("w.*")
-        union = pairs.unionByName(wd.pair_counts(changed).where("n <> 0"))
-        fresh = union.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
-        words = words.withColumn("word", F.when(hit, merged).otherwise(F.col("word")))
-        self.rounds += 1
-        if self.rounds >= self.rounds_per_epoch:
-            self._restart(words.where("length(word) > 1"), fresh)
-        else:
-            self._use(words.persist(), fresh.persist())
-
-    def _release(self, held: list[tuple[str, DataFrame]]) -> None:
-        for name, frame in held:
-            frame.unpersist()
-            self.spark.catalog.dropTempView(name)
-
-    def stop(self) -> None:
-        self._release(self.held)
-        self.held = []
-
-
-# A word table up to these bounds is merged in one task, a larger one by rounds of jobs; same merges either way.
-ONE_TASK_WORDS = 1_000_000
-ONE_TASK_SYMBOLS = 16_000_000
+#: Pairs that are ranked in a round at most, and runs of them that may reach the driver: with more runs, fewer pairs are taken.
+CANDIDATES = 1024
+RUNS = 50_000
+#: Words of one partition of the index.
+WORDS_PER_TASK = 200_000
+#: Differences are put together with the index after so many rounds, or when they hold as many rows.
+ROUNDS_PER_EPOCH = 8
 
 
 def _greater_first(token: bytes) -> tuple[int, ...]:
@@ -154,33 +48,43 @@ def _greater_first(token: bytes) -> tuple[int, ...]:
     return (*(255 - b for b in token), 256)
 
 
-def merge_words(words: Iterable[tuple[str, int]], limit: int) -> Iterator[tuple[bytes, bytes]]:
-    """Merges in order, for words small enough for one task, from ``word, n`` as symbol strings.
+def planned(runs: Iterable[tuple[str, int]], table: sym.SymbolTable, floor: int, known, limit: int) -> list[str]:
+    """Merge rules, in order, that one-by-one training does next, from ``run, n``.
 
-    Keeps the count of each pair and the words it was seen in, so a merge touches only those.
+    Every candidate pair lies inside runs, with its neighbours as far as these are candidates,
+    too; so the counts of pairs inside are exact at the start and after each merge. A pair
+    across the border of a run, whatever its two tokens have grown to, occurs at most as
+    often as the pair of symbols at that border, which is no candidate: ``floor`` at most. So
+    a merge whose count is above ``floor`` is the next one. That holds as long as a token is
+    made in one way: a merge whose bytes are already a token is done, but is the last one.
     """
-    table, texts, times = sym.SymbolTable(), [], []
+    texts, times = [], []
     counts: dict[str, int] = defaultdict(int)
     where: dict[str, set[int]] = defaultdict(set)
-    for i, (word, n) in enumerate(words):
-        texts.append(word)
+    for i, (run, n) in enumerate(runs):
+        texts.append(run)
         times.append(n)
-        for at in range(len(word) - 1):
-            counts[word[at : at + 2]] += n
-            where[word[at : at + 2]].add(i)
+        for at in range(len(run) - 1):
+            counts[run[at : at + 2]] += n
+            where[run[at : at + 2]].add(i)
 
     def entry(pair: str):
         return -counts[pair], *(_greater_first(table.token_of(c)) for c in pair), pair
 
-    queue = [entry(pair) for pair in counts]
+    queue, rules = [entry(pair) for pair in counts], []
     heapify(queue)
-    while limit and queue:
+    while len(rules) < limit and queue:
         n, _, _, pair = heappop(queue)
         if counts.get(pair, 0) != -n:
             continue  # its count has changed since, and a newer entry is in the queue
-        yield table.token_of(pair[0]), table.token_of(pair[1])
-        limit -= 1
-        joined = table.merge_rule(*(table.token_of(c) for c in pair))[2]
+        if -n <= floor:
+            break
+        left, right = (table.token_of(c) for c in pair)
+        last = left + right in known or left + right in table.index
+        rules.append(table.merge_rule(left, right))
+        if last:
+            break
+        joined = rules[-1][2]
         changes: dict[str, int] = defaultdict(int)
         for i in where.pop(pair):
             old, own = texts[i], times[i]
@@ -201,51 +105,179 @@ def merge_words(words: Iterable[tuple[str, int]], limit: int) -> Iterator[tuple[
                 heappush(queue, entry(pair))
             else:
                 del counts[pair]
+    return rules
+
+
+def _point(character: str) -> str:
+    return f"\\x{{{ord(character):x}}}"
+
 
+def runs_of(word: Column, pairs: Iterable[str]) -> Column:
+    """The longest stretches of a word whose adjacent pairs are all among ``pairs``. The first one starts with the first such pair."""
+    after: dict[str, list[str]] = defaultdict(list)
+    for left, right in sorted(pairs):
+        after[left].append(right)
+    starts = "|".join(f"{_point(left)}(?=[{''.join(map(_point, rights))}])" for left, rights in after.items())
+    # Possessive, so that a run of any length is matched without recursion.
+    return F.regexp_extract_all(word, F.lit(f"(?s)(?:{starts})++."), F.lit(0))
 
-def _in_one_task(words: DataFrame, limit: int) -> list[tuple[bytes, bytes]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((w, n) for b in batches for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        found = list(merge_words(rows, limit))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(found)), pa.int32()), *(pa.array([pair[i] for pair in found], pa.binary()) for i in (0, 1))],
-            ["rank", "left", "right"])
 
-    learned = words.coalesce(1).mapInArrow(run, "rank int, left binary, right binary").collect()
-    return [(bytes(r["left"]), bytes(r["right"])) for r in sorted(learned, key=lambda r: r["rank"])]
+# Long words are cut into pieces that overlap by one symbol, because finding the i-th symbol of a string takes i steps.
+_DISTINCT_PAIRS = """array_distinct(flatten(transform(sequence(0, (length(word) - 2) div 64), p ->
+    transform(sequence(1, least(64, length(word) - 1 - 64 * p)), i -> substr(substr(word, 64 * p + 1, 65), i, 2)))))"""
+
+
+class _Index:
+    """Postings and pair counts of one training, in folders below the shared one."""
+
+    def __init__(self, spark: SparkSession, folder: str, words_per_task: int, rounds_per_epoch: int):
+        # An own session, so that the settings do not leak into the caller's.
+        self.spark, self.folder = spark.newSession(), folder
+        self.words_per_task, self.rounds_per_epoch = words_per_task, rounds_per_epoch
+        self.table = sym.SymbolTable()
+        self.step, self.rows, self.added = 0, 0, 0
+        self.parts: list[str] = []
+
+    def start(self, words: DataFrame, n_words: int) -> None:
+        cores = self.spark.sparkContext.defaultParallelism
+        # Small tables spread over the cores, large ones over partitions of a fixed size.
+        self.buckets = max(1, math.ceil(n_words / self.words_per_task), min(cores, math.ceil(n_words / 4_000)))
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.buckets))
+        self.spark.conf.set("spark.sql.adaptive.enabled", "false")
+        # Inferring constraints from long rules costs more than it saves.
+        self.spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+        words = self._written(words, "words")
+        self.rows = self._add(words)
+        self._replace_pairs(wd.pair_counts(words))
+        delete(self.spark, self.words)
+
+    def _written(self, words: DataFrame, name: str) -> DataFrame:
+        self.step += 1
+        self.words = f"{self.folder}/{name}-{self.step}"
+        words.write.parquet(self.words)
+        return self.spark.read.schema("word string, n bigint").parquet(self.words)
+
+    def _bucket(self, pair: str) -> Column:
+        return F.pmod(F.xxhash64(pair), F.lit(self.buckets)).cast("int")
+
+    def _add(self, words: DataFrame) -> int:
+        """Postings of ``word, n`` in a folder of their own; how many."""
+        rows = words.where("length(word) > 1").select(F.explode(F.expr(_DISTINCT_PAIRS)).alias("pair"), "word", "n")
+        return self._add_rows(rows)
+
+    def _add_rows(self, rows: DataFrame) -> int:
+        self.step += 1
+        path = f"{self.folder}/postings-{self.step}"
+        dealt = rows.withColumn("bucket", self._bucket("pair")).repartition(self.buckets, "bucket")
+        dealt.sortWithinPartitions("bucket", "pair").write.partitionBy("bucket").parquet(path)
+        self.parts.append(path)
+        return self._read([path]).count()
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        schema = "pair string, word string, n bigint, bucket int"
+        tables = [self.spark.read.schema(schema).parquet(path) for path in paths]
+        while len(tables) > 1:
+            tables = [a.unionByName(b) for a, b in zip(tables[::2], tables[1::2])] + tables[len(tables) // 2 * 2 :]
+        return tables[0]
+
+    def _replace_pairs(self, counts: DataFrame) -> None:
+        self.step += 1
+        before, path = getattr(self, "pairs_path", None), f"{self.folder}/pairs-{self.step}"
+        counts.write.parquet(path)
+        self.pairs_path, self.pairs = path, self.spark.read.schema("pair string, n bigint").parquet(path)
+        if before:
+            delete(self.spark, before)
+
+    def ranked(self, candidates: int) -> list[tuple[str, int]]:
+        """The best pairs: most frequent, ties to the greater left, then right bytes."""
+        hexes, n = self.table.hex_literal(), len(self.table.tokens)
+        sides = (F.get(hexes, sym.symbol_index(F.substr("pair", F.lit(i), F.lit(1)), n)) for i in (1, 2))
+        top = self.pairs.orderBy(F.desc("n"), *(side.desc() for side in sides)).limit(candidates).collect()
+        return [(r["pair"], r["n"]) for r in top]
+
+    def below(self, pairs: list[str]) -> DataFrame:
+        """``word, runs, n``: words with any of the pairs, each by the posting of the first of them in it.
+
+        Only the partitions of these pairs are read. A word that has changed since comes
+        with its count and with its negative count, which cancel out in every sum.
+        """
+        known = self.spark.createDataFrame([(p,) for p in pairs], "pair string")
+        buckets = [r["bucket"] for r in known.select(self._bucket("pair").alias("bucket")).distinct().collect()]
+        rows = self._read(self.parts).where(F.col("bucket").isin(buckets) & F.col("pair").isin(pairs))
+        rows = rows.select("pair", "word", "n", runs_of(F.col("word"), pairs).alias("runs"))
+        return rows.where(F.substr(F.get("runs", F.lit(0)), F.lit(1), F.lit(2)) == F.col("pair")).select("word", "runs", "n")
+
+    def runs(self, pairs: list[str], limit: int) -> list[tuple[str, int]] | None:
+        """``run, n`` summed over all words, or nothing if there are more than ``limit``."""
+        each = self.below(pairs).select(F.explode("runs").alias("run"), "n")
+        found = each.groupBy("run").agg(F.sum("n").alias("n")).where("n > 0").limit(limit + 1).collect()
+        return None if len(found) > limit else [(r["run"], r["n"]) for r in found]
+
+    def merge(self, rules: list[str], first: list[str]) -> None:
+        """Applies the rules to the words below their first pairs and takes the differences into the index."""
+        rows = self.below(first).withColumn("new", sym.apply_rules(F.col("word"), rules)).where("new <> word")
+        # Rows of one word that cancel out go here.
+        changed = rows.groupBy("word", "new").agg(F.sum("n").alias("n")).where("n <> 0")
+        both = F.explode(F.array(F.struct("word", (-F.col("n")).alias("n")), F.struct(F.col("new").alias("word"), "n"))).alias("w")
+        words = self._written(changed.select(both).select("w.*"), "changed")
+        self.added += self._add(words)
+        union = self.pairs.unionByName(wd.pair_counts(words).where("n <> 0"))
+        self._replace_pairs(union.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0"))
+        delete(self.spark, self.words)
+        if len(self.parts) > self.rounds_per_epoch or self.added > self.rows:
+            self._compact()
+
+    def _compact(self) -> None:
+        old = self.parts
+        whole = self._read(old).groupBy("pair", "word").agg(F.sum("n").alias("n")).where("n > 0")
+        self.parts = []
+        self.rows, self.added = self._add_rows(whole), 0
+        for path in old:
+            delete(self.spark, path)
 
 
 def learn_merges(
     counts: DataFrame,
     limit: int,
-    rounds_per_epoch: int = 4,
-    candidates: int = 256,
-    words_per_task: int = 200_000,
+    candidates: int = CANDIDATES,
+    runs: int = RUNS,
+    words_per_task: int = WORDS_PER_TASK,
+    rounds_per_epoch: int = ROUNDS_PER_EPOCH,
     known: set[bytes] = frozenset(),
-    one_task_words: int = ONE_TASK_WORDS,
 ) -> list[tuple[bytes, bytes]]:
     """Up to ``limit`` merges, in order, learned from ``token, is_special, n``."""
     spark = counts.sparkSession
-    words = wd.word_table(counts)
-    size = words.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum(F.length("word")), F.lit(0)).alias("symbols")).first()
-    if size["words"] <= one_task_words and size["symbols"] <= ONE_TASK_SYMBOLS:
-        return _in_one_task(words, limit)
     folder = shared_folder(spark, "train")
-    loop = _MergeLoop(spark, folder, rounds_per_epoch, candidates)
+    index = _Index(spark, folder, words_per_task, rounds_per_epoch)
     merges: list[tuple[bytes, bytes]] = []
+    taken = candidates
     try:
-        loop.start(words, size["words"], words_per_task)
+        words = wd.word_table(counts)
+        index.start(words, words.count())
         while len(merges) < limit:
-            ranked = loop.ranked()
+            ranked = index.ranked(taken + 1)
             if not ranked:
                 break
-            taken = loop.table.index.keys() | known
-            batch = safe_prefix(ranked, taken, len(ranked) == candidates, limit - len(merges))
-            merges += batch
+            rules, own = [], taken
+            while not rules:
+                pairs = [pair for pair, _ in ranked[:own]]
+                floor = ranked[own][1] if len(ranked) > own else 0
+                # A single pair needs no runs: the best pair is always the next merge.
+                found = index.runs(pairs, runs) if own > 1 and ranked[0][1] > floor else []
+                if found is None:
+                    own = taken = max(1, own // 4)
+                    continue
+                rules = planned(found, index.table, floor, known, limit - len(merges))
+                if not rules:
+                    rules = [index.table.merge_rule(*(index.table.token_of(c) for c in ranked[0][0]))]
+            if found and len(found) * 8 < runs:
+                taken = min(candidates, taken * 2)
+            merges += [tuple(index.table.token_of(c) for c in rule[:2]) for rule in rules]
             if len(merges) < limit:
-                loop.advance(batch)
+                # Every word that changes holds one of the merged pairs already now.
+                before = set(pairs)
+                index.merge(rules, [rule[:2] for rule in rules if rule[:2] in before])
     finally:
-        loop.stop()
         delete(spark, folder)
     return merges
 
