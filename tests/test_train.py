@@ -111,6 +111,7 @@ def test_index_is_kept_by_differences(spark):
         rule = index.table.merge_rule(left, right)
         index.merge([rule], [rule[:2]])
         now = {w.replace(rule[:2], rule[2]): n for w, n in now.items()}
+        assert index.parts
         postings = index._read(index.parts).groupBy("pair", "word").agg(F.sum("n").alias("n")).where("n <> 0").collect()
         assert {(r.pair, r.word): r.n for r in postings} == {(w[i : i + 2], w): n for w, n in now.items() for i in range(len(w) - 1)}
         pairs = Counter()

@@ -36,7 +36,7 @@ class TrainedBpe:
 
 #: Pairs that are ranked in a round at most, and runs of them that may reach the driver: with more runs, fewer pairs are taken.
 CANDIDATES = 1024
-RUNS = 50_000
+RUNS = 100_000
 #: Words of one partition of the index.
 WORDS_PER_TASK = 200_000
 #: Differences are put together with the index after so many rounds, or when they hold as many rows.
@@ -112,14 +112,22 @@ def _point(character: str) -> str:
     return f"\\x{{{ord(character):x}}}"
 
 
-def runs_of(word: Column, pairs: Iterable[str]) -> Column:
-    """The longest stretches of a word whose adjacent pairs are all among ``pairs``. The first one starts with the first such pair."""
+def _starts(pairs: Iterable[str]) -> str:
+    """Pattern of a symbol with which one of the pairs starts."""
     after: dict[str, list[str]] = defaultdict(list)
     for left, right in sorted(pairs):
         after[left].append(right)
-    starts = "|".join(f"{_point(left)}(?=[{''.join(map(_point, rights))}])" for left, rights in after.items())
+    return "|".join(f"{_point(left)}(?=[{''.join(map(_point, rights))}])" for left, rights in after.items())
+
+
+def _any_of(pairs: Iterable[str]) -> str:
+    return f"(?s)(?:{_starts(pairs)})."
+
+
+def runs_of(word: Column, pairs: Iterable[str]) -> Column:
+    """The longest stretches of a word whose adjacent pairs are all among ``pairs``."""
     # Possessive, so that a run of any length is matched without recursion.
-    return F.regexp_extract_all(word, F.lit(f"(?s)(?:{starts})++."), F.lit(0))
+    return F.regexp_extract_all(word, F.lit(f"(?s)(?:{_starts(pairs)})++."), F.lit(0))
 
 
 # Long words are cut into pieces that overlap by one symbol, because finding the i-th symbol of a string takes i steps.
@@ -137,6 +145,7 @@ class _Index:
         self.table = sym.SymbolTable()
         self.step, self.rows, self.added = 0, 0, 0
         self.parts: list[str] = []
+        self.words: DataFrame | None = None
 
     def start(self, words: DataFrame, n_words: int) -> None:
         cores = self.spark.sparkContext.defaultParallelism
@@ -146,16 +155,15 @@ class _Index:
         self.spark.conf.set("spark.sql.adaptive.enabled", "false")
         # Inferring constraints from long rules costs more than it saves.
         self.spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-        words = self._written(words, "words")
-        self.rows = self._add(words)
+        # The index is made of the words as the first round leaves them, which changes nearly all.
+        self.words = words
         self._replace_pairs(wd.pair_counts(words))
-        delete(self.spark, self.words)
 
-    def _written(self, words: DataFrame, name: str) -> DataFrame:
+    def _written(self, words: DataFrame) -> tuple[DataFrame, str]:
         self.step += 1
-        self.words = f"{self.folder}/{name}-{self.step}"
-        words.write.parquet(self.words)
-        return self.spark.read.schema("word string, n bigint").parquet(self.words)
+        path = f"{self.folder}/words-{self.step}"
+        words.write.parquet(path)
+        return self.spark.read.schema("word string, n bigint").parquet(path), path
 
     def _bucket(self, pair: str) -> Column:
         return F.pmod(F.xxhash64(pair), F.lit(self.buckets)).cast("int")
@@ -196,37 +204,62 @@ class _Index:
         return [(r["pair"], r["n"]) for r in top]
 
     def below(self, pairs: list[str]) -> DataFrame:
-        """``word, runs, n``: words with any of the pairs, each by the posting of the first of them in it.
+        """``word, n``: words with any of the pairs, each by the posting of the first of them in it.
 
         Only the partitions of these pairs are read. A word that has changed since comes
         with its count and with its negative count, which cancel out in every sum.
         """
-        known = self.spark.createDataFrame([(p,) for p in pairs], "pair string")
+        if not self.parts:
+            return self.words.where(F.rlike("word", F.lit(_any_of(pairs))))
+        known = self._known(pairs)
         buckets = [r["bucket"] for r in known.select(self._bucket("pair").alias("bucket")).distinct().collect()]
-        rows = self._read(self.parts).where(F.col("bucket").isin(buckets) & F.col("pair").isin(pairs))
-        rows = rows.select("pair", "word", "n", runs_of(F.col("word"), pairs).alias("runs"))
-        return rows.where(F.substr(F.get("runs", F.lit(0)), F.lit(1), F.lit(2)) == F.col("pair")).select("word", "runs", "n")
+        rows = self._read(self.parts).where(F.col("bucket").isin(buckets)).join(F.broadcast(known), "pair", "left_semi")
+        first = F.regexp_extract("word", _any_of(pairs), 0)
+        return rows.where(first == F.col("pair")).select("word", "n")
+
+    def _known(self, pairs: list[str]) -> DataFrame:
+        """Pairs of one round, of which there are few."""
+        return self.spark.createDataFrame([(p,) for p in pairs], "pair string")
 
     def runs(self, pairs: list[str], limit: int) -> list[tuple[str, int]] | None:
         """``run, n`` summed over all words, or nothing if there are more than ``limit``."""
-        each = self.below(pairs).select(F.explode("runs").alias("run"), "n")
+        each = self.below(pairs).select(F.explode(runs_of(F.col("word"), pairs)).alias("run"), "n")
         found = each.groupBy("run").agg(F.sum("n").alias("n")).where("n > 0").limit(limit + 1).collect()
         return None if len(found) > limit else [(r["run"], r["n"]) for r in found]
 
     def merge(self, rules: list[str], first: list[str]) -> None:
-        """Applies the rules to the words below their first pairs and takes the differences into the index."""
+        """Applies the rules to the words below their first pairs and takes the differences into the index.
+
+        Early merges change most words; then the index is made anew from its own words.
+        """
+        if not self.parts or self._read(self.parts).join(F.broadcast(self._known(first)), "pair", "left_semi").count() * 4 > self.rows:
+            self._rebuild(rules)
+            return
         rows = self.below(first).withColumn("new", sym.apply_rules(F.col("word"), rules)).where("new <> word")
         # Rows of one word that cancel out go here.
         changed = rows.groupBy("word", "new").agg(F.sum("n").alias("n")).where("n <> 0")
         both = F.explode(F.array(F.struct("word", (-F.col("n")).alias("n")), F.struct(F.col("new").alias("word"), "n"))).alias("w")
-        words = self._written(changed.select(both).select("w.*"), "changed")
+        words, path = self._written(changed.select(both).select("w.*"))
         self.added += self._add(words)
         union = self.pairs.unionByName(wd.pair_counts(words).where("n <> 0"))
         self._replace_pairs(union.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0"))
-        delete(self.spark, self.words)
+        delete(self.spark, path)
         if len(self.parts) > self.rounds_per_epoch or self.added > self.rows:
             self._compact()
 
+    def _rebuild(self, rules: list[str]) -> None:
+        old, every = self.parts, self.words
+        if old:
+            # Each word once: below the pair that it starts with.
+            rows = self._read(old).where(F.col("pair") == F.substr("word", F.lit(1), F.lit(2)))
+            every = rows.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
+        words, path = self._written(every.select(sym.apply_rules(F.col("word"), rules).alias("word"), "n"))
+        self.parts, self.words = [], None
+        self.rows, self.added = self._add(words), 0
+        self._replace_pairs(wd.pair_counts(words))
+        for folder in (*old, path):
+            delete(self.spark, folder)
+
     def _compact(self) -> None:
         old = self.parts
         whole = self._read(old).groupBy("pair", "word").agg(F.sum("n").alias("n")).where("n > 0")
@@ -250,10 +283,12 @@ def learn_merges(
     folder = shared_folder(spark, "train")
     index = _Index(spark, folder, words_per_task, rounds_per_epoch)
     merges: list[tuple[bytes, bytes]] = []
-    taken = candidates
     try:
         words = wd.word_table(counts)
-        index.start(words, words.count())
+        n_words = words.count()
+        # Many words have many runs.
+        taken = candidates if n_words <= runs else max(1, candidates // 8)
+        index.start(words, n_words)
         while len(merges) < limit:
             ranked = index.ranked(taken + 1)
             if not ranked:
