@@ -24,21 +24,22 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = _local_root(spark.sparkContext.applicationId)
     folder = f"{root.rstrip('/')}/tokenloom-{purpose}-{uuid.uuid4().hex}"
-    _made.append((spark, folder))
+    _made.append(folder)
     return folder
 
 
-#: Folders of this application. Tables may be read from them as long as it runs.
-_made: list[tuple[SparkSession, str]] = []
+#: Folders of this application. Tables may be read from them as long as it runs. Paths alone: functions that name a
+#: module of the package travel with it, and a session cannot.
+_made: list[str] = []
 
 
 @atexit.register
 def remove_intermediate() -> None:
     """Deletes the intermediate folders of this application; called when it ends, or before by its owner."""
-    while _made:
-        spark, folder = _made.pop()
+    spark = SparkSession.getActiveSession()
+    while spark and _made:
         try:
-            delete(spark, folder)
+            delete(spark, _made.pop())
         except Exception:  # the JVM has gone before: nothing can be reached any more
             _made.clear()
 
@@ -65,6 +66,33 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(where) and files.getFileStatus(where).isDirectory()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that is there whole or not at all: written under another name, then renamed."""
+    files, where = _file_system(spark, path)
+    waiting = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = files.create(waiting, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if not files.rename(waiting, where):
+        raise OSError(f"cannot publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, where = _file_system(spark, path)
+    size = files.getFileStatus(where).getLen()
+    source = files.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source, size)).decode("utf-8")
+    finally:
+        source.close()
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no folder."""
+    files, where = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a folder of intermediate data, in whatever file system it lies."""
     files, where = _file_system(spark, path)
