@@ -73,3 +73,11 @@ def test_byte_sequences(spark):
 def test_document_split_keeps_empty_parts(spark):
     rows = dc.document_split(frame(spark, [f"a{EOT}{EOT}b", "c", ""])).collect()
     assert by_doc(rows, "part_pos", "text") == {0: ["a", "", "b"], 1: ["c"], 2: [""]}
+
+
+def test_every_character_is_split_as_by_the_regex_module(spark):
+    """All planes: alone, doubled, and beside letters, digits, blanks and marks."""
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"x{chr(c)}7{chr(c)} {chr(c)}y {chr(c)}{chr(c)}!{chr(c)}\n" for c in codes[i : i + 4096]) for i in range(0, len(codes), 4096)]
+    found = by_doc(wd.pretokenize(frame(spark, texts).repartition(8), []).collect(), "tok_pos", "token")
+    assert [found[i] for i in range(len(texts))] == [tokens(t) for t in texts]

@@ -1,7 +1,10 @@
 """Column expressions over text: splitting, pre-tokens, bytes, UTF-8 repair."""
 
 import re
+from functools import lru_cache
 
+import regex
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,12 +15,53 @@ PRETOKEN_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 END_OF_TEXT = "<|endoftext|>"
 
 
+def code_ranges(characters: str) -> str:
+    """Characters, in order, as ranges of a character class."""
+    ranges: list[list[int]] = []
+    for code in map(ord, characters):
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in ranges)
+
+
+@lru_cache(maxsize=None)
+def members(kind: str) -> str:
+    """All characters of a class such as ``\\p{L}``, by the Unicode tables of the ``regex`` module."""
+    return "".join(regex.findall(kind, "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))))
+
+
+@lru_cache(maxsize=None)
+def _younger(kind: str) -> str:
+    """Characters of a class that the tables of Java do not have yet."""
+    java = SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(kind)
+    return java.matcher(members(kind)).replaceAll("")
+
+
 def pretokens(text: Column) -> Column:
-    """All pre-tokens of a text, in order.
+    """All pre-tokens of a text, in order, by the Unicode tables of the ``regex`` module.
 
-    ``(?U)`` makes ``\\s`` cover Unicode whitespace, which Java's default does not.
+    ``(?U)`` makes ``\\s`` cover Unicode whitespace, which Java's default does not. Letters
+    and numbers younger than Java's tables are added to the classes, but only for texts that
+    hold any, as long classes are slow.
     """
-    return F.regexp_extract_all(text, F.lit("(?U)" + PRETOKEN_PATTERN), F.lit(0))
+    plain = F.regexp_extract_all(text, F.lit("(?U)" + PRETOKEN_PATTERN), F.lit(0))
+    kinds = {kind: _younger(kind) for kind in (r"\p{L}", r"\p{N}")}
+    young = "".join(sorted("".join(kinds.values())))
+    if not young:
+        return plain
+    wide = PRETOKEN_PATTERN
+    for kind, characters in kinds.items():
+        wide = _widened(wide, kind, code_ranges(characters))
+    above = F.rlike(text, F.lit(f"[\\x{{{ord(young[0]):X}}}-\\x{{10FFFF}}]")) & F.rlike(text, F.lit(f"[{code_ranges(young)}]"))
+    return F.when(above, F.regexp_extract_all(text, F.lit("(?U)" + wide), F.lit(0))).otherwise(plain)
+
+
+def _widened(pattern: str, kind: str, added: str) -> str:
+    """The pattern with further members of a class, which stands alone once and once inside brackets."""
+    head, _, rest = pattern.partition(f" ?{kind}+")
+    return f"{head} ?[{kind}{added}]+{rest.replace(kind, kind + added)}"
 
 
 def _alternation(specials: list[str]) -> str:

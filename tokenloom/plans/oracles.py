@@ -4,6 +4,7 @@ The SQL goes another way than the operators where it can: regular expressions wi
 look-ahead, one merge per step with a full recount, all pairs of rows for attention.
 """
 
+from tokenloom.functions.text import code_ranges, members
 from tokenloom.plans import queries as q
 
 # The white space characters of Unicode, as a character class.
@@ -23,6 +24,21 @@ def _pretokens(text: str) -> str:
     return f"regexp_extract_all({marked}, $${word}$$)"
 
 
+def _pretokens_of_any(text: str) -> str:
+    """As above for any characters, with letters and numbers spelled out as ranges."""
+    letters, numbers = code_ranges(members(r"\p{L}")), code_ranges(members(r"\p{N}"))
+    return _pretokens(text).replace(r"[^" + _SPACES + r"\p{L}\p{N}", "[^" + _SPACES + letters + numbers).replace(
+        r"\p{L}+", f"[{letters}]+").replace(r"\p{N}+", f"[{numbers}]+")
+
+
+def _points() -> str:
+    """The code points of a document, spread out; see the query."""
+    n = q.POINT_PARTS
+    codes = f"list_filter(list_transform(range({0x110000 // n}), lambda i: i * {n} + doc_id % {n}), lambda c: c > 0 AND NOT c BETWEEN 55296 AND 57344)"
+    each = "'x' || chr(c::INT) || '7' || chr(c::INT) || ' ' || chr(c::INT) || 'y ' || chr(c::INT) || chr(c::INT)"
+    return f"coalesce(text, '') || array_to_string(list_transform({codes}, lambda c: {each}), '')"
+
+
 def _pieces(text: str) -> str:
     alternation = "|".join(s.replace("|", r"\|") for s in sorted(q.SPECIALS, key=len, reverse=True))
     marked = rf"regexp_replace({text}, '({alternation})', chr(1) || '\1' || chr(1), 'g')"
@@ -257,6 +273,8 @@ def _oracles() -> dict[str, str]:
         "special_split": f"SELECT doc_id, piece_pos, piece, piece IN ({_special_list()}) AS is_special FROM ("
         + _rows("doc_id", "documents", _pieces(_DELIMITED), ("piece_pos", "piece")) + ")",
         "pretokenize": _rows("doc_id", "documents", _pretokens("text"), ("tok_pos", "token")),
+        "pretokenize_code_points": f"SELECT doc_id, len(w) AS n_tokens, md5(array_to_string(w, chr(10))) AS digest FROM ("
+        f"SELECT doc_id, {_pretokens_of_any('t')} AS w FROM (SELECT doc_id, {_points()} AS t FROM documents))",
         "pretokenize_runs": _rows("doc_id", "documents", _pretokens(runs), ("tok_pos", "token")),
         "byte_sequences": f"SELECT token, {_SPACED.format('token')} AS bytes_hex FROM ({pretokens})",
         "special_encode": _with(delimited, encoded),

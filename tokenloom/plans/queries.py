@@ -34,6 +34,7 @@ TOP = 20
 WIDTH = 64
 SAMPLES = 4096
 CELLS = 8
+POINT_PARTS = 512
 VOCAB_SIZE = 256 + len(SPECIALS) + N_MERGES
 
 
@@ -195,6 +196,27 @@ def pretokenize_runs(spark, sf_dir):
     return wd.pretokenize(docs).select("doc_id", "tok_pos", "token")
 
 
+def pretokenize_code_points(spark, sf_dir):
+    """Each text with a part of all characters put between, after and before letters, digits, blanks and each other.
+
+    A text gets the code points that leave the same remainder as its id; together, texts get all but
+    surrogates and the one that marks white space in the SQL.
+    """
+    codes = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(0x110000 // POINT_PARTS - 1)), lambda i: i * POINT_PARTS + F.pmod("doc_id", F.lit(POINT_PARTS)).cast("int")),
+        lambda c: (c > 0) & ~c.between(0xD800, 0xE000))
+
+    def spread_out(code: Column) -> Column:
+        # As a whole text, the byte order mark would be taken for one.
+        c = F.when(code == 0xFEFF, F.lit("\ufeff")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.concat(F.lit("x"), c, F.lit("7"), c, F.lit(" "), c, F.lit("y "), c, c)
+
+    text = F.concat(F.coalesce("text", F.lit("")), F.array_join(F.transform(codes, spread_out), ""))
+    words = tx.pretokens(F.col("text"))
+    docs = _documents(spark, sf_dir).select("doc_id", text.alias("text")).select("doc_id", words.alias("words"))
+    return docs.select("doc_id", F.size("words").cast("long").alias("n_tokens"), F.md5(F.array_join("words", "\n")).alias("digest"))
+
+
 def byte_sequences(spark, sf_dir):
     words = wd.pretoken_counts(_documents(spark, sf_dir))
     return wd.byte_sequences(words).select("token", "bytes_hex")
@@ -446,7 +468,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         corpus_scan, chunk_boundaries, document_split, utf8_ignore, artifact_roundtrip, gpt2_import, gpt2_export,
-        delimited_files, special_split, pretokenize, pretokenize_runs, byte_sequences, special_encode, vocab_leak_check,
+        delimited_files, special_split, pretokenize, pretokenize_runs, pretokenize_code_points, byte_sequences, special_encode, vocab_leak_check,
         pretoken_counts, corpus_stats, pair_stats, best_pair, top_pairs, apply_merge,
         train_exhausted, trained_vocab, base_vocab, extend_vocab, longest_tokens,
         encode_words, encode_documents, encode_documents_arrow, decode_documents, token_strings, roundtrip_mismatches,
