@@ -5,7 +5,7 @@ each size the same share is taken, and a bounded-knapsack search over the counts
 what remains to the word. Which documents of a size are taken is decided by a seeded hash.
 """
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -17,8 +17,9 @@ from tokenloom.llm.common import stored
 #: What sources weigh in code point order, repeating, and how often a document may be taken.
 WEIGHTS = (5, 2, 1)
 MOST = 3
-#: The search fits at most so many words; above, documents are added from the largest size down.
+#: The search fits so many words at least, and so many documents of the largest size.
 SEARCHED = 1 << 16
+WINDOW = 8
 #: Documents of one source and size are ranked in so many parts by hash.
 HASH_PARTS = 1024
 SEED = 7
@@ -27,9 +28,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def fitted(sizes: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
-    """How many documents of each size to take so that their sizes sum to ``budget`` or little less.
+    """How many documents of each size to take so that their sizes sum to ``budget``, or to the greatest sum below it within reach.
 
-    Sizes are distinct and positive, ``counts`` says how many there are of each.
+    Sizes are distinct and positive, ``counts`` says how many there are of each. An equal share
+    of every size is taken first. Then documents go back, the smallest first, until the search
+    has as much to fill as WINDOW times the largest size or SEARCHED words, or all went back;
+    the search is over every sum up to that, whatever the sizes. So it is exact whenever
+    all documents went back, and otherwise chooses among the sums of that many words.
     """
     total = float((sizes * counts).sum())
     budget = int(min(budget + 0.5, total))
@@ -42,53 +47,56 @@ def fitted(sizes: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
         largest = order[taken[order] > 0][0]
         taken[largest] -= 1
         left += int(sizes[largest])
-    for i in order.tolist():
-        spare = min(int(counts[i] - taken[i]), max(0, left - SEARCHED) // int(sizes[i]))
+    window = max(SEARCHED, WINDOW * int(sizes.max()))
+    for i in order.tolist():  # rounding down leaves less than one document of each size
+        spare = min(int(counts[i] - taken[i]), max(0, left - window) // int(sizes[i]))
         taken[i] += spare
         left -= spare * int(sizes[i])
-    # Some of what was taken goes back, smallest sizes first, so that the search has enough to choose from.
-    window = max(left, SEARCHED)
     for i in order[::-1].tolist():
-        while left < window and taken[i] > 0 and left + sizes[i] <= window:
-            taken[i] -= 1
-            left += int(sizes[i])
-    taken = taken + _knapsack(sizes, counts - taken, min(left, 2 * SEARCHED))
-    left = budget - int((sizes * taken).sum())
-    for i in order.tolist():  # sizes beyond what the search covers
-        spare = min(int(counts[i] - taken[i]), left // int(sizes[i]))
-        taken[i] += spare
-        left -= spare * int(sizes[i])
-    return taken
+        back = min(int(taken[i]), max(0, window - left) // int(sizes[i]))
+        taken[i] -= back
+        left += back * int(sizes[i])
+    return taken + _knapsack(sizes, counts - taken, left)
 
 
 def _knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Bounded knapsack: numbers of each size with the greatest sum up to ``budget``.
 
-    ``by[w]``: the size with which sum w was first reached; ``used[w]``: how many of it.
+    Dynamic programming over the sums that can be reached, one bit each: a Python integer
+    holds them all, and adding documents is a shift. The counts of a size are bundles of one,
+    two, four and so on, so a size takes as many shifts as its count has bits. Sums are counted
+    in the sizes' greatest common divisor.
     """
-    reached = np.zeros(budget + 1, dtype=bool)
-    reached[0] = True
-    by, used = np.full(budget + 1, -1, dtype=np.int64), np.zeros(budget + 1, dtype=np.int64)
+    step = int(np.gcd.reduce(sizes)) if len(sizes) else 1
+    budget //= step
+    bundles = []
     for i in np.argsort(-sizes, kind="stable").tolist():
-        size, count = int(sizes[i]), int(counts[i])
-        if reached[budget]:
+        size, rest, many = int(sizes[i]) // step, min(int(counts[i]), budget * step // int(sizes[i])), 1
+        while rest:
+            bundles.append((i, min(many, rest), size * min(many, rest)))
+            rest, many = rest - bundles[-1][1], many * 2
+    within, reached = (1 << (budget + 1)) - 1, 1
+    # Sums are kept after every so many bundles, and made again in between on the way back.
+    stride, kept, done = math.isqrt(len(bundles)) + 1, [], 0
+    for done, (_, _, size) in enumerate(bundles):
+        if done % stride == 0:
+            kept.append(reached)
+        if reached >> budget:
             break
-        fresh, source = reached, reached
-        for k in range(1, min(count, budget // size) + 1):
-            moved = np.zeros_like(reached)
-            moved[size:] = source[:-size] if k > 1 else reached[:-size]
-            new = moved & ~fresh
-            if not new.any():
-                break
-            by[new], used[new] = i, k
-            fresh, source = fresh | new, new
-        reached = fresh
+        reached |= reached << size & within
+    else:
+        done = len(bundles)
     chosen = np.zeros_like(counts)
-    at = int(np.flatnonzero(reached)[-1])
-    while at:
-        i = int(by[at])
-        chosen[i] += used[at]
-        at -= int(used[at]) * int(sizes[i])
+    at = reached.bit_length() - 1
+    for block in reversed(range(len(kept))):
+        own = bundles[block * stride : min((block + 1) * stride, done)]
+        before = [kept[block]]
+        for _, _, size in own[:-1]:
+            before.append(before[-1] | before[-1] << size & within)
+        for (i, many, size), sums in zip(reversed(own), reversed(before)):
+            if not sums >> at & 1:
+                chosen[i] += many
+                at -= size
     return chosen
 
 
