@@ -26,7 +26,7 @@ SCALE = 1_000_000
 DROP_PERCENT = 50
 TOP = 2000
 #: Suffixes that a group may hold, and how many prefixes may be extended at each depth at most: a larger corpus has a larger budget.
-BUDGET = 1 << 19
+BUDGET = 1 << 20
 EXTENDED = 1 << 16
 #: A task holds so many counts or suffixes before it passes them on; word numbers take 21 bits.
 HELD_WORDS = 200_000
