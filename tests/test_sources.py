@@ -1,11 +1,15 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions import printable
+from tokenloom.operators import documents as dc
 from tokenloom.operators import vocab as vb
 from tokenloom.session import shared_folder
 from tokenloom.sources import artifacts as art
 from tokenloom.sources import corpus as src
+from tokenloom.sources import ranges
 
 EOT = "<|endoftext|>"
 MERGES = [(b" ", b"t"), (b"h", b"e"), (b"\x00", b"\n"), (b"\xc3", b"\xa9")]
@@ -76,3 +80,65 @@ def test_readers(spark, tmp_path):
     assert src.read_whole_files(spark, bad, "replace").first().text == b"ok \xff\xc3\r\n end".decode(errors="replace")
     docs = spark.createDataFrame([(1, "é")], "doc_id long, text string")
     assert tuple(src.corpus_scan(docs).first()) == (1, "é", 2)
+
+
+def cut_from_the_front(data, delimiter):
+    found, at = [], 0
+    while at < len(data):
+        end = data.find(delimiter, at)
+        found.append((at, data[at : end if end >= 0 else len(data)]))
+        at = end + len(delimiter) if end >= 0 else len(data)
+    return found
+
+
+def test_ranges_equal_cutting_from_the_front():
+    """Every cut into ranges, blocks shorter than a delimiter, delimiters that overlap themselves."""
+    chance = random.Random(5)
+    for delimiter in (b"ab", b"aa", b"aba", b"abaab", b"b", b"aaaa"):
+        for _ in range(60):
+            data = bytes(chance.choice(b"ab" if chance.random() < 0.9 else b"cd") for _ in range(chance.randrange(40)))
+            read_at = lambda at, n: data[at : at + n]
+            cuts = sorted({0, len(data), *(chance.randrange(len(data) + 1) for _ in range(chance.randrange(8)))})
+            for ends in (cuts, [0, len(data)], list(range(len(data) + 1))):
+                parts = [d for low, high in zip(ends, ends[1:]) for d in ranges.documents(read_at, low, high, delimiter, chance.randrange(1, 9))]
+                assert parts == cut_from_the_front(data, delimiter), (data, delimiter, ends)
+
+
+def test_a_range_inside_a_document_reads_little():
+    data = b"x" * 100_000 + b"<>" + b"y"
+    read = []
+    assert not list(ranges.documents(lambda at, n: read.append(n) or data[at : at + n], 40_000, 50_000, b"<>", 1000))
+    assert sum(read) <= 10_000 + 2 * 1000 + 10  # the range, a block on each side, and what the anchor needs
+
+
+def test_ranges_of_files(spark, tmp_path):
+    chance = random.Random(7)
+    texts = ["".join(chance.choices("aé<|\n 漢", k=chance.choice([0, 3, 50, 4000]))) for _ in range(400)]
+    for name, part in (("a.txt", texts[:150]), ("b.txt", []), ("sub/c.txt", texts[150:])):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes("".join(t + EOT for t in part).encode())
+    for name in ("_SUCCESS", ".a.txt.crc"):
+        (tmp_path / "in" / name).write_bytes(b"no data")
+    folder = str(tmp_path / "in")
+    size = sum(len((t + EOT).encode()) for t in texts)
+    expected, at = [], 0
+    for t in texts:
+        expected.append((at, t))
+        at += len((t + EOT).encode())
+    for n in (1, 7, 64):
+        found = src.read_delimited(spark, folder, range_bytes=-(-size // n))
+        assert found.rdd.getNumPartitions() >= n
+        assert sorted(map(tuple, found.collect())) == expected
+    # The cuts of chunks are ends of documents.
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cuts = {r.boundary for r in dc.chunk_boundaries(docs, 16).collect()} - {0, size}
+    assert len(cuts) > 5 and {c + len(EOT) for c in cuts} <= {d for d, _ in expected} | {size}
+    # The text source of Spark gives the same documents.
+    assert sorted(r.text for r in src.read_delimited_text(spark, folder + "/*.txt").collect()) == sorted(texts[:150])
+    # Whatever form the path has; nothing for empty files; an error for what has no ranges.
+    assert src.read_delimited(spark, f"file:{folder}/a.txt").count() == 150
+    assert src.read_delimited(spark, folder + "/b.txt").count() == 0
+    (tmp_path / "in" / "d.txt.gz").write_bytes(b"")
+    for path in (folder, folder + "/none"):
+        with pytest.raises(Exception):
+            src.read_delimited(spark, path).count()

@@ -270,6 +270,8 @@ def _oracles() -> dict[str, str]:
         ),
         # Each text is followed by the delimiter; the malformed bytes around it are dropped.
         "delimited_files": pretokens,
+        "delimited_ranges": "SELECT (sum(strlen(t) + 13) OVER (ORDER BY doc_id) - strlen(t) - 13)::BIGINT AS doc_id, "
+        "strlen(t)::INT AS n_bytes, md5(t) AS digest FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)",
         "special_split": f"SELECT doc_id, piece_pos, piece, piece IN ({_special_list()}) AS is_special FROM ("
         + _rows("doc_id", "documents", _pieces(_DELIMITED), ("piece_pos", "piece")) + ")",
         "pretokenize": _rows("doc_id", "documents", _pretokens("text"), ("tok_pos", "token")),

@@ -28,6 +28,8 @@ N_MERGES = 64
 #: More than the texts of one column have pairs for.
 N_EXHAUSTED = 12
 N_CHUNKS = 16
+#: Less than many a text has bytes.
+SMALL_RANGE = 1 << 16
 CONTEXT = 16
 BATCH = 256
 TOP = 20
@@ -181,6 +183,15 @@ def delimited_files(spark, sf_dir):
     return wd.pretoken_counts(src.read_delimited(spark, folder)).select("token", "n")
 
 
+def delimited_ranges(spark, sf_dir):
+    """Texts written as delimited files in the order of their ids, read back by ranges of 64 KB: offset and size of each."""
+    folder = shared_folder(spark, "ranges")
+    lines = _documents(spark, sf_dir).sort("doc_id").select(F.coalesce("text", F.lit("")).alias("value"))
+    lines.write.option("lineSep", tx.END_OF_TEXT).text(folder)
+    found = src.read_delimited(spark, folder, range_bytes=SMALL_RANGE)
+    return found.select("doc_id", F.octet_length("text").alias("n_bytes"), F.md5("text").alias("digest"))
+
+
 def special_split(spark, sf_dir):
     return dc.special_split(_delimited(spark, sf_dir), SPECIALS)
 
@@ -468,7 +479,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         corpus_scan, chunk_boundaries, document_split, utf8_ignore, artifact_roundtrip, gpt2_import, gpt2_export,
-        delimited_files, special_split, pretokenize, pretokenize_runs, pretokenize_code_points, byte_sequences, special_encode, vocab_leak_check,
+        delimited_files, delimited_ranges, special_split, pretokenize, pretokenize_runs, pretokenize_code_points, byte_sequences, special_encode, vocab_leak_check,
         pretoken_counts, corpus_stats, pair_stats, best_pair, top_pairs, apply_merge,
         train_exhausted, trained_vocab, base_vocab, extend_vocab, longest_tokens,
         encode_words, encode_documents, encode_documents_arrow, decode_documents, token_strings, roundtrip_mismatches,

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as tx
+from tokenloom.sources import ranges
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -31,11 +32,34 @@ def read_whole_files(spark: SparkSession, path: str, errors: str = "ignore") ->
     return spark.read.format("binaryFile").load(path).select("path", repair(F.col("content")).alias("text"))
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = tx.END_OF_TEXT, errors: str = "ignore") -> DataFrame:
+def read_delimited(
+    spark: SparkSession,
+    path: str,
+    delimiter: str = tx.END_OF_TEXT,
+    errors: str = "ignore",
+    range_bytes: int = ranges.RANGE_BYTES,
+) -> DataFrame:
     """``doc_id, text``: one row per document of files whose documents end with a delimiter.
 
-    The text source splits large files between tasks at the delimiter. Malformed bytes are
-    dropped, or replaced. ``doc_id`` is unique, and the same for the same files and splits.
+    ``doc_id`` is the byte offset of the document in all files, one after the other by path: the
+    same whatever the ranges, and in the order of the documents. Files are cut into ranges that
+    tasks read on their own, each the documents that begin in it. Malformed bytes are dropped, or
+    replaced. An empty file has no document; nothing follows a last delimiter. The files must lie
+    where pyarrow reaches them; ``read_delimited_text`` reads any store of Spark.
+    """
+    repair = {"ignore": tx.utf8_ignore, "replace": tx.utf8_replace}[errors]
+    spark.dataSource.register(ranges.DelimitedSource)
+    options = {"delimiter": delimiter, "range_bytes": str(range_bytes)}
+    found = spark.read.format(ranges.DelimitedSource.name()).options(**options).load(path)
+    return found.select("doc_id", repair(F.col("content")).alias("text"))
+
+
+def read_delimited_text(
+    spark: SparkSession, path: str, delimiter: str = tx.END_OF_TEXT, errors: str = "ignore"
+) -> DataFrame:
+    """``doc_id, text`` by Spark's own text source, from any store and from compressed files.
+
+    ``doc_id`` is unique, but the same only for the same files and splits.
     """
     repair = {"ignore": tx.utf8_ignore, "replace": tx.utf8_replace}[errors]
     lines = spark.read.text(path, lineSep=delimiter)
