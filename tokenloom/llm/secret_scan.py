@@ -30,26 +30,34 @@ SMOOTHING = 1.0
 TRAIN_DOCUMENTS = 4_000
 
 
+def _running(values: Column, combine) -> Column:
+    """What ``combine`` makes of the values up to each place: distances double, so n values take about n log n steps."""
+    doublings = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    rounds = F.when(doublings > 0, F.sequence(F.lit(0), doublings - 1)).otherwise(F.array().cast("array<int>"))
+
+    def step(found: Column, k: Column) -> Column:
+        reach = F.pow(F.lit(2), k).cast("int")
+        return F.transform(found, lambda x, i: F.when(i < reach, x).otherwise(combine(x, F.get(found, i - reach))))
+
+    return F.aggregate(rounds, values, step)
+
+
+SPANS = "array<struct<start:int,end:int,kind:int,value:string>>"
+
+
 def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
     """``start, end, kind, value`` of the matches, in code points: what lies between matches gives the places."""
-    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>").alias("spans"))
-
-    def step(state: Column, pair: Column) -> Column:
-        low = state["at"] + pair["gap"]
-        high = low + F.char_length(pair["value"])
-        span = F.struct(low.alias("start"), high.alias("end"), F.lit(KINDS.index(kind)).alias("kind"), pair["value"].alias("value"))
-        return F.struct(high.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
-
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
-    spans = F.aggregate(pairs, start, step, lambda state: state["spans"])
+    gaps = F.slice(F.transform(F.split(text, pattern, -1), F.char_length), 1, F.size(found))
+    ends = _running(F.zip_with(gaps, found, lambda gap, value: gap + F.char_length(value)), lambda a, b: a + b)
+    spans = F.zip_with(ends, found, lambda end, value: F.struct(
+        (end - F.char_length(value)).alias("start"), end.alias("end"), F.lit(KINDS.index(kind)).alias("kind"), value.alias("value")))
     return F.filter(spans, keep) if keep else spans
 
 
 def _may_hold(text: Column, pattern: str, spans: Column) -> Column:
     """The spans, or none without further work if the pattern does not occur."""
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>"))
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(SPANS))
 
 
 def _assigned(value: Column) -> Column:
@@ -125,28 +133,10 @@ def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
         total = F.aggregate(pairs, F.lit(0.0), lambda acc, pair: acc + F.get(ratios, pair))
         return total >= THRESHOLD * F.size(pairs)
 
-    def pieces(run: Column) -> Column:
-        """What base spans leave of a run, where that is as long as a candidate."""
-        inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-        nothing = F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>")
-        start = F.struct(run["start"].alias("at"), nothing.alias("pieces"))
-
-        def piece(low: Column, high: Column) -> Column:
-            value = F.substring(run["value"], low - run["start"] + 1, high - low)
-            one = F.struct(low.alias("start"), high.alias("end"), run["kind"].alias("kind"), value.alias("value"))
-            return F.when(high - low >= CANDIDATE_LEAST, F.array(one)).otherwise(nothing)
-
-        def step(state: Column, b: Column) -> Column:
-            more = F.concat(state["pieces"], piece(state["at"], b["start"]))
-            return F.struct(F.greatest(state["at"], b["end"]).alias("at"), more.alias("pieces"))
-
-        def rest(state: Column) -> Column:
-            return F.concat(state["pieces"], piece(state["at"], run["end"]))
-
-        return F.when(F.size(inside) == 0, F.array(run)).otherwise(F.aggregate(inside, start, step, rest))
-
-    free = F.flatten(F.transform(_spans(text, CANDIDATE, "markov"), pieces))
-    return _may_hold(text, CANDIDATE, F.filter(free, is_random))
+    # Base spans become blanks, which no identifier holds: places stay, and only what lies beside the spans is judged.
+    blank = _replaced(text, base, lambda covered, begins: F.repeat(F.lit(" "), covered))
+    free = F.when(F.size(base) == 0, text).otherwise(blank)
+    return _may_hold(text, CANDIDATE, F.filter(_spans(free, CANDIDATE, "markov"), is_random))
 
 
 def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,15 +172,39 @@ def counted(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
-def masked(text: Column, spans: Column, mask: str = "<secret>") -> Column:
-    """The text with each span, or run of overlapping spans, replaced by the mask."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+#: Code points of a block of text: a cut reads the blocks that it touches, not the text from its front.
+BLOCK = 256
+
+
+def _replaced(text: Column, spans: Column, filler) -> Column:
+    """The text with what ``filler`` gives for each span, sorted by start, in its place.
+
+    ``filler`` is called with the number of code points that the span covers beyond those before it, and
+    whether it starts where these end or later. Linear in the text and the spans, but for a logarithm.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    reached = _running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        parts = F.when(span["start"] >= state["at"], F.concat(state["parts"], F.array(gap, F.lit(mask)))).otherwise(state["parts"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), parts.alias("parts"))
+    def cut(blocks: Column, low: Column, high: Column) -> Column:
+        first = F.floor(low / BLOCK).cast("int")
+        touched = F.slice(blocks, first + 1, F.ceil(high / BLOCK).cast("int") - first)
+        return F.when(high > low, F.substring(F.array_join(touched, ""), low - first * BLOCK + 1, high - low)).otherwise("")
 
-    end = F.aggregate(spans, start, step)
-    rest = F.substring(text, end["at"] + 1, F.char_length(text))
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(end["parts"], ""), rest))
+    def parts(state: Column) -> Column:
+        def one(span: Column, i: Column) -> Column:
+            before = F.when(i == 0, F.lit(0)).otherwise(F.get(state["reached"], i - 1))
+            covered = F.get(state["reached"], i) - F.greatest(before, span["start"])
+            return F.concat(cut(state["blocks"], before, span["start"]), filler(covered, span["start"] >= before))
+
+        rest = cut(state["blocks"], F.element_at(state["reached"], -1), F.char_length(text))
+        return F.concat(F.array_join(F.transform(spans, one), ""), rest)
+
+    # Bound to a variable, so that blocks and places are made once for a text.
+    state = F.array(F.struct(blocks.alias("blocks"), reached.alias("reached")))
+    return F.get(F.transform(state, parts), F.lit(0))
+
+
+def masked(text: Column, spans: Column, mask: str = "<secret>") -> Column:
+    """The text with each span, or run of overlapping spans, replaced by the mask."""
+    hidden = _replaced(text, spans, lambda covered, begins: F.when(begins, F.lit(mask)).otherwise(""))
+    return F.when(F.size(spans) == 0, text).otherwise(hidden)
