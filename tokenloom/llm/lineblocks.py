@@ -3,6 +3,11 @@
 Markup is stripped to lines, one for each block; page furniture leaves empty lines. Text
 lengths are summed over a sliding window of lines; text is kept between the points where
 the sums surge and where they dive.
+
+Furniture is what elements, roles and names say: a ``header`` is one wherever it stands, in an
+article too. Names alone mean less inside an article: all parts of a name must speak of furniture or
+of nothing, so "ad-box" goes and "social-science" stays. Null html is an empty page; a tag without
+an end ends at the next one. The time grows with the length of the page, whatever its markup.
 """
 
 import re
@@ -45,29 +50,50 @@ FURNITURE_NAMES = frozenset(
     "comments discussion disqus replies reply respond form hidden alert toast disclaimer pagination pager toolbar topbar "
     "adsbygoogle adbox adslot commentlist commentform mainmenu sidenav topnav navmenu cookiebar".split())
 
+#: Words that say nothing of the content: inside an article a name means furniture only if the rest of it is of these.
+GENERIC = frozenset(
+    "area article articles bar bottom box button buttons cell col column container content embed form group icon icons inline inner "
+    "item items left link links list main outer page panel post posts row right section site slot stories story text thread top "
+    "unit wrap wrapper".split())
+#: Lists of other pages: "more" before one of these.
+MORE = frozenset("articles links news pages posts reading stories".split())
+
 #: Names that say what a page has or lacks: the words beside them name no furniture.
 MODIFIERS = frozenset("has no not with without".split())
 SWITCHES = frozenset("enabled disabled supported".split())
 #: Names of what readers write, which may well be more than the text of the page.
 REPLIES = frozenset("comment comments discussion disqus replies reply respond commentlist commentform".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>|<[!?][^>]*+>""", re.S)
+# A tag without an end ends where the next one starts, so that no search goes beyond the next start of a tag.
+_LOOSE = r"<(?![a-zA-Z/!?])"
+_TAG = re.compile(
+    rf"""<!--|<[!?]|<(/?)([a-zA-Z][^\s/<>]*+)"""
+    rf"""((?:[^<>"']++|{_LOOSE}|"(?:[^"<]++|{_LOOSE})*+"|'(?:[^'<]++|{_LOOSE})*+'|["'])*+)(?:>|(?=<))""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _names(named: str) -> set[str]:
-    """The parts of names such as "side-bar", "cookieBanner" or "ad_2", without modifiers and what they belong to."""
+def _names(named: str, whole: bool) -> set[str]:
+    """Names of furniture among the parts of names such as "side-bar", "cookieBanner" or "ad_2".
+
+    Modifiers and what they belong to do not count. With ``whole``, a name counts only if all its parts say so or
+    nothing: "ad-box" does, "social-science" does not.
+    """
     found = set()
     for word in named.split():
         parts = [part.lower() for part in _NAME.findall(word)]
-        if parts and parts[-1] not in SWITCHES:
-            found.update(parts[: next((i for i, part in enumerate(parts) if part in MODIFIERS), len(parts))])
+        if not parts or parts[-1] in SWITCHES:
+            continue
+        parts = parts[: next((i for i, part in enumerate(parts) if part in MODIFIERS), len(parts))]
+        if any(a == "more" and b in MORE for a, b in zip(parts, parts[1:])):
+            found.add("related")
+        if not whole or all(part in FURNITURE_NAMES or part in GENERIC for part in parts):
+            found.update(FURNITURE_NAMES.intersection(parts))
     return found
 
 
-def _furniture(name: str, attributes: str) -> str:
+def _furniture(name: str, attributes: str, whole: bool) -> str:
     """Empty if no furniture; "sure", or "named" or "replies" where only names or a form say so: these may wrap a whole page."""
     kinds = {"named"} if name == "form" else {"sure"} if name in FURNITURE else set()
     if name in ("html", "body") or not attributes.strip():
@@ -81,7 +107,7 @@ def _furniture(name: str, attributes: str) -> str:
             kinds.add("named" if value.strip() == "form" else "sure")
         # An article stays one, whatever it is called.
         if kind in ("class", "id") and name not in MAIN:
-            names = _names(named) & FURNITURE_NAMES
+            names = _names(named, whole)
             if "hidden" in names:
                 kinds.add("sure")
             elif names:
@@ -97,16 +123,83 @@ class Line(NamedTuple):
 
 
 class _Skipped:
-    """An element left out by its name: where it starts, its text outside links, and whether it has an article or main."""
+    """An element left out by its name: where it starts, its text outside links, and whether it has an article or main.
+
+    ``within`` has those inside it that hold all of its text and are of its kind, from outside in.
+    """
 
     def __init__(self, at: int, kind: str):
         self.at, self.kind, self.held, self.has_main = at, kind, 0, False
+        self.mains = 0
+        self.named: list[list] = []  # [at, kind, held and mains in front of it, then in it]
+
+    def within(self) -> list[int]:
+        found = []
+        for at, kind, held, mains in self.named:
+            if held != self.held or kind != self.kind or bool(mains) != self.has_main:
+                break
+            found.append(at)
+        return found
+
+
+class _Stack:
+    """The open elements, with the places of each name and kind, so that no question goes over the stack."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.numbers: list[int] = []
+        self.opened = 0
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.parts: list[int] = []
+        self.around: list[int] = []  # blocks that are no parts, and not the page itself
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def _lists(self, name: str) -> list[list[int]]:
+        lists = [self.places.setdefault(name, [])]
+        if name in BLOCK:
+            lists.append(self.blocks)
+        if name in PARTS:
+            lists.append(self.parts)
+        elif name in BLOCK and name not in ("html", "body"):
+            lists.append(self.around)
+        return lists
+
+    def push(self, name: str) -> None:
+        for places in self._lists(name):
+            places.append(len(self.names))
+        self.opened += 1
+        self.names.append(name)
+        self.numbers.append(self.opened)
+
+    def cut(self, depth: int) -> None:
+        while len(self.names) > depth:
+            self.numbers.pop()
+            for places in self._lists(self.names.pop()):
+                places.pop()
+
+    def last(self, name: str) -> int:
+        """The place of the innermost element of a name, or -1."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def block_from(self, depth: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] >= depth
+
+    def inside(self) -> tuple[int, ...]:
+        """The number of the element around what stands here, and of that around it if this is its own text; 0 is the page."""
+        own = bool(self.around) and not (self.parts and self.parts[-1] > self.around[-1])
+        numbers = tuple(self.numbers[i] for i in self.around[-1 - own :][::-1])
+        return numbers + ((0,) if len(self.around) < 1 + own else ())
 
 
 def lines_of(html: str) -> list[Line]:
     """The lines of a page; furniture leaves empty lines.
 
-    An element that only its name makes furniture stays if it turns out to wrap the text of the page.
+    An element that only its name makes furniture stays if it turns out to wrap the text of the page. The page is
+    read once more for each such element that has text of its own.
     """
     spared: set[int] = set()
     while True:
@@ -114,7 +207,7 @@ def lines_of(html: str) -> list[Line]:
         wrapper = _wrapper(lines, skipped)
         if wrapper is None:
             return lines
-        spared.add(wrapper.at)
+        spared.update([wrapper.at, *wrapper.within()])
 
 
 def _wrapper(lines: list[Line], skipped: list[_Skipped]) -> _Skipped | None:
@@ -138,34 +231,34 @@ def _lines(html: str, spared: set[int]) -> tuple[list[Line], list[_Skipped]]:
     lines: list[Line] = []
     parts: list[str] = []
     linked = 0
-    stack: list[str] = []
-    numbers: list[int] = []  # of the elements in the stack
-    opened = 0
+    stack = _Stack()
     main_depth = skip_depth = link_depth = None  # the place in the stack of the outermost such element
     lower: str | None = None
     skipped: list[_Skipped] = []
     named: _Skipped | None = None  # the element being skipped, if only by its name
     sure_depth = None  # the place of sure furniture inside it
-
-    def inside() -> tuple[int, ...]:
-        around = [i for i, n in enumerate(stack) if n in BLOCK and n not in PARTS and n not in ("html", "body")]
-        own = not any(n in PARTS for n in stack[around[-1] + 1 :]) if around else False
-        # 0 is the page.
-        return tuple(numbers[i] for i in around[-1 - own :][::-1]) + ((0,) if len(around) < 1 + own else ())
+    inner: list[tuple[int, list]] = []  # places and records of the open ones inside it
+    last_end = html.rfind(">")
 
     def end_line() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                lines.append(Line(text, max(0, len(text) - linked), main_depth is not None, inside()))
+                lines.append(Line(text, max(0, len(text) - linked), main_depth is not None, stack.inside()))
             parts, linked = [], 0
 
+    def settle(depth: int) -> None:
+        while inner and depth <= inner[-1][0]:
+            _, record = inner.pop()
+            record[2:] = named.held - record[2], named.mains - record[3]
+
     def close_to(depth: int) -> None:
         nonlocal main_depth, skip_depth, link_depth, named, sure_depth
-        if skip_depth is None and any(n in BLOCK for n in stack[depth:]):
+        if skip_depth is None and stack.block_from(depth):
             end_line()
-        del stack[depth:], numbers[depth:]
+        stack.cut(depth)
+        settle(depth)
         if skip_depth is not None and depth <= skip_depth:
             skip_depth = named = None
             lines.extend([Line("", 0, main_depth is not None and depth > main_depth)] * WINDOW)
@@ -193,12 +286,20 @@ def _lines(html: str, spared: set[int]) -> tuple[list[Line], list[_Skipped]]:
             break
         add(html[at : tag.start()])
         at = tag.end()
+        if tag[0] == "<!--":
+            end = html.find("-->", at)
+            at = len(html) if end < 0 else end + 3
+            continue
         if tag[2] is None:
+            if at > last_end:
+                add(tag[0])
+            else:
+                at = html.find(">", at) + 1
             continue
         name = tag[2].lower()
         if tag[1]:
-            if name in stack:
-                close_to(len(stack) - 1 - stack[::-1].index(name))
+            if stack.last(name) >= 0:
+                close_to(stack.last(name))
             elif name in BLOCK and skip_depth is None:
                 end_line()
             continue
@@ -214,21 +315,20 @@ def _lines(html: str, spared: set[int]) -> tuple[list[Line], list[_Skipped]]:
         if name == "br" or name in ("td", "th"):
             add(" ")
         if name in BLOCK:
-            if "p" in stack and name not in ("body", "html"):
+            depth = stack.last("p")
+            if depth >= 0 and name not in ("body", "html") and not stack.block_from(depth + 1):
                 # A block ends an open paragraph.
-                depth = len(stack) - 1 - stack[::-1].index("p")
-                if not any(n in BLOCK for n in stack[depth + 1 :]):
-                    close_to(depth)
-            if name == "li" and stack[-1:] == ["li"]:
+                close_to(depth)
+            if name == "li" and stack.names[-1:] == ["li"]:
                 close_to(len(stack) - 1)
             if skip_depth is None:
                 end_line()
         if name in VOID or tag[3].endswith("/") and name not in BLOCK:
             continue
-        stack.append(name)
-        opened += 1
-        numbers.append(opened)
-        kind = "" if skip_depth is not None and (named is None or sure_depth is not None) else _furniture(name, tag[3])
+        stack.push(name)
+        kind = ""
+        if skip_depth is None or named is not None and sure_depth is None:
+            kind = _furniture(name, tag[3], main_depth is not None)
         if skip_depth is None:
             if kind and (kind == "sure" or tag.start() not in spared):
                 end_line()
@@ -243,9 +343,15 @@ def _lines(html: str, spared: set[int]) -> tuple[list[Line], list[_Skipped]]:
                 sure_depth = len(stack) - 1
             elif name in MAIN:
                 named.has_main = True
-        if name == "a" and link_depth is None and stack[-1] == "a":
+                named.mains += 1
+            elif kind:
+                record = [tag.start(), kind, named.held, named.mains]
+                named.named.append(record)
+                inner.append((len(stack) - 1, record))
+        if name == "a" and link_depth is None:
             link_depth = len(stack) - 1
     end_line()
+    settle(0)
     return lines, skipped
 
 
@@ -271,7 +377,8 @@ def main_text(html: str | None) -> str:
     kept = [r for r in regions if r[0] >= surge] or sorted(regions, key=lambda r: (-r[0], r[1]))[:1]
     # Furniture inside an element parts its text: what stands in the same one goes with a region that is kept.
     around = {number for _, low, high in kept for i in range(low, high) if lengths[i] for number in lines[i].inside}
-    kept = [r for r in regions if r in kept or any(around.intersection(lines[i].inside) for i in range(r[1], r[2]) if lengths[i])]
+    chosen = set(kept)
+    kept = [r for r in regions if r in chosen or any(around.intersection(lines[i].inside) for i in range(r[1], r[2]) if lengths[i])]
     found = []
     for _, low, high in kept:
         # The first windows reach ahead of the text they see.
