@@ -36,6 +36,46 @@ def test_tables_survive_saving(spark):
         art.load_tokenizer(spark, f"{folder}/bad")
 
 
+def test_artifacts_that_are_not_whole_are_refused(spark):
+    vocab, merges = tables(spark)
+    others = vb.merges_frame(spark, MERGES[::-1])
+    folder = shared_folder(spark, "test")
+    art.save_tokenizer(vocab, merges, folder)
+    files = lambda: art.load_tokenizer(spark, folder)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        art.save_tokenizer(vocab, others, folder)
+    assert rows(files()[1]) == rows(merges)
+    # One table replaced by one of as many rows, in other files, or short of a row.
+    others.write.mode("overwrite").parquet(f"{folder}/merges")
+    with pytest.raises(ValueError, match="merges"):
+        files()
+    merges.repartition(3).write.mode("overwrite").parquet(f"{folder}/merges")
+    assert rows(files()[1]) == rows(merges)
+    vocab.where("token_id <> 7").write.mode("overwrite").parquet(f"{folder}/vocab")
+    with pytest.raises(ValueError, match="vocab"):
+        files()
+    # Saving again over it makes it whole; a save that stops between its tables leaves nothing to load.
+    art.save_tokenizer(vocab, others, folder, "overwrite")
+    assert rows(files()[1]) == rows(others)
+    failing = merges.withColumn("rank", F.expr("raise_error('stopped')").cast("int"))
+    with pytest.raises(Exception, match="stopped"):
+        art.save_tokenizer(vocab, failing, folder, "overwrite")
+    with pytest.raises(Exception):
+        files()
+    merges.write.mode("overwrite").parquet(f"{folder}/merges")
+    with pytest.raises(ValueError, match="manifest"):
+        files()
+    with pytest.raises(ValueError):
+        art.save_tokenizer(vocab, merges, folder, "append")
+
+
+def test_an_artifact_without_merges(spark):
+    vocab, merges = tables(spark)
+    folder = shared_folder(spark, "test")
+    art.save_tokenizer(vocab, merges.limit(0), folder)
+    assert rows(art.load_tokenizer(spark, folder)[0]) == rows(vocab)
+
+
 def test_printable_alphabet_covers_all_bytes(spark):
     data = spark.createDataFrame([(bytearray(range(256)),)], "b binary")
     shown = data.select(printable.to_printable(F.col("b")).alias("s"), "b")

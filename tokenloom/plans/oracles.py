@@ -256,8 +256,8 @@ def _oracles() -> dict[str, str]:
         "chunk_boundaries": _clean_chunks(),
         "document_split": _rows("doc_id", "documents", f"string_split({_DELIMITED}, '<|endoftext|>')", ("part_pos", "text")),
         "utf8_ignore": "SELECT doc_id, text || text || text AS text FROM documents",
-        "artifact_roundtrip": _with(train, tables),
-        "gpt2_import": _with(train, tables),
+        "artifact_roundtrip": _with(_training(q.N_SAVED), tables),
+        "gpt2_import": _with(_training(q.N_SAVED), tables),
         "gpt2_export": _with(
             train + [
                 _printable(),

@@ -1,15 +1,43 @@
 """Tokenizer tables on storage, and the published text format (vocab JSON + merges)."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions import printable
 from tokenloom.operators import vocab as vb
+from tokenloom.session import delete, exists, read_text, write_text
+
+
+#: Says what a whole artifact holds; written last.
+MANIFEST = "manifest.json"
+
+
+def _content(table: DataFrame) -> dict[str, str]:
+    """Number of rows and a digest of them, the same in any order and any number of files."""
+    columns = [F.col(c) for c in sorted(table.columns)]
+    sums = [F.sum(F.xxhash64(F.lit(salt), *columns).cast("decimal(38,0)")) for salt in ("a", "b")]
+    row = table.agg(F.count(F.lit(1)).alias("n"), *(F.coalesce(s, F.lit(0)).cast("string").alias(f"s{i}") for i, s in enumerate(sums))).first()
+    return {"rows": str(row["n"]), "digest": f"{row['s0']}:{row['s1']}"}
 
 
 def save_tokenizer(vocab: DataFrame, merges: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    vocab.coalesce(1).write.mode(mode).parquet(f"{folder}/vocab")
-    merges.coalesce(1).write.mode(mode).parquet(f"{folder}/merges")
+    """Writes both tables, then a manifest of what they hold.
+
+    An artifact is there once its manifest is; a save that stops before leaves none that can be loaded,
+    also where it was to overwrite another. ``mode`` is "errorifexists" or "overwrite".
+    """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"an artifact is written anew or over another, not by {mode}")
+    spark = vocab.sparkSession
+    if mode == "overwrite":
+        delete(spark, f"{folder}/{MANIFEST}")
+    found = {}
+    for name, table in (("vocab", vocab), ("merges", merges)):
+        table.coalesce(1).write.mode(mode).parquet(f"{folder}/{name}")
+        found[name] = _content(spark.read.schema(table.schema).parquet(f"{folder}/{name}"))
+    write_text(spark, f"{folder}/{MANIFEST}", json.dumps(found))
 
 
 def _read_checked(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -18,15 +46,28 @@ def _read_checked(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     missing = [f for f in wanted if f.name not in found.columns or found.schema[f.name].dataType != f.dataType]
     if missing:
         raise ValueError(f"{path}: columns missing or of another type: {missing}")
-    return found.select(*[f.name for f in wanted])
+    return found
 
 
 def load_tokenizer(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """``vocab, merges`` as saved; the schema is checked."""
-    return (
-        _read_checked(spark, f"{folder}/vocab", vb.VOCAB_SCHEMA),
-        _read_checked(spark, f"{folder}/merges", vb.MERGES_SCHEMA),
-    )
+    """``vocab, merges`` as saved. The schema is checked, and the rows against the manifest.
+
+    An artifact without a manifest was not written to its end; one with a table of another
+    artifact, or with files missing, holds other rows than its manifest says. Both are refused.
+    """
+    tables = {
+        name: _read_checked(spark, f"{folder}/{name}", ddl)
+        for name, ddl in (("vocab", vb.VOCAB_SCHEMA), ("merges", vb.MERGES_SCHEMA))
+    }
+    if not exists(spark, f"{folder}/{MANIFEST}"):
+        raise ValueError(f"{folder}: no manifest, so the artifact is not whole")
+    manifest = json.loads(read_text(spark, f"{folder}/{MANIFEST}"))
+    for name, table in tables.items():
+        if manifest.get(name) != _content(table):
+            raise ValueError(f"{folder}/{name}: not the rows of the manifest")
+    wanted = {"vocab": vb.VOCAB_SCHEMA, "merges": vb.MERGES_SCHEMA}
+    vocab, merges = (tables[n].select(*spark.createDataFrame([], ddl).columns) for n, ddl in wanted.items())
+    return vocab, merges
 
 
 def printable_vocab(vocab: DataFrame) -> DataFrame:
