@@ -55,7 +55,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["id", "print"])
+        # Further columns go along.
+        names = ["id", "print", *batch.schema.names[2:]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), *batch.columns[2:]], names)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -128,10 +130,20 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def near_duplicates_removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of ``docs``, one row for each component: the smallest id, repeated rows once.
+    """The columns of ``docs``, one row for each group of near duplicates: that with the smallest id.
 
-    Rows without id are kept, as nothing tells them apart from others.
+    Groups are of texts, not of ids: different texts under one id that are no near duplicates stay
+    apart, and of several under the smallest id of a group the one with the smallest digest stays.
+    Repeated rows stay once. Null and empty texts are one group. Rows without id are kept, as
+    nothing tells them apart from others. An empty table gives an empty one.
     """
-    found = simhash_components(docs, key, text)
-    kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    return docs.join(kept, key, "left_semi").dropDuplicates([key]).unionByName(docs.where(F.col(key).isNull()))
+    digest = F.xxhash64(F.col(text).cast("string"))
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), F.col(text).cast("string"), digest.alias("digest"))
+    prints = stored(rows.mapInArrow(_fingerprints, "id bigint, print bigint, digest bigint"), "simhash-rows")
+    classes = stored(prints.groupBy("print").agg(F.min(F.struct("id", "digest")).alias("first")), "simhash-texts")
+    roots = components(close_links(classes.select("print", F.col("print").alias("id"))))
+    known = classes.join(roots.withColumnRenamed("node", "print"), "print", "left")
+    kept = known.groupBy(F.coalesce("root", "print").alias("root")).agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.id").alias(key), F.col("first.digest").alias("__digest"))
+    chosen = docs.withColumn("__digest", digest).join(kept, [key, "__digest"], "left_semi").dropDuplicates([key, "__digest"])
+    return chosen.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
