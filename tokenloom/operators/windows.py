@@ -1,6 +1,6 @@
 """Token ids as one stream, its training windows and random batches of them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.operators.positions import starts
@@ -31,7 +31,7 @@ def token_stream(encoded: DataFrame, key: str = "doc_id", ids: str = "ids") -> D
     return each.select((F.col("doc_start") + F.col("pos")).alias("gpos"), key, "token_id")
 
 
-def _segments(placed: DataFrame, m: int, block: int, ids: str) -> DataFrame:
+def segments_of(placed: DataFrame, m: int, block: int, ids: str) -> DataFrame:
     """``block_no, at, part``: the stream cut into blocks, each with the next m ids repeated.
 
     A row is cut into slices, not into single ids. A block is block + m ids at most.
@@ -58,7 +58,7 @@ def _segments(placed: DataFrame, m: int, block: int, ids: str) -> DataFrame:
     return cut.where(F.size("part") > 0)
 
 
-def _blocks(segments: DataFrame, block: int) -> DataFrame:
+def blocks_of(segments: DataFrame, block: int) -> DataFrame:
     """``block_start, run``: the ids from the block's start on."""
     ordered = F.array_sort(F.collect_list(F.struct("at", "part")))
     return segments.groupBy("block_no").agg(ordered.alias("parts")).select(
@@ -73,9 +73,13 @@ def _window(run, offset, m: int):
 
 def lm_windows(encoded: DataFrame, m: int, block: int | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``start, x, y`` for every start with m + 1 ids: x are m ids, y the same moved by one."""
-    block = block or default_block(m)
     placed, _ = place_documents(encoded, key, ids)
-    blocks = _blocks(_segments(placed, m, block, ids), block)
+    return windows_of(placed, m, block or default_block(m), ids)
+
+
+def windows_of(placed: DataFrame, m: int, block: int, ids: str) -> DataFrame:
+    """All windows of rows with their ``doc_start`` and ``n_ids``."""
+    blocks = blocks_of(segments_of(placed, m, block, ids), block)
     n_starts = F.least(F.lit(block), F.size("run") - m)
     starts = blocks.where(n_starts > 0).select(
         "block_start", "run", F.explode(F.sequence(F.lit(0), n_starts - 1)).alias("offset")
@@ -93,16 +97,17 @@ def windows_at(
 ) -> DataFrame:
     """``sample_id, start, x, y`` for given ``sample_id, start``; starts past the last window give no row."""
     placed, _ = place_documents(encoded, key, ids)
-    return _cut_samples(placed, samples, m, block or default_block(m), ids, broadcast_starts)
+    return windows_from(placed, samples, m, block or default_block(m), ids, broadcast_starts)
 
 
-def _cut_samples(placed: DataFrame, samples: DataFrame, m: int, block: int, ids: str, broadcast_starts: int = BROADCAST_STARTS) -> DataFrame:
+def windows_from(placed: DataFrame, samples: DataFrame, m: int, block: int, ids: str, broadcast_starts: int = BROADCAST_STARTS) -> DataFrame:
+    """The windows at given starts of rows with their ``doc_start`` and ``n_ids``."""
     wanted = stored(samples.withColumn("block_no", F.floor(F.col("start") / block)), "starts")
     bounded = wanted.count() <= broadcast_starts
     # Only blocks that hold a start are put together.
     needed = wanted.select("block_no").distinct()
-    segments = _segments(placed, m, block, ids).join(F.broadcast(needed) if bounded else needed, "block_no", "left_semi")
-    blocks = _blocks(segments, block).withColumn("block_no", F.floor(F.col("block_start") / block))
+    segments = segments_of(placed, m, block, ids).join(F.broadcast(needed) if bounded else needed, "block_no", "left_semi")
+    blocks = blocks_of(segments, block).withColumn("block_no", F.floor(F.col("block_start") / block))
     found = blocks.join(F.broadcast(wanted) if bounded else wanted, "block_no")
     offset = F.col("start") - F.col("block_start")
     return found.where(offset + m < F.size("run")).select(
@@ -123,8 +128,10 @@ def lm_batch(
     placed, total = place_documents(encoded, key, ids)
     if total <= m:
         raise ValueError(f"a stream of {total} ids has no window of {m}")
-    draws = encoded.sparkSession.range(batch_size).select(
-        F.col("id").alias("sample_id"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total - m)).alias("start"),
-    )
-    return _cut_samples(placed, draws, m, block or default_block(m), ids)
+    return windows_from(placed, draws(encoded.sparkSession, batch_size, total - m, seed), m, block or default_block(m), ids)
+
+
+def draws(spark: SparkSession, batch_size: int, n_starts: int, seed: int) -> DataFrame:
+    """``sample_id, start``."""
+    start = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(n_starts))
+    return spark.range(batch_size).select(F.col("id").alias("sample_id"), start.alias("start"))

@@ -244,6 +244,15 @@ def _oracles() -> dict[str, str]:
         f"windows AS (SELECT gpos AS start, {window.format(0, m - 1)} AS x, {window.format(1, m)} AS y FROM stream "
         f"QUALIFY gpos < count(*) OVER () - {m})"
     )
+    all_windows = _with(turns + _STREAM + [windows], f"SELECT start, {_text('x')} AS x, {_text('y')} AS y FROM windows")
+    fixed_batch = _with(
+        docs + _STREAM + [
+            f"starts AS (SELECT i AS sample_id, (i * 7919) % ((SELECT count(*) FROM stream) - {m}) AS start FROM range({q.BATCH}) t(i))",
+        ],
+        f"SELECT sample_id, start, string_agg(token_id::VARCHAR, ' ' ORDER BY gpos) FILTER (gpos < start + {m}) AS x, "
+        f"string_agg(token_id::VARCHAR, ' ' ORDER BY gpos) FILTER (gpos > start) AS y FROM ("
+        f"SELECT sample_id, start, start + unnest(range({m + 1})) AS gpos FROM starts) JOIN stream USING (gpos) GROUP BY sample_id, start",
+    )
     logits = "embedding"
     loss = "ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))) + list_max(l) - l[label + 1]"
     losses = " UNION ALL ".join(
@@ -326,17 +335,12 @@ def _oracles() -> dict[str, str]:
         "roundtrip_mismatches": "SELECT count(*) AS n_rows, 0 AS n_bad FROM documents",
         "token_counts": _with(docs, "SELECT token_id, count(*) AS n FROM (SELECT unnest(ids) AS token_id FROM enc) GROUP BY token_id"),
         "token_stream": _with(docs + _STREAM, "SELECT gpos, doc_id, token_id FROM stream"),
-        "lm_windows": _with(turns + _STREAM + [windows], f"SELECT start, {_text('x')} AS x, {_text('y')} AS y FROM windows"),
+        "lm_windows": all_windows,
+        "stored_windows": all_windows,
         "lm_batch": _with(
             docs, f"SELECT {q.SAMPLES} AS n_samples, 0 AS bad_windows, 0 AS bad_starts, 0 AS bad_cells, sum(len(ids))::BIGINT AS n_ids FROM enc"),
-        "lm_batch_fixed": _with(
-            docs + _STREAM + [
-                f"starts AS (SELECT i AS sample_id, (i * 7919) % ((SELECT count(*) FROM stream) - {m}) AS start FROM range({q.BATCH}) t(i))",
-            ],
-            f"SELECT sample_id, start, string_agg(token_id::VARCHAR, ' ' ORDER BY gpos) FILTER (gpos < start + {m}) AS x, "
-            f"string_agg(token_id::VARCHAR, ' ' ORDER BY gpos) FILTER (gpos > start) AS y FROM ("
-            f"SELECT sample_id, start, start + unnest(range({m + 1})) AS gpos FROM starts) JOIN stream USING (gpos) GROUP BY sample_id, start",
-        ),
+        "lm_batch_fixed": fixed_batch,
+        "stored_batch": fixed_batch,
         "embedding_lookup": _with(
             train + _encoding("SELECT item_id AS doc_id, text FROM benchmark"),
             f"SELECT doc_id, pos, token_id, (generate_subscripts(embedding, 1) - 1)::INT AS dim, {_round('unnest(embedding)::DOUBLE')} AS value FROM ("

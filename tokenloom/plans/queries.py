@@ -19,6 +19,7 @@ from tokenloom.operators import words as wd
 from tokenloom.plans.train import train_bpe
 from tokenloom.session import is_folder, shared_folder, stored
 from tokenloom.sources import artifacts as art
+from tokenloom.sources import blocks as blk
 from tokenloom.sources import corpus as src
 from tokenloom.streaming import text as st
 
@@ -33,6 +34,8 @@ N_CHUNKS = 16
 #: Less than many a text has bytes.
 SMALL_RANGE = 1 << 16
 CONTEXT = 16
+#: Ids of a stored block.
+BLOCK = 1024
 BATCH = 256
 TOP = 20
 WIDTH = 64
@@ -392,6 +395,33 @@ def lm_batch_fixed(spark, sf_dir):
     return batch.select("sample_id", "start", _as_text("x"), _as_text("y"))
 
 
+@lru_cache(maxsize=None)
+def _blocks_folder(application_id: str, encoded: str) -> str:
+    spark = SparkSession.getActiveSession()
+    folder = shared_folder(spark, "blocks")
+    blk.write_blocks(spark.read.parquet(encoded), folder, BLOCK)
+    return folder
+
+
+def _block_store(spark: SparkSession, sf_dir: str, name: str) -> blk.BlockStore:
+    state = _state(spark, sf_dir, name) + _state(spark, sf_dir, "documents")
+    application_id = spark.sparkContext.applicationId
+    return blk.BlockStore(spark, _blocks_folder(application_id, _encoded_folder(application_id, spark, sf_dir, name, state)))
+
+
+def stored_batch(spark, sf_dir):
+    """Windows at given starts from blocks that were written once."""
+    store = _block_store(spark, sf_dir, "documents")
+    starts = spark.range(BATCH).select(
+        F.col("id").alias("sample_id"), ((F.col("id") * 7919) % (store.n_ids - CONTEXT)).alias("start"))
+    return store.windows_at(starts, CONTEXT).select("sample_id", "start", _as_text("x"), _as_text("y"))
+
+
+def stored_windows(spark, sf_dir):
+    """All windows of the blocks of the conversations."""
+    return _block_store(spark, sf_dir, "conversations").windows(CONTEXT).select("start", _as_text("x"), _as_text("y"))
+
+
 # Vectors
 
 
@@ -491,7 +521,7 @@ QUERIES = {
         pretoken_counts, corpus_stats, pair_stats, best_pair, top_pairs, apply_merge,
         train_exhausted, trained_vocab, base_vocab, extend_vocab, longest_tokens,
         encode_words, encode_documents, encode_documents_arrow, decode_documents, token_strings, roundtrip_mismatches,
-        token_counts, token_stream, lm_windows, lm_batch, lm_batch_fixed,
+        token_counts, token_stream, lm_windows, lm_batch, lm_batch_fixed, stored_batch, stored_windows,
         embedding_lookup, vector_project, rms_normalize, group_softmax, attention_pool, causal_pool, cross_entropy,
         clip_l2_norm, encode_stream, stream_pretoken_counts,
     )
