@@ -1,5 +1,7 @@
 """Running positions over a whole table without a single-task window."""
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,15 +43,14 @@ def starts(sizes: DataFrame, key: str, size: str, into: str, buckets: int | None
     bounds = sorted(set(summary["bounds"] or []))
     bucketed = rows.withColumn("bucket", count_below(F.lit(bounds), len(bounds), F.col(key)))
 
-    totals = bucketed.groupBy("bucket").agg(F.sum("own_size").alias("bucket_total"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most len(bounds) + 1 rows, so both the window and the broadcast are bounded.
-    offsets = totals.select("bucket", F.coalesce(F.sum("bucket_total").over(before), F.lit(0)).alias("bucket_start"))
+    # One row per bucket, as many as there are shuffle partitions at most, whatever the input.
+    sums = {r.bucket: r.n for r in bucketed.groupBy("bucket").agg(F.sum("own_size").alias("n")).collect()}
+    offsets = [0, *accumulate(sums.get(bucket) or 0 for bucket in range(len(bounds)))]
 
     ordered = Window.partitionBy("bucket").orderBy(key)
     local = bucketed.withColumn(into, F.coalesce(F.sum("own_size").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     # Equal keys fall into one bucket, side by side.
     twice = F.lag(key).over(ordered) == F.col(key)
     unique = F.when(twice, F.raise_error(F.concat(F.lit(f"{key} occurs twice: "), F.col(key).cast("string")))).otherwise(F.col(into))
-    placed = local.withColumn(into, unique.cast("long")).join(F.broadcast(offsets), "bucket")
-    return placed.select(key, (F.col(into) + F.col("bucket_start")).cast("long").alias(into)), summary["total"]
+    placed = local.withColumn(into, unique.cast("long"))
+    return placed.select(key, (F.col(into) + F.get(F.lit(offsets).cast("array<bigint>"), F.col("bucket"))).alias(into)), summary["total"]
