@@ -84,5 +84,4 @@ def test_a_batch_reads_rows_in_proportion(spark):
     plan = few._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "In(block_no" in plan
     assert rows_read(store.table) == 100_000
-    assert rows_read(store.blocks(wanted[:1])) <= 25_000
-    assert rows_read(few) <= 100_000
+    assert rows_read(few) <= 1_000

@@ -11,9 +11,10 @@ from tokenloom.session import exists, read_text, stored, write_text
 
 #: Ids of a block: the least that is read for a window.
 BLOCK = 4096
-#: Ids of a file, and bytes of a row group, whose bounds tell which blocks it holds.
+#: Ids of a file, bytes of a row group and blocks of a page; the bounds of the last two tell which blocks they hold.
 FILE_IDS = 1 << 25
-ROW_GROUP_BYTES = 1 << 20
+ROW_GROUP_BYTES = 16 << 20
+PAGE_BLOCKS = 8
 #: Blocks that a filter names one by one; a larger batch meets the blocks in a join.
 NAMED_BLOCKS = 4096
 MANIFEST = "manifest.json"
@@ -36,7 +37,8 @@ def write_blocks(encoded: DataFrame, folder: str, block: int = BLOCK, key: str =
     slices = win.segments_of(placed, 0, block, ids).repartitionByRange(files, "block_no")
     blocks = win.blocks_of(slices, block).select((F.col("block_start") / block).cast("long").alias("block_no"), "run")
     rows = blocks.sortWithinPartitions("block_no")
-    rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{folder}/blocks")
+    bounds = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.row.count.limit": PAGE_BLOCKS}
+    rows.write.options(**bounds).parquet(f"{folder}/blocks")
     write_text(spark, f"{folder}/{MANIFEST}", json.dumps({"block": block, "n_ids": total}))
     return BlockStore(spark, folder)
 
