@@ -183,6 +183,23 @@ def merge_word(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes
     return [part for part in parts if part is not None]
 
 
+def gathered(lists: pa.Array, codes: np.ndarray, sizes: np.ndarray, pool: np.ndarray) -> pa.ListArray:
+    """Lists of ids in place of lists of tokens: token i has code ``codes[i]``, whose ids are ``sizes[code]`` many in the pool."""
+    out_sizes = sizes[codes] if len(codes) else np.zeros(0, dtype=np.int64)
+    ends = np.concatenate([[0], np.cumsum(out_sizes)])
+    starts = (np.cumsum(sizes) - sizes)[codes] if len(codes) else out_sizes
+    values = pool[np.repeat(starts - ends[:-1], out_sizes) + np.arange(ends[-1])]
+    offsets = ends[list_bounds(lists)]
+    mask = lists.is_null() if lists.null_count else None
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), mask=mask)
+
+
+def list_bounds(lists: pa.Array) -> np.ndarray:
+    """Where each list begins among the values of all, and the end."""
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
 def ids_by_arrow(tokenizer: Tokenizer):
     """Arrow function from lists of tokens to lists of ids.
 
@@ -211,15 +228,7 @@ def ids_by_arrow(tokenizer: Tokenizer):
             encoded = [word_ids(word, cache) for word in words.dictionary.to_pylist()]
             sizes = np.array([len(e) for e in encoded], dtype=np.int64)
             pool = np.array([i for e in encoded for i in e], dtype=np.int32)
-            codes = words.indices.to_numpy(zero_copy_only=False)
-            out_sizes = sizes[codes] if len(codes) else np.zeros(0, dtype=np.int64)
-            ends = np.concatenate([[0], np.cumsum(out_sizes)])
-            starts = (np.cumsum(sizes) - sizes)[codes] if len(codes) else out_sizes
-            values = pool[np.repeat(starts - ends[:-1], out_sizes) + np.arange(ends[-1])]
-            lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            offsets = ends[np.concatenate([[0], np.cumsum(lengths)])]
-            mask = lists.is_null() if lists.null_count else None
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), mask=mask)
+            yield gathered(lists, words.indices.to_numpy(zero_copy_only=False), sizes, pool)
 
     return token_lists_to_ids
 

@@ -325,6 +325,7 @@ def _oracles() -> dict[str, str]:
         "encode_words": _with(docs, f"SELECT token, {_text('ids')} AS ids FROM word_ids WHERE token NOT IN ({_special_list()})"),
         "encode_documents": _with(docs, encoded),
         "encode_documents_arrow": _with(docs, encoded),
+        "encode_kept_words": _with(docs, encoded),
         "encode_stream": _with(docs, encoded),
         "decode_documents": _DOCUMENTS,
         "token_strings": _with(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import symbols as sym
 from tokenloom.functions import text as tx
+from tokenloom.operators import dictionary as dct
 from tokenloom.operators import documents as dc
 from tokenloom.operators import tokenizer as tk
 from tokenloom.operators import vectors as vec
@@ -34,6 +35,8 @@ N_CHUNKS = 16
 #: Less than many a text has bytes.
 SMALL_RANGE = 1 << 16
 CONTEXT = 16
+#: Fewer than the texts have words.
+HOT_WORDS = 4096
 #: Ids of a stored block.
 BLOCK = 1024
 BATCH = 256
@@ -337,6 +340,12 @@ def encode_documents_arrow(spark, sf_dir):
     return docs.select("doc_id", tk.ids_by_arrow(tokenizer)(lists).alias("ids")).select("doc_id", _as_text("ids"))
 
 
+def encode_kept_words(spark, sf_dir):
+    """Through a kept table of words; all but the most frequent ones come from the table."""
+    words = dct.WordDictionary(spark, shared_folder(spark, "words"), _tokenizer(spark, sf_dir))
+    return words.encode(_documents(spark, sf_dir), hot_words=HOT_WORDS).select("doc_id", _as_text("ids"))
+
+
 def decode_documents(spark, sf_dir):
     return tk.decode_documents(_encoded(spark, sf_dir, "documents"), _tokenizer(spark, sf_dir))
 
@@ -520,7 +529,7 @@ QUERIES = {
         delimited_files, delimited_ranges, special_split, pretokenize, pretokenize_runs, pretokenize_code_points, byte_sequences, special_encode, vocab_leak_check,
         pretoken_counts, corpus_stats, pair_stats, best_pair, top_pairs, apply_merge,
         train_exhausted, trained_vocab, base_vocab, extend_vocab, longest_tokens,
-        encode_words, encode_documents, encode_documents_arrow, decode_documents, token_strings, roundtrip_mismatches,
+        encode_words, encode_documents, encode_documents_arrow, encode_kept_words, decode_documents, token_strings, roundtrip_mismatches,
         token_counts, token_stream, lm_windows, lm_batch, lm_batch_fixed, stored_batch, stored_windows,
         embedding_lookup, vector_project, rms_normalize, group_softmax, attention_pool, causal_pool, cross_entropy,
         clip_l2_norm, encode_stream, stream_pretoken_counts,
