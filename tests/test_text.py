@@ -1,5 +1,7 @@
 import random
+import time
 
+import pytest
 from brute import split_specials, tokens
 from pyspark.sql import functions as F
 
@@ -81,3 +83,26 @@ def test_every_character_is_split_as_by_the_regex_module(spark):
     texts = ["".join(f"x{chr(c)}7{chr(c)} {chr(c)}y {chr(c)}{chr(c)}!{chr(c)}\n" for c in codes[i : i + 4096]) for i in range(0, len(codes), 4096)]
     found = by_doc(wd.pretokenize(frame(spark, texts).repartition(8), []).collect(), "tok_pos", "token")
     assert [found[i] for i in range(len(texts))] == [tokens(t) for t in texts]
+
+
+def test_young_letters_do_not_slow_a_text_down(spark):
+    """A few letters younger than Java's tables: the time of a text without any, but for a small factor."""
+    young = tx._younger(r"\p{L}") + tx._younger(r"\p{N}")
+    if not young:
+        pytest.skip("Java's tables are as new as those of the regex module")
+    found = spark.range(1).select(F.size(F.regexp_extract_all(F.lit(young + "aé1 ￿"), F.lit(tx._nested("".join(sorted(young)))), F.lit(0)))).first()
+    assert found[0] == len(young)
+    sign = "".join(map(chr, range(0x2190, 0x2400)))
+    texts = [(sign + " ") * 150 + "a", (sign + " ") * 150 + young[-1]]
+    assert tokens(texts[1][-1000:], []) == [r for r in spark.createDataFrame([(texts[1][-1000:],)], "t string").select(tx.pretokens(F.col("t"))).first()[0]]
+    took = []
+    for text in texts:
+        rows = spark.createDataFrame([(text,)] * 16, "t string").repartition(4).cache()
+        rows.count()
+        each = []
+        for _ in range(4):
+            start = time.perf_counter()
+            rows.select(F.size(tx.pretokens(F.col("t"))).alias("n")).agg(F.sum("n")).collect()
+            each.append(time.perf_counter() - start)
+        took.append(min(each))
+    assert took[1] < 4 * took[0] + 0.2

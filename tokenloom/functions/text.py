@@ -26,6 +26,21 @@ def code_ranges(characters: str) -> str:
     return "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in ranges)
 
 
+#: Ranges of a class that are tried one after the other.
+_TRIED = 12
+
+
+def _nested(characters: str) -> str:
+    """A character class, within brackets, of many ranges: tried only inside the bounds of all, then of each group of them.
+
+    Java tries the ranges of one class one by one, for each character of a text.
+    """
+    ranges = re.findall(r"(\\x\{\w+\})-(\\x\{\w+\})", code_ranges(characters))
+    groups = [ranges[i : i + _TRIED] for i in range(0, len(ranges), _TRIED)]
+    bounded = (f"[{g[0][0]}-{g[-1][1]}&&[{''.join('-'.join(r) for r in g)}]]" for g in groups)
+    return f"[{ranges[0][0]}-{ranges[-1][1]}&&[{''.join(bounded)}]]"
+
+
 @lru_cache(maxsize=None)
 def members(kind: str) -> str:
     """All characters of a class such as ``\\p{L}``, by the Unicode tables of the ``regex`` module."""
@@ -53,9 +68,9 @@ def pretokens(text: Column) -> Column:
         return plain
     wide = PRETOKEN_PATTERN
     for kind, characters in kinds.items():
-        wide = _widened(wide, kind, code_ranges(characters))
-    above = F.rlike(text, F.lit(f"[\\x{{{ord(young[0]):X}}}-\\x{{10FFFF}}]")) & F.rlike(text, F.lit(f"[{code_ranges(young)}]"))
-    return F.when(above, F.regexp_extract_all(text, F.lit("(?U)" + wide), F.lit(0))).otherwise(plain)
+        if characters:
+            wide = _widened(wide, kind, _nested(characters))
+    return F.when(F.rlike(text, F.lit(_nested(young))), F.regexp_extract_all(text, F.lit("(?U)" + wide), F.lit(0))).otherwise(plain)
 
 
 def _widened(pattern: str, kind: str, added: str) -> str:

@@ -231,12 +231,10 @@ def pretokenize_code_points(spark, sf_dir):
         F.transform(F.sequence(F.lit(0), F.lit(0x110000 // POINT_PARTS - 1)), lambda i: i * POINT_PARTS + F.pmod("doc_id", F.lit(POINT_PARTS)).cast("int")),
         lambda c: (c > 0) & ~c.between(0xD800, 0xE000))
 
-    def spread_out(code: Column) -> Column:
-        # As a whole text, the byte order mark would be taken for one.
-        c = F.when(code == 0xFEFF, F.lit("\ufeff")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        return F.concat(F.lit("x"), c, F.lit("7"), c, F.lit(" "), c, F.lit("y "), c, c)
-
-    text = F.concat(F.coalesce("text", F.lit("")), F.array_join(F.transform(codes, spread_out), ""))
+    # Decoded at once; the first of them is below 1024, so that no byte order mark is taken for one.
+    each = F.decode(F.unhex(F.array_join(F.transform(codes, lambda c: F.lpad(F.hex(c), 8, "0")), "")), "UTF-32")
+    spread_out = F.regexp_replace(each, "(?s)(?<c>.)", "x${c}7${c} ${c}y ${c}${c}")
+    text = F.concat(F.coalesce("text", F.lit("")), spread_out)
     words = tx.pretokens(F.col("text"))
     docs = _documents(spark, sf_dir).select("doc_id", text.alias("text")).select("doc_id", words.alias("words"))
     return docs.select("doc_id", F.size("words").cast("long").alias("n_tokens"), F.md5(F.array_join("words", "\n")).alias("digest"))
