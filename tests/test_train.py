@@ -152,3 +152,18 @@ def test_vocabulary_operators(spark):
     leaky = vb.vocab_frame(spark, [(0, b"a<|b", False), (1, b"<|s|>", True), (2, b"\xc3\xc7\xc0", False)])
     assert [r.token_id for r in vb.special_leaks(leaky).collect()] == [0]
     assert [bytes.fromhex(r.token_hex) for r in vb.longest_tokens(leaky, 2).collect()] == [b"<|s|>", b"a<|b"]
+
+
+def test_a_frequent_pair_is_dealt_to_several_tasks(spark, monkeypatch):
+    """A pair of all words: no file of the index holds more than a share of its postings."""
+    from tokenloom.plans import train as module
+
+    monkeypatch.setattr(module, "POSTINGS_PER_TASK", 100)
+    words = spark.range(2000).select(F.concat(F.lit("ab"), F.col("id").cast("string")).alias("word"), F.lit(1).cast("long").alias("n"))
+    index = _Index(spark, shared_folder(spark, "train-shares"), 1000, 8)
+    index.start(words, 2000)
+    index.merge([], [])
+    postings = index._read(index.parts)
+    assert postings.where("pair = 'ab'").count() == 2000 and postings.distinct().count() == index.rows
+    largest = postings.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert largest < 600

@@ -39,6 +39,8 @@ CANDIDATES = 1024
 RUNS = 100_000
 #: Words of one partition of the index.
 WORDS_PER_TASK = 200_000
+#: Postings that a task sorts and writes, about.
+POSTINGS_PER_TASK = 1 << 18
 #: Differences are put together with the index after so many rounds, or when they hold as many rows.
 ROUNDS_PER_EPOCH = 8
 
@@ -170,13 +172,17 @@ class _Index:
 
     def _add(self, words: DataFrame) -> int:
         """Postings of ``word, n`` in a folder of their own; how many."""
-        rows = words.where("length(word) > 1").select(F.explode(F.expr(_DISTINCT_PAIRS)).alias("pair"), "word", "n")
-        return self._add_rows(rows)
+        several = words.where("length(word) > 1")
+        rows = several.select(F.explode(F.expr(_DISTINCT_PAIRS)).alias("pair"), "word", "n")
+        return self._add_rows(rows, several.agg(F.coalesce(F.sum(F.length("word") - 1), F.lit(0)).alias("most")).first()["most"])
 
-    def _add_rows(self, rows: DataFrame) -> int:
+    def _add_rows(self, rows: DataFrame, most: int) -> int:
+        """Writes postings, ``most`` at most. A frequent pair has as many as there are words with it, so a bucket is dealt to several tasks."""
         self.step += 1
         path = f"{self.folder}/postings-{self.step}"
-        dealt = rows.withColumn("bucket", self._bucket("pair")).repartition(self.buckets, "bucket")
+        shares = max(1, math.ceil(most / (self.buckets * POSTINGS_PER_TASK)))
+        task = F.col("bucket") * shares + F.pmod(F.xxhash64("word"), F.lit(shares)).cast("int")
+        dealt = rows.withColumn("bucket", self._bucket("pair")).repartitionById(self.buckets * shares, task)
         dealt.sortWithinPartitions("bucket", "pair").write.partitionBy("bucket").parquet(path)
         self.parts.append(path)
         return self._read([path]).count()
@@ -264,7 +270,7 @@ class _Index:
         old = self.parts
         whole = self._read(old).groupBy("pair", "word").agg(F.sum("n").alias("n")).where("n > 0")
         self.parts = []
-        self.rows, self.added = self._add_rows(whole), 0
+        self.rows, self.added = self._add_rows(whole, self.rows + self.added), 0
         for path in old:
             delete(self.spark, path)
 
