@@ -182,3 +182,19 @@ def test_ranges_of_files(spark, tmp_path):
     for path in (folder, folder + "/none"):
         with pytest.raises(Exception):
             src.read_delimited(spark, path).count()
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Ranges of 100 bytes in files of all sizes: each read on its own, but not each in a task of its own."""
+    chance = random.Random(11)
+    sizes, expected, at = [0, 5, 60, 1, 300, 40], [], 0
+    (tmp_path / "in").mkdir()
+    for i, n in enumerate(sizes):
+        texts = ["x" * chance.choice([0, 3, 90, 800]) + str(chance.random()) for _ in range(n)]
+        (tmp_path / "in" / f"{i}.txt").write_text(EOT.join(texts))
+        for j, t in enumerate(texts):
+            expected.append((at, t))
+            at += len(t) + (len(EOT) if j + 1 < n else 0)
+    found = src.read_delimited(spark, str(tmp_path / "in"), range_bytes=100)
+    assert sorted(map(tuple, found.collect())) == expected
+    assert at // 100 > 1000 and 32 <= found.rdd.getNumPartitions() <= 100

@@ -15,6 +15,11 @@ SCHEMA = "doc_id bigint, path string, start bigint, content binary"
 RANGE_BYTES = 128 << 20
 BLOCK_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
+#: Small ranges, one after the other, that a task reads on their own: so many bytes, as long as there are a few tasks.
+TASK_BYTES = 16 << 20
+LEAST_TASKS = 64
+#: Bytes of one read in a small range.
+LEAST_BLOCK = 1 << 12
 #: Files whose bytes are not those of their documents.
 COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
 
@@ -81,9 +86,11 @@ def _opened(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
 
 
-class ByteRange(InputPartition):
-    def __init__(self, path: str, before: int, start: int, end: int):
-        self.path, self.before, self.start, self.end = path, before, start, end
+class ByteRanges(InputPartition):
+    """``path, before, start, end`` of ranges that one task reads: ``step`` bytes each, all of one file or whole files."""
+
+    def __init__(self, runs: list[tuple[str, int, int, int]], step: int):
+        self.runs, self.step = runs, step
 
 
 class _File(NamedTuple):
@@ -116,39 +123,44 @@ class DelimitedReader(DataSourceReader):
         if not self.delimiter or self.range_bytes < 1:
             raise ValueError("the delimiter and the ranges need a byte at least")
 
-    def partitions(self) -> list[ByteRange]:
-        """Ranges of each file; as many as Spark would make splits, and the only thing the driver holds."""
-        ranges, before = [], 0
-        for path, size in _files(self.path):
-            ranges += [
-                ByteRange(path, before, low, min(size, low + self.range_bytes)) for low in range(0, size, self.range_bytes)
-            ]
+    def partitions(self) -> list[ByteRanges]:
+        """Ranges of each file, put together up to the size of a task: the only thing the driver holds."""
+        files = _files(self.path)
+        most = min(TASK_BYTES, sum(f.size for f in files) // LEAST_TASKS)
+        span = max(1, most // self.range_bytes) * self.range_bytes
+        tasks, before, held = [], 0, span
+        for path, size in files:
+            for low in range(0, size, span):
+                run = (path, before, low, min(size, low + span))
+                if held + run[3] - low > span:
+                    tasks.append([])
+                    held = 0
+                tasks[-1].append(run)
+                held += run[3] - low
             before += size
-        return ranges or [ByteRange("", 0, 0, 0)]
+        return [ByteRanges(runs, self.range_bytes) for runs in tasks or [[]]]
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        if partition.start == partition.end:
-            return
-        files, _ = _opened(self.path)
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
         names, types = ["doc_id", "path", "start", "content"], [pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
-        def batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-            starts, contents = zip(*rows)
-            columns = [[partition.before + s for s in starts], [partition.path] * len(rows), starts, contents]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-        with files.open_input_file(partition.path) as file:
-            rows, held = [], 0
-            for start, content in documents(
-                lambda at, n: file.read_at(n, at), partition.start, partition.end, self.delimiter
-            ):
-                rows.append((start, content))
-                held += len(content) + 64
-                if held >= BATCH_BYTES:
-                    yield batch(rows)
-                    rows, held = [], 0
-            if rows:
-                yield batch(rows)
+        def batch(rows: list[tuple[int, str, int, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+        rows, held = [], 0
+        for path, before, first, last in partition.runs:
+            with _opened(self.path)[0].open_input_file(path) as file:
+                for low in range(first, last, partition.step):
+                    high = min(last, low + partition.step)
+                    # A range reads little beyond itself.
+                    block = min(BLOCK_BYTES, max(high - low, LEAST_BLOCK))
+                    for start, content in documents(lambda at, n: file.read_at(n, at), low, high, self.delimiter, block):
+                        rows.append((before + start, path, start, content))
+                        held += len(content) + 64
+                        if held >= BATCH_BYTES:
+                            yield batch(rows)
+                            rows, held = [], 0
+        if rows:
+            yield batch(rows)
 
 
 class DelimitedSource(DataSource):
