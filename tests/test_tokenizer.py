@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import encode, encode_word, train
 from pyspark.sql import functions as F
@@ -125,3 +128,28 @@ def test_missing_specials_are_added(spark):
     assert (tokenizer.ids[EOT.encode()], tokenizer.ids[b"<|b|>"]) == (256, 257)
     with pytest.raises(ValueError, match="more than 10"):
         tk.Tokenizer.from_tables(vocab, merges, max_tokens=10)
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 7, 1000])
+def test_ids_are_put_in_place_in_parts_of_any_size(at_once):
+    rng = random.Random(at_once)
+    lists = [None if rng.random() < 0.1 else [rng.randrange(4) for _ in range(rng.choice([0, 1, 5, 30]))] for _ in range(40)]
+    arrow = pa.array(lists, pa.list_(pa.int32())).slice(3)
+    sizes, pool = np.array([0, 1, 2, 5]), np.array([10, 20, 21, 50, 51, 52, 53, 54], dtype=np.int32)
+    ids = [[], [10], [20, 21], [50, 51, 52, 53, 54]]
+    found = tk.gathered(arrow, arrow.flatten().to_numpy(), sizes, pool, at_once)
+    assert found.to_pylist() == [None if codes is None else [i for c in codes for i in ids[c]] for codes in lists[3:]]
+    none = pa.array([], pa.list_(pa.int32()))
+    assert tk.gathered(none, none.flatten().to_numpy(), sizes, pool, at_once).to_pylist() == []
+
+
+def test_memory_of_ids_put_in_place_is_bounded():
+    """Beside the ids themselves, four bytes each, only what a part needs is held: also in one long row."""
+    n = 4_000_000
+    codes = np.zeros(n, dtype=np.int32)
+    lists = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(codes))
+    tracemalloc.start()
+    found = tk.gathered(lists, codes, np.array([1]), np.array([7], dtype=np.int32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found.values) == n and peak < 4 * n + (40 << 20)

@@ -24,6 +24,8 @@ MAX_TOKENS = 10_000_000
 # Words up to this many bytes are merged by rescanning, longer ones with a queue.
 _SHORT_WORD = 48
 _WORD_CACHE = 500_000
+# Tokens whose ids are put in place at once.
+_AT_ONCE = 1 << 18
 
 
 @dataclass
@@ -183,13 +185,25 @@ def merge_word(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes
     return [part for part in parts if part is not None]
 
 
-def gathered(lists: pa.Array, codes: np.ndarray, sizes: np.ndarray, pool: np.ndarray) -> pa.ListArray:
-    """Lists of ids in place of lists of tokens: token i has code ``codes[i]``, whose ids are ``sizes[code]`` many in the pool."""
-    out_sizes = sizes[codes] if len(codes) else np.zeros(0, dtype=np.int64)
-    ends = np.concatenate([[0], np.cumsum(out_sizes)])
-    starts = (np.cumsum(sizes) - sizes)[codes] if len(codes) else out_sizes
-    values = pool[np.repeat(starts - ends[:-1], out_sizes) + np.arange(ends[-1])]
-    offsets = ends[list_bounds(lists)]
+def gathered(lists: pa.Array, codes: np.ndarray, sizes: np.ndarray, pool: np.ndarray, at_once: int = _AT_ONCE) -> pa.ListArray:
+    """Lists of ids in place of lists of tokens: token i has code ``codes[i]``, whose ids are ``sizes[code]`` many in the pool.
+
+    Beside the ids, only what a part of the tokens needs is held; a list may be longer than a part.
+    """
+    bounds, places = list_bounds(lists), np.cumsum(sizes) - sizes
+    offsets, n_values = np.zeros(len(bounds), dtype=np.int64), 0
+    values = np.empty(sum(int(sizes[codes[low : low + at_once]].sum()) for low in range(0, len(codes), at_once)), dtype=np.int32)
+    for low in range(0, len(codes), at_once):
+        own = codes[low : low + at_once]
+        lengths = sizes[own]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(places[own] - ends[:-1], lengths)
+        at += np.arange(len(at))
+        values[n_values : n_values + len(at)] = pool[at]
+        # Lists that end in this part.
+        first, last = np.searchsorted(bounds, [low, low + len(own)], side="right")
+        offsets[first:last] = n_values + ends[bounds[first:last] - low]
+        n_values += len(at)
     mask = lists.is_null() if lists.null_count else None
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), mask=mask)
 
