@@ -273,3 +273,22 @@ def test_long_texts_are_encoded_in_parts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     assert len(rows[0][1]) > 1 << 22
     checked_pieces(packing.packed(docs, queries.word_tokenizer_file()).collect(), rows)
+
+
+def test_subtrees_of_a_group_in_many_batches():
+    """Batches with other strings, or the same ones in another order, give the counts of the whole group."""
+    from tokenloom.llm import phrases as module
+
+    names = ["group_no", "lang", "pair", "third", "n"]
+    rows = [(0, "en", f"a {i % 3}", "bc"[i % 2], 1) for i in range(24)] + [(1, "de", "x y", "", 5)]
+
+    def batches(size):
+        kinds = [module.pa.int32(), module.pa.string(), module.pa.string(), module.pa.string(), module.pa.int64()]
+        for low in range(0, len(rows), size):
+            columns = zip(*rows[low : low + size])
+            yield module.pa.RecordBatch.from_arrays([module.pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    expected = {("en", f"a {i}", 8) for i in range(3)} | {("en", f"a {i} {t}", 4) for i in range(3) for t in "bc"} | {("de", "x y", 5)}
+    for size in (1, 5, 100):
+        found = [tuple(r.values()) for b in module._subtrees(2)(batches(size)) for r in b.to_pylist()]
+        assert len(found) == len(expected) and set(found) == expected

@@ -190,7 +190,8 @@ def _subtrees(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, ["group_no"]):
-            lang, pair, third = (group[c].combine_chunks().dictionary_encode() for c in ("lang", "pair", "third"))
+            # Batch by batch, so that the strings of a group are not copied once more.
+            lang, pair, third = (group[c].dictionary_encode().combine_chunks() for c in ("lang", "pair", "third"))
             times = group["n"].to_numpy()
             node = pair.indices.to_numpy().astype(np.int64) * len(lang.dictionary) + lang.indices.to_numpy()
             totals = np.zeros(len(pair.dictionary) * len(lang.dictionary), np.int64)
