@@ -153,3 +153,28 @@ def test_memory_of_ids_put_in_place_is_bounded():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found.values) == n and peak < 4 * n + (40 << 20)
+
+
+def test_words_are_merged_side_by_side(monkeypatch):
+    rng = random.Random(2)
+    parts = [b"a", b"b", b"aa", b"ab", b"ba", b"aaa", b"bb", b"abab"]
+    for n in range(60):
+        merges = train(CORPUS, 40) if n == 0 else [(rng.choice(parts), rng.choice(parts)) for _ in range(n % 15)]
+        tokens = dict.fromkeys([*(bytes([b]) for b in range(256)), *(t for l, r in merges for t in (l, r, l + r))])
+        ids = {token: i for i, token in enumerate(tokens)}
+        lengths = (0, 1, 2, 3, 7, 20, 48, 49, 90)
+        words = [bytes(rng.choice(b"athe n" if n == 0 else b"aab") for _ in range(rng.choice(lengths))) for _ in range(100)]
+        longer, table = [], tk.MergeTable(merges, ids)
+        ranks = {pair: rank for rank, pair in enumerate(merges)}
+        plain = tk.merge_word
+        monkeypatch.setattr(tk, "_SIDE_BY_SIDE", 30)
+        monkeypatch.setattr(tk, "merge_word", lambda word, ranks: longer.append(word) or plain(word, ranks))
+        sizes, pool = table.word_ids(words)
+        monkeypatch.undo()
+        # Only words beyond the bound are merged one by one.
+        assert longer == [w for w in words if len(w) > tk._SHORT_WORD]
+        expected = [[ids[part] for part in plain(w, ranks)] for w in words]
+        assert sizes.tolist() == [len(e) for e in expected] and pool.tolist() == [i for e in expected for i in e]
+        assert expected == [[ids[part] for part in encode_word(w, list(dict.fromkeys(reversed(merges)))[::-1])] for w in words]
+    with pytest.raises(KeyError):
+        tk.MergeTable([(b"a", b"b")], {b"a": 1, b"b": 2}).word_ids([b"xab"])

@@ -21,8 +21,9 @@ from tokenloom.operators.positions import count_below
 EXPRESSION_MERGES = 32
 # Vocabulary and merges are held by the driver and each task; a larger table is refused when it is loaded.
 MAX_TOKENS = 10_000_000
-# Words up to this many bytes are merged by rescanning, longer ones with a queue.
+# Words up to this many bytes are merged side by side, so many at once, longer ones with a queue.
 _SHORT_WORD = 48
+_SIDE_BY_SIDE = 1 << 16
 _WORD_CACHE = 500_000
 # Tokens whose ids are put in place at once.
 _AT_ONCE = 1 << 18
@@ -150,16 +151,6 @@ def _ids_of_symbols(tokenizer: Tokenizer, table: sym.SymbolTable):
 def merge_word(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
     """Repeat: merge the adjacent pair of lowest rank, leftmost first, until none is left."""
     parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
-    if len(parts) <= _SHORT_WORD:
-        worst = float("inf")
-        while len(parts) > 1:
-            found = [ranks.get(pair, worst) for pair in zip(parts, parts[1:])]
-            best = min(found)
-            if best == worst:
-                break
-            at = found.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
     following = list(range(1, len(parts) + 1))
     preceding = list(range(-1, len(parts) - 1))
     end = len(parts)
@@ -185,6 +176,104 @@ def merge_word(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes
     return [part for part in parts if part is not None]
 
 
+class MergeTable:
+    """The merges as arrays over symbols: numbers of the bytes 0-255 and of every token that a merge names or makes."""
+
+    def __init__(self, merges: list[tuple[bytes, bytes]], ids: dict[bytes, int]):
+        self.tokens = list(dict.fromkeys([*(bytes([b]) for b in range(256)), *(t for l, r in merges for t in (l, r, l + r))]))
+        number = {token: i for i, token in enumerate(self.tokens)}
+        # A pair listed twice keeps its last rank.
+        self.ranks = {pair: rank for rank, pair in enumerate(merges)}
+        self.no_rank = len(merges)
+        rules = sorted((number[l] * len(self.tokens) + number[r], rank, number[l + r]) for (l, r), rank in self.ranks.items())
+        self.pairs, self.pair_ranks = (np.array([rule[i] for rule in rules], dtype=np.int64) for i in (0, 1))
+        self.made = np.zeros(self.no_rank + 1, dtype=np.int64)
+        self.made[self.pair_ranks] = [rule[2] for rule in rules]
+        left, right = np.divmod(self.pairs, len(self.tokens))
+        self.doubles = np.zeros(self.no_rank + 1, dtype=bool)
+        self.doubles[self.pair_ranks] = left == right
+        # The lowest rank of the pairs that hold a token: where it is higher than that of its own merge, nothing made by
+        # the merge comes before another place of the same pair, so all places of a word are merged at once.
+        lowest = np.full(len(self.tokens), self.no_rank, dtype=np.int64)
+        np.minimum.at(lowest, left, self.pair_ranks)
+        np.minimum.at(lowest, right, self.pair_ranks)
+        self.at_once = lowest[self.made] > np.arange(self.no_rank + 1)
+        self.ids = ids
+        self.symbol_ids = np.array([ids.get(token, 0) for token in self.tokens], dtype=np.int32)
+        self.has_id = np.array([token in ids for token in self.tokens])
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.pairs):
+            return np.full(len(left), self.no_rank, dtype=np.int64)
+        pairs = left * len(self.tokens) + right
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], self.no_rank)
+
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and the ids of all, in order."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        short = lengths <= _SHORT_WORD
+        sizes = np.zeros(len(words), dtype=np.int64)
+        side_by_side = [word for word, is_short in zip(words, short.tolist()) if is_short]
+        parts = [self._short_ids(side_by_side[i : i + _SIDE_BY_SIDE]) for i in range(0, len(side_by_side), _SIDE_BY_SIDE)]
+        sizes[short] = np.concatenate([np.empty(0, dtype=np.int64), *(n for n, _ in parts)])
+        short_pool = np.concatenate([np.empty(0, dtype=np.int32), *(own for _, own in parts)])
+        longer = [[self.ids[part] for part in merge_word(words[i], self.ranks)] for i in np.flatnonzero(~short).tolist()]
+        sizes[~short] = [len(own) for own in longer]
+        pool, is_short = np.empty(int(sizes.sum()), dtype=np.int32), np.repeat(short, sizes)
+        pool[is_short], pool[~is_short] = short_pool, [i for own in longer for i in own]
+        return sizes, pool
+
+    def _short_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge_word`` for many words side by side: each round merges the pair of lowest rank of each word."""
+        n_words = len(words)
+        symbols = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64)
+        word = np.repeat(np.arange(n_words), [len(w) for w in words])
+        done = []
+        ranks = np.full(len(symbols), self.no_rank, dtype=np.int64)  # of a symbol and the next one
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        ranks[inner] = self.rank_of(symbols[inner], symbols[inner + 1])
+        while len(symbols):
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            sizes = np.diff(np.append(starts, len(word)))
+            best = np.minimum.reduceat(ranks, starts)
+            open_words = best < self.no_rank
+            if not open_words.all():
+                kept = np.repeat(open_words, sizes)
+                done.append((word[~kept], symbols[~kept]))
+                symbols, word, ranks = symbols[kept], word[kept], ranks[kept]
+                best, sizes = best[open_words], sizes[open_words]
+                if not len(symbols):
+                    break
+            at = np.flatnonzero(ranks == np.repeat(best, sizes))
+            rank = ranks[at]
+            first = np.append(True, word[at[1:]] != word[at[:-1]])
+            taken = first | self.at_once[rank]
+            if self.doubles[rank].any():
+                # Of places that overlap, every other one from the left.
+                new = first | np.append(True, np.diff(at) > 1)
+                place = np.arange(len(at))
+                taken &= ~self.doubles[rank] | ((place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0)
+            at = at[taken]
+            symbols[at] = self.made[rank[taken]]
+            left = np.ones(len(symbols), dtype=bool)
+            left[at + 1] = False
+            at -= np.arange(len(at))
+            symbols, word, ranks = symbols[left], word[left], ranks[left]
+            # Only pairs with a symbol that is new have another rank.
+            near = np.concatenate([at, at[at > 0] - 1])
+            near = near[near < len(symbols) - 1]
+            ranks[at] = self.no_rank
+            near = near[word[near] == word[near + 1]]
+            ranks[near] = self.rank_of(symbols[near], symbols[near + 1])
+        word, symbols = (np.concatenate([np.empty(0, dtype=np.int64), *x]) for x in zip(*done)) if done else (word, symbols)
+        order = np.argsort(word, kind="stable")
+        word, symbols = word[order], symbols[order]
+        if not self.has_id[symbols].all():
+            raise KeyError(self.tokens[int(symbols[~self.has_id[symbols]][0])])
+        return np.bincount(word, minlength=n_words), self.symbol_ids[symbols]
+
+
 def gathered(lists: pa.Array, codes: np.ndarray, sizes: np.ndarray, pool: np.ndarray, at_once: int = _AT_ONCE) -> pa.ListArray:
     """Lists of ids in place of lists of tokens: token i has code ``codes[i]``, whose ids are ``sizes[code]`` many in the pool.
 
@@ -218,31 +307,31 @@ def ids_by_arrow(tokenizer: Tokenizer):
     """Arrow function from lists of tokens to lists of ids.
 
     Each batch is reduced to its distinct tokens by Arrow; only words the task has not
-    met before run the merge loop, everything else is a vectorized gather.
+    met before are merged, side by side, everything else is a vectorized gather.
     """
-    ids, specials = tokenizer.ids, frozenset(tokenizer.specials)
-    # A pair listed twice keeps its last rank.
-    ranks = {pair: rank for rank, pair in enumerate(tokenizer.merges)}
-
-    def word_ids(word: str, cache: dict[str, list[int]]) -> list[int]:
-        known = cache.get(word)
-        if known is None:
-            data = word.encode("utf-8")
-            known = [ids[data]] if word in specials else [ids[part] for part in merge_word(data, ranks)]
-            if len(cache) >= _WORD_CACHE:
-                cache.clear()
-            cache[word] = known
-        return known
+    table = MergeTable(tokenizer.merges, tokenizer.ids)
+    whole = {special: tokenizer.ids[special.encode("utf-8")] for special in tokenizer.specials}
+
+    def only_specials() -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        """The words met, by number; how many ids each has; the ids of all, in order."""
+        return dict(zip(whole, range(len(whole)))), np.ones(len(whole), dtype=np.int64), np.array(list(whole.values()), dtype=np.int32)
 
     @F.arrow_udf("array<int>")
     def token_lists_to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache: dict[str, list[int]] = {}
+        numbers, sizes, pool = only_specials()
         for lists in batches:
             words = lists.flatten().dictionary_encode()
-            encoded = [word_ids(word, cache) for word in words.dictionary.to_pylist()]
-            sizes = np.array([len(e) for e in encoded], dtype=np.int64)
-            pool = np.array([i for e in encoded for i in e], dtype=np.int32)
-            yield gathered(lists, words.indices.to_numpy(zero_copy_only=False), sizes, pool)
+            distinct = words.dictionary.to_pylist()
+            new = [word for word in distinct if word not in numbers]
+            if len(numbers) + len(new) > _WORD_CACHE:
+                numbers, sizes, pool = only_specials()
+                new = [word for word in distinct if word not in numbers]
+            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new))))
+            merged = table.word_ids([word.encode("utf-8") for word in new])
+            sizes, pool = np.concatenate([sizes, merged[0]]), np.concatenate([pool, merged[1]])
+            codes = np.fromiter(map(numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+            indices = words.indices.to_numpy(zero_copy_only=False)
+            yield gathered(lists, codes[indices] if len(indices) else codes, sizes, pool)
 
     return token_lists_to_ids
 
@@ -258,23 +347,27 @@ def encode_words(words: DataFrame, tokenizer: Tokenizer, token: str = "token") -
 
 
 def _lookup(tokenizer: Tokenizer, ids: Column) -> Column:
-    """Ids to the hex of their tokens, null for null; an id that is null or unknown is an error.
+    """Ids to the hex of their tokens, null for an id that is null or unknown; null for null.
 
     The table has one entry for each id that exists, in order. Where the ids have no gaps an
     id is its place; else the place is found by halving steps over the ids.
     """
     known = sorted(tokenizer.vocab)
     hexes = sym.string_table([tokenizer.vocab[i].hex().upper() for i in known])
-    unknown = F.raise_error(F.lit("unknown token id"))
 
     def place(token_id: Column) -> Column:
         if not known or known[-1] - known[0] + 1 == len(known):
-            return token_id - F.lit(known[0] if known else 0)
+            return token_id - F.lit(known[0]) if known and known[0] else token_id
         numbers = sym.string_table([str(i) for i in known]).cast("array<int>")
         at = count_below(numbers, len(known), token_id)
         return F.when(F.get(numbers, at) == token_id, at)
 
-    return F.transform(ids, lambda i: F.coalesce(F.get(hexes, place(i)), unknown))
+    return F.transform(ids, lambda i: F.get(hexes, place(i)))
+
+
+def _known(found: Column) -> Column:
+    """An id that is null or unknown is an error."""
+    return F.coalesce(found, F.raise_error(F.lit("unknown token id")))
 
 
 def decode(tokenizer: Tokenizer, ids: Column) -> Column:
@@ -282,13 +375,14 @@ def decode(tokenizer: Tokenizer, ids: Column) -> Column:
 
     The bytes of a token are one array access away, so decoding neither explodes nor joins.
     """
-    joined = F.concat_ws("", _lookup(tokenizer, ids))
-    return F.when(ids.isNotNull(), tx.utf8_replace(F.unhex(joined)))
+    # What is unknown is no hex, so one look at the bytes of a row tells.
+    joined = F.array_join(_lookup(tokenizer, ids), "", "?")
+    return F.when(ids.isNotNull(), tx.utf8_replace(_known(F.unhex(joined))))
 
 
 def decode_each(tokenizer: Tokenizer, ids: Column) -> Column:
     """Each id decoded on its own."""
-    return F.transform(_lookup(tokenizer, ids), lambda h: tx.utf8_replace(F.unhex(h)))
+    return F.transform(_lookup(tokenizer, ids), lambda h: tx.utf8_replace(F.unhex(_known(h))))
 
 
 def decode_documents(encoded: DataFrame, tokenizer: Tokenizer, key: str = "doc_id", ids: str = "ids") -> DataFrame:
