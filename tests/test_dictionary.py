@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from brute import encode, train
 from test_text import EOT, SPECIALS, TEXTS, frame
@@ -80,3 +81,38 @@ def test_versions_keep_tokenizers_and_unfinished_parts_apart(spark):
     assert one.table().first().ids != two.table().first().ids
     one._write(spark.createDataFrame([("torn", [1])], dct._SCHEMA))
     assert one.table().count() == 1 and len(listed(spark, f"{one.folder}/parts")) == 2
+
+
+def test_holes_of_many_rows_are_filled_side_by_side(monkeypatch):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(200):
+        own = {place: [rng.randrange(-3, 99) for _ in range(rng.randint(1, 4))] for place in range(rng.randint(0, 5))}
+        ids = [dct.HOLE if own and rng.random() < 0.4 else rng.randrange(99) for _ in range(rng.randint(0, 30))]
+        places = [rng.choice([*own]) for i in ids if i == dct.HOLE]
+        rows.append((ids, places, rng.sample([{"place": p, "ids": i} for p, i in own.items()], len(own))))
+    expected = []
+    for ids, places, words in rows:
+        lists, at = {w["place"]: w["ids"] for w in words}, iter(places)
+        expected.append([i for x in ids for i in (lists[next(at)] if x == dct.HOLE else [x])])
+    types = [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.struct([("place", pa.int32()), ("ids", pa.list_(pa.int32()))]))]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+    for at_once in (1, 50, 1 << 18):
+        monkeypatch.setattr(dct, "AT_ONCE", at_once)
+        assert dct._filled(*columns).to_pylist() == expected
+        assert dct._filled(*(c.slice(7, 90) for c in columns)).to_pylist() == expected[7:97]
+        assert dct._filled(*(c.slice(0, 0) for c in columns)).to_pylist() == []
+    hole = [pa.array(c, t) for c, t in zip(([[1, dct.HOLE, dct.HOLE]], [[0, 1]], [[{"place": 1, "ids": [5]}]]), types)]
+    with pytest.raises(ValueError, match="without its ids"):
+        dct._filled(*hole)
+
+
+def test_a_row_names_each_of_its_cold_words_once(spark):
+    docs = frame(spark, ["zz yy zz zz the", "the the", "", "yy"])
+    lists = tk.tx.tokens(tk.F.col("text"), SPECIALS)
+    found = docs.coalesce(1).select("doc_id", dct._known_ids([" the", "the"], [[1, 2], [3]])(lists).alias("found")).select("doc_id", "found.*")
+    rows = {r.doc_id: r for r in found.collect()}
+    hole = dct.HOLE
+    assert [list(rows[i].ids) for i in range(4)] == [[hole, hole, hole, hole, 1, 2], [3, 1, 2], [], [hole]]
+    assert [[rows[i].cold[p] for p in rows[i].places] for i in range(4)] == [["zz", " yy", " zz", " zz"], [], [], ["yy"]]
+    assert [len(set(rows[i].cold)) for i in range(4)] == [len(rows[i].cold) for i in range(4)] == [3, 0, 0, 1]

@@ -24,6 +24,8 @@ HOT_BYTES = 32 << 20
 COMPACT_PARTS = 16
 #: Stands for a word whose ids are still to come.
 HOLE = -(1 << 31)
+#: Rows with about so many ids are filled at once.
+AT_ONCE = 1 << 18
 _SCHEMA = "token string, ids array<int>"
 
 
@@ -35,10 +37,13 @@ def version_of(tokenizer: Tokenizer) -> str:
 
 
 def _known_ids(words: list[str], lists: list[list[int]]):
-    """Arrow function from lists of tokens to their ids, with a hole for each word not given, and these words in order."""
+    """Arrow function from lists of tokens to their ids, with a hole for each word not given.
+
+    ``cold`` has these words, each once, and ``places`` for each hole, in order, which of them it stands for.
+    """
     n_words = len(words)
 
-    @F.arrow_udf("struct<ids:array<int>,cold:array<string>>")
+    @F.arrow_udf("struct<ids:array<int>,places:array<int>,cold:array<string>>")
     def known_and_cold(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sizes = np.array([*map(len, lists), 1], dtype=np.int64)
         pool = np.array([*(i for ids in lists for i in ids), HOLE], dtype=np.int32)
@@ -48,28 +53,57 @@ def _known_ids(words: list[str], lists: list[list[int]]):
             places = pc.index_in(found.dictionary, value_set=known).fill_null(n_words).to_numpy(zero_copy_only=False)
             indices = found.indices.to_numpy(zero_copy_only=False)
             codes = places[indices] if len(indices) else np.zeros(0, dtype=np.int64)
-            is_cold = codes == n_words
-            before = np.concatenate([[0], np.cumsum(is_cold)])[list_bounds(tokens)]
-            cold_words = found.dictionary.take(pa.array(indices[is_cold], pa.int64())).cast(pa.string())
-            cold = pa.ListArray.from_arrays(pa.array(before, pa.int32()), cold_words)
-            yield pa.StructArray.from_arrays([gathered(tokens, codes, sizes, pool), cold], ["ids", "cold"])
+            holes, bounds = np.flatnonzero(codes == n_words), list_bounds(tokens)
+            row = np.searchsorted(bounds, holes, side="right") - 1
+            n_distinct = max(len(found.dictionary), 1)
+            once, at = np.unique(row * n_distinct + indices[holes], return_inverse=True)
+            ends = np.searchsorted(once, np.arange(len(bounds)) * n_distinct)
+            cold_words = found.dictionary.take(pa.array(once % n_distinct, pa.int64())).cast(pa.string())
+            parts = [
+                gathered(tokens, codes, sizes, pool),
+                pa.ListArray.from_arrays(pa.array(np.searchsorted(holes, bounds), pa.int32()), pa.array(at - ends[row], pa.int32())),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cold_words),
+            ]
+            yield pa.StructArray.from_arrays(parts, ["ids", "places", "cold"])
 
     return known_and_cold
 
 
-def _filled(ids: pa.Array, cold: pa.Array, words: pa.Array) -> pa.Array:
-    """Ids of a row with its holes filled in order by the ids of the cold words."""
-    rows = []
-    for row_ids, row_cold, row_words in zip(ids, cold.to_pylist(), words.to_pylist()):
-        known = {w["token"]: w["ids"] for w in row_words}
-        parts = [known[word] for word in row_cold]
-        row = row_ids.values.to_numpy(zero_copy_only=False)
-        sizes = np.ones(len(row), dtype=np.int64)
-        sizes[row == HOLE] = [len(part) for part in parts]
-        out = np.repeat(row, sizes)
-        out[np.repeat(row == HOLE, sizes)] = np.concatenate(parts)
-        rows.append(out)
-    return pa.array(rows, pa.list_(pa.int32()))
+def _filled(ids: pa.Array, places: pa.Array, words: pa.Array) -> pa.Array:
+    """Ids of rows with their holes filled in order by the ids of the words in these places."""
+    bounds = list_bounds(ids)
+    # Rows of about so many ids at once: beside the ids, only what these need is held.
+    cuts = np.unique([*np.searchsorted(bounds, np.arange(0, int(bounds[-1]), AT_ONCE)).tolist(), 0, len(ids)])
+    parts = [_filled_part(*(x.slice(low, high - low) for x in (ids, places, words))) for low, high in zip(cuts, cuts[1:])]
+    return pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
+
+
+def _filled_part(ids: pa.Array, places: pa.Array, words: pa.Array) -> pa.Array:
+    values, place = (x.flatten().to_numpy(zero_copy_only=False) for x in (ids, places))
+    holes = np.flatnonzero(values == HOLE)
+    row = np.repeat(np.arange(len(ids)), np.diff(list_bounds(places)))
+    found, first = words.flatten(), list_bounds(words)
+    # The words of a row come in any order; each place has one.
+    n_own, own_row = np.diff(first), np.repeat(np.arange(len(ids)), np.diff(first))
+    own_place = found.field("place").to_numpy(zero_copy_only=False)
+    if len(holes) != len(place) or (own_place >= n_own[own_row]).any() or (place >= n_own[row]).any():
+        raise ValueError("a word without its ids")
+    at = np.full(len(found), -1, dtype=np.int64)
+    at[first[own_row] + own_place] = np.arange(len(found))
+    if (at < 0).any():
+        raise ValueError("a word without its ids")
+    word = at[first[row] + place]
+    lists = found.field("ids")
+    pool, starts = lists.flatten().to_numpy(zero_copy_only=False), list_bounds(lists)
+    lengths = np.diff(starts)[word]
+    sizes = np.ones(len(values), dtype=np.int64)
+    sizes[holes] = lengths
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.repeat(values, sizes)
+    # The i-th of a word's ids goes to the i-th place after where its hole began.
+    nth = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(ends[holes], lengths) + nth] = pool[np.repeat(starts[word], lengths) + nth]
+    return pa.ListArray.from_arrays(pa.array(ends[list_bounds(ids)], pa.int32()), pa.array(out, pa.int32()))
 
 
 class WordDictionary:
@@ -144,14 +178,15 @@ class WordDictionary:
             known(tx.tokens(F.col(text), self.tokenizer.specials)).alias("found"),
         )
         # Stored, so that row numbers are the same in all that follows.
-        rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "other", "found.ids", "found.cold"), "rows")
+        rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "other", "found.*"), "rows")
         has_cold = F.coalesce(F.size("cold") > 0, F.lit(False))
         waiting = rows.where(has_cold)
-        words = waiting.select("row", F.explode(F.array_distinct("cold")).alias("token")).join(self.table(), "token")
-        words = words.groupBy("row").agg(F.collect_list(F.struct("token", "ids")).alias("words"))
+        words = waiting.select("row", F.posexplode("cold").alias("place", "token")).join(self.table(), "token")
+        words = words.groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("words"))
         # A row without its words is an error, not a row that goes.
-        none = F.array().cast("array<struct<token:string,ids:array<int>>>")
+        none = F.array().cast("array<struct<place:int,ids:array<int>>>")
         fill = F.arrow_udf(_filled, "array<int>")
-        filled = waiting.join(words, "row", "left").select("other", fill("ids", "cold", F.coalesce("words", none)).alias("ids"))
+        waiting = waiting.select("row", "other", "ids", "places").join(words, "row", "left")
+        filled = waiting.select("other", fill("ids", "places", F.coalesce("words", none)).alias("ids"))
         both = rows.where(~has_cold).select("other", "ids").unionByName(filled)
         return both.select(*(F.col(f"other.c{i}").alias(c) for i, c in enumerate(others)), F.col("ids").alias(ids))
