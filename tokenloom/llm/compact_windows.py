@@ -303,6 +303,8 @@ GAIN, COST = _RATIO.denominator - _RATIO.numerator, _RATIO.numerator
 
 def _longest(gains: np.ndarray) -> tuple[int, int]:
     """The longest span whose gains have a sum of zero or more, without losses at its ends."""
+    if len(gains) and gains.min() > 0:
+        return 0, len(gains)
     sums = np.concatenate([[0], np.cumsum(gains)])
     best = np.maximum.accumulate(sums[::-1])[::-1]  # the greatest sum from here on
     reach = np.searchsorted(-best, -sums, side="right") - 1
@@ -311,26 +313,37 @@ def _longest(gains: np.ndarray) -> tuple[int, int]:
     return (start + int(good[0]), start + int(good[-1]) + 1) if len(good) else (0, 0)
 
 
-def _single(values: np.ndarray) -> np.ndarray:
-    """The places of values that occur once."""
-    order = np.argsort(values, kind="stable")
-    new = np.append(True, np.diff(values[order]) != 0)
-    return order[new & np.append(new[1:], True)]
+def _coded(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of both sequences as numbers from 0, so that a set of values is an array of flags."""
+    codes = np.unique(np.concatenate([a, b]), return_inverse=True)[1]
+    return codes[: len(a)], codes[len(a) :]
+
+
+def _members(codes: np.ndarray, n_codes: int) -> np.ndarray:
+    """For each number, whether it occurs."""
+    flags = np.zeros(n_codes, dtype=bool)
+    flags[codes] = True
+    return flags
 
 
 def _aligned(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of equal values of two sequences, rising in both: values that occur once in each, and equal neighbours of these."""
-    one, other = _single(a), _single(b)
-    _, x, y = np.intersect1d(a[one], b[other], assume_unique=True, return_indices=True)
-    one, other = one[x], other[y]
-    order = np.argsort(one)
-    one, other = one[order], other[order]
+    """Places of equal numbers of two sequences, rising in both: numbers that occur once in each, and equal neighbours of these."""
+    n_codes = 1 + max(int(a.max(initial=-1)), int(b.max(initial=-1)))
+    single = (np.bincount(a, minlength=n_codes) == 1) & (np.bincount(b, minlength=n_codes) == 1)
+    place = np.empty(n_codes, dtype=np.int64)
+    place[b] = np.arange(len(b))
+    one = np.flatnonzero(single[a])
+    other = place[a[one]]
     if (np.diff(other) < 0).any():
         chain = _rising(other.tolist())
         one, other = one[chain], other[chain]
     ones, others = np.concatenate([[-1], one, [len(a)]]), np.concatenate([[-1], other, [len(b)]])
     left, right = [one], [other]
-    for i in np.flatnonzero((np.diff(ones) > 1) & (np.diff(others) > 1)).tolist():
+    gaps = np.flatnonzero((np.diff(ones) > 1) & (np.diff(others) > 1))
+    # Only gaps whose first or last values are equal hold any.
+    forth_equal = (gaps > 0) & (a[ones[gaps] + 1] == b[others[gaps] + 1])
+    back_equal = (gaps < len(one)) & (a[ones[gaps + 1] - 1] == b[others[gaps + 1] - 1])
+    for i in gaps[forth_equal | back_equal].tolist():
         # Equal values beside those that occur once, from both ends of what lies between.
         between_a, between_b = a[ones[i] + 1 : ones[i + 1]], b[others[i] + 1 : others[i + 1]]
         n = min(len(between_a), len(between_b))
@@ -376,15 +389,13 @@ def _in_order(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
     return int(left[first]), int(left[last]) + 1, int(right[first]), int(right[last]) + 1
 
 
-def _passages(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """Spans that may be a passage: in the same order, then in any order with mismatches ever dearer, then without any."""
-    yield _in_order(a, b)
-    matched = np.isin(a, b)
-    # Twice COST on each side is as much as the similarity allows where both have as many mismatches.
-    for cost in (2 * COST, 4 * COST, GAIN * (len(a) + 1)):
-        start, end = _longest(np.where(matched, GAIN, -cost))
-        other = np.isin(b, a[start:end])
-        yield start, end, *_longest(np.where(other, GAIN, -cost))
+def _any_order(a: np.ndarray, b: np.ndarray, matched: np.ndarray, cost: int, n_codes: int, longer_than: int) -> tuple[int, int, int, int]:
+    """The longest span of ``a`` in which matches outweigh mismatches at ``cost``, and that of ``b`` in it; none if it is not longer."""
+    start, end = _longest(np.where(matched, GAIN, -cost))
+    if start == end or max(end - start, LEAST) <= longer_than:
+        return 0, 0, 0, 0
+    other = _members(a[start:end], n_codes)[b]
+    return start, end, *_longest(np.where(other, GAIN, -cost))
 
 
 def _padded(start: int, end: int, n: int) -> tuple[int, int]:
@@ -396,24 +407,37 @@ def _padded(start: int, end: int, n: int) -> tuple[int, int]:
 
 def compared(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """``a_start, a_end, b_start, b_end, similarity`` of the passages that two sequences share; ends are exclusive."""
+    if len(a) < LEAST or len(b) < LEAST:
+        return []
+    a, b = _coded(a, b)
+    n_codes = 1 + max(int(a.max()), int(b.max()))
+    in_b = _members(b, n_codes)
     found, open_spans = [], [(0, len(a))]
     while open_spans:
         low, high = open_spans.pop()
         if high - low < LEAST:
             continue
-        matched = np.flatnonzero(np.isin(a[low:high], b))
-        if not len(matched):
+        part = a[low:high]
+        is_matched = in_b[part]
+        matched = np.flatnonzero(is_matched)
+        # Where no shingle occurs twice, a passage has so many matches at least.
+        if not len(matched) or len(matched) < SIMILARITY * LEAST and np.bincount(part).max() == 1:
             continue
         best = None
-        for start, end, other_start, other_end in _passages(a[low:high], b):
+        # In the same order, then in any order with mismatches ever dearer, then without any.
+        # Twice COST on each side is as much as the similarity allows where both have as many mismatches.
+        for cost in (0, 2 * COST, 4 * COST, GAIN * (high - low + 1)):
+            length = best[1] - best[0] if best else 0
+            span = _any_order(part, b, is_matched, cost, n_codes, length) if cost else _in_order(part, b)
+            start, end, other_start, other_end = span
             if start == end or other_start == other_end:
                 continue
             start, end = (low + x for x in _padded(start, end, high - low))
             other_start, other_end = _padded(other_start, other_end, len(b))
-            if min(end - start, other_end - other_start) < LEAST or best and end - start <= best[1] - best[0]:
+            if min(end - start, other_end - other_start) < LEAST or end - start <= length:
                 continue
-            one, other = set(a[start:end].tolist()), set(b[other_start:other_end].tolist())
-            similarity = len(one & other) / len(one | other)
+            one, other = _members(a[start:end], n_codes), _members(b[other_start:other_end], n_codes)
+            similarity = np.count_nonzero(one & other) / np.count_nonzero(one | other)
             if similarity >= SIMILARITY:
                 best = start, end, other_start, other_end, similarity
                 if start <= low + matched[0] and low + matched[-1] < end:
