@@ -1,13 +1,17 @@
+import hashlib
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from brute import split_specials, tokens
 from pyspark.sql import functions as F
 
+from tokenloom.functions import runs
 from tokenloom.functions import text as tx
 from tokenloom.operators import documents as dc
 from tokenloom.operators import words as wd
+from tokenloom.session import with_arrow_batches
 
 EOT = tx.END_OF_TEXT
 SPECIALS = [EOT, EOT * 2]
@@ -106,3 +110,65 @@ def test_young_letters_do_not_slow_a_text_down(spark):
             each.append(time.perf_counter() - start)
         took.append(min(each))
     assert took[1] < 4 * took[0] + 0.2
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 50, 1 << 19])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_pretokens_cut_by_arrays_equal_plain_python(monkeypatch, at_once, kind):
+    monkeypatch.setattr(runs, "_AT_ONCE", at_once)
+    rng = random.Random(3)
+    parts = [*" '\n\tab sdmtlverSLé1٣!?\u3000\u00a0🙃\U00020000\U000323b0\x1c\x85\u200b\x00", "'ll", "'ve", "'re", "'s", " '"]
+    cut = runs.pretoken_lists(*tx._class_bounds()).func
+    for longest in (2, 4, 12):
+        texts = [*TEXTS, *("".join(rng.choices(parts, k=rng.randrange(longest))) if rng.random() < 0.9 else None for _ in range(3000))]
+        expected = [None if t is None else tokens(t) for t in texts]
+        assert cut(pa.array(texts, kind)).to_pylist() == expected
+        assert cut(pa.array(texts, kind).slice(5, 100)).to_pylist() == expected[5:105]
+        joined = runs.pretoken_lists(*tx._class_bounds(), runs.sizes_and_digests("\n")).func(pa.array(texts, kind)).to_pylist()
+        assert [(j["size"], j["digest"]) for j in joined] == [
+            (None, None) if e is None else (len(e), hashlib.md5("\n".join(e).encode()).hexdigest()) for e in expected]
+    for few in ([], [None], [""], ["", None]):
+        assert cut(pa.array(few, kind)).to_pylist() == [None if t is None else [] for t in few]
+
+
+def test_pretokens_of_malformed_bytes_equal_those_of_the_jvm(spark):
+    rng = random.Random(1)
+    some = bytes.fromhex("41202773C3C2C0A9E0E282ACF09F99838F90F4F5F7F8EE80BFEFFFEDA09F")
+    blobs = [bytes(rng.choices(some, k=rng.randrange(10))) for _ in range(5000)] + [None, b"", "é 'll".encode()]
+    rows = spark.createDataFrame([(b and bytearray(b),) for b in blobs], "b binary").select(F.col("b").cast("string").alias("t"))
+    assert rows.select(tx.pretokens(F.col("t")).alias("x"), tx.matched(F.col("t")).alias("y")).where("NOT x <=> y").count() == 0
+
+
+def test_sizes_and_digests_equal_built_in_functions(spark):
+    lists = [[], ["a"], ["", ""], ["é", "\n", "b c"], ["🙃"] * 1000, ["x"] * 300_000, None]
+    rows = spark.createDataFrame([(x,) for x in lists], "words array<string>").coalesce(1)
+    found = rows.select(F.arrow_udf(*runs.sizes_and_digests("\n"))(F.col("words")).alias("f"), F.size("words").alias("n"), F.md5(F.array_join("words", "\n")).alias("d"))
+    assert found.where("NOT (f.size <=> n AND f.digest <=> d)").count() == 0
+
+
+def test_smaller_batches_leave_the_session_as_it_is(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = dict(spark.conf.getAll)
+    own = with_arrow_batches(spark, 1 << 20)
+    assert dict(spark.conf.getAll) == before and dict(own.conf.getAll) == before | {key: str(1 << 20)}
+    most = F.arrow_udf(lambda texts: pa.array([texts.nbytes] * len(texts), pa.int64()), "long")
+    sizes = own.range(0, 400, 1, 1).select(F.concat(F.col("id").cast("string"), F.lit("x" * 50_000)).alias("t")).select(most("t").alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] < 2 << 20
+
+
+def test_texts_of_all_characters_take_less_time_than_the_plain_pattern(spark):
+    """Characters of all planes, young letters among them; Java's own matching, without these letters, is the measure."""
+    codes = [c for c in range(1, 0x110000, 512) if not 0xD800 <= c <= 0xE000]
+    text = "".join(f"x{chr(c)}7{chr(c)} {chr(c)}y {chr(c)}{chr(c)}" for c in codes)
+    rows = spark.range(512).select(F.concat(F.col("id").cast("string"), F.lit(text)).alias("t")).repartition(4).cache()
+    assert rows.count() == 512
+    took = []
+    for lists in (tx.pretokens(F.col("t")), F.regexp_extract_all("t", F.lit("(?U)" + tx.PRETOKEN_PATTERN), F.lit(0))):
+        each = []
+        for _ in range(3):
+            start = time.perf_counter()
+            rows.select(F.size(lists).alias("n")).agg(F.sum("n")).collect()
+            each.append(time.perf_counter() - start)
+        took.append(min(each))
+    rows.unpersist()
+    assert took[0] < took[1]

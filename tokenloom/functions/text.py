@@ -1,12 +1,16 @@
 """Column expressions over text: splitting, pre-tokens, bytes, UTF-8 repair."""
 
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import regex
 from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+from tokenloom.functions import runs
 
 # Fixed value: the pre-token pattern every result depends on.
 PRETOKEN_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -54,9 +58,23 @@ def _younger(kind: str) -> str:
     return java.matcher(members(kind)).replaceAll("")
 
 
-def pretokens(text: Column) -> Column:
+@lru_cache(maxsize=None)
+def _class_bounds() -> tuple[list[int], list[int]]:
+    return runs.class_bounds(*map(members, (r"\p{L}", r"\p{N}", r"\s")))
+
+
+def pretokens(text: Column, then: tuple[Callable, DataType] | None = None) -> Column:
     """All pre-tokens of a text, in order, by the Unicode tables of the ``regex`` module.
 
+    An Arrow function cuts whole batches; ``matched`` gives the same by built-in expressions. ``then``, a function from
+    Arrow lists to an Arrow array and its type, works on the lists where they are made, some texts at a time.
+    """
+    return runs.pretoken_lists(*_class_bounds(), then)(text)
+
+
+def matched(text: Column) -> Column:
+    """Pre-tokens by built-in expressions, which may stand inside of functions over arrays.
+
     ``(?U)`` makes ``\\s`` cover Unicode whitespace, which Java's default does not. Letters
     and numbers younger than Java's tables are added to the classes, but only for texts that
     hold any, as long classes are slow.
@@ -111,13 +129,13 @@ def tokens(text: Column, specials: list[str]) -> Column:
 
     A plain piece never contains a special, so an element equal to a special is one.
     """
-    plain = pretokens(text)
+    plain = matched(text)
     if not specials:
         return plain
     mixed = F.flatten(
         F.transform(
             special_pieces(text, specials),
-            lambda piece: F.when(piece.isin(*specials), F.array(piece)).otherwise(pretokens(piece)),
+            lambda piece: F.when(piece.isin(*specials), F.array(piece)).otherwise(matched(piece)),
         )
     )
     return F.when(contains_any(text, specials), mixed).otherwise(plain)

@@ -8,6 +8,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.functions import runs
 from tokenloom.functions import symbols as sym
 from tokenloom.functions import text as tx
 from tokenloom.operators import dictionary as dct
@@ -18,7 +19,7 @@ from tokenloom.operators import vocab as vb
 from tokenloom.operators import windows as win
 from tokenloom.operators import words as wd
 from tokenloom.plans.train import train_bpe
-from tokenloom.session import is_folder, shared_folder, stored
+from tokenloom.session import is_folder, shared_folder, stored, with_arrow_batches
 from tokenloom.sources import artifacts as art
 from tokenloom.sources import blocks as blk
 from tokenloom.sources import corpus as src
@@ -34,6 +35,8 @@ N_EXHAUSTED = 12
 N_CHUNKS = 16
 #: Less than many a text has bytes.
 SMALL_RANGE = 1 << 16
+#: Bytes of an Arrow batch of long texts.
+SMALL_BATCH = 8 << 20
 CONTEXT = 16
 #: Fewer than the texts have words.
 HOT_WORDS = 4096
@@ -227,17 +230,22 @@ def pretokenize_code_points(spark, sf_dir):
     A text gets the code points that leave the same remainder as its id; together, texts get all but
     surrogates and the one that marks white space in the SQL.
     """
+    spark = with_arrow_batches(spark, SMALL_BATCH)
     codes = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(0x110000 // POINT_PARTS - 1)), lambda i: i * POINT_PARTS + F.pmod("doc_id", F.lit(POINT_PARTS)).cast("int")),
+        F.transform(F.sequence(F.lit(0), F.lit(0x110000 // POINT_PARTS - 1)), lambda i: i * POINT_PARTS + F.col("part").cast("int")),
         lambda c: (c > 0) & ~c.between(0xD800, 0xE000))
 
     # Decoded at once; the first of them is below 1024, so that no byte order mark is taken for one.
     each = F.decode(F.unhex(F.array_join(F.transform(codes, lambda c: F.lpad(F.hex(c), 8, "0")), "")), "UTF-32")
     spread_out = F.regexp_replace(each, "(?s)(?<c>.)", "x${c}7${c} ${c}y ${c}${c}")
-    text = F.concat(F.coalesce("text", F.lit("")), spread_out)
-    words = tx.pretokens(F.col("text"))
-    docs = _documents(spark, sf_dir).select("doc_id", text.alias("text")).select("doc_id", words.alias("words"))
-    return docs.select("doc_id", F.size("words").cast("long").alias("n_tokens"), F.md5(F.array_join("words", "\n")).alias("digest"))
+    # One row for each remainder, 25 MB in all: made once and sent to the tasks.
+    parts = spark.range(POINT_PARTS).withColumnRenamed("id", "part").select("part", spread_out.alias("spread_out"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.col("spread_out"))
+    docs = _documents(spark, sf_dir).withColumn("part", F.pmod("doc_id", F.lit(POINT_PARTS)).cast("long"))
+    docs = docs.join(F.broadcast(parts), "part", "left").select("doc_id", text.alias("text"))
+    words = tx.pretokens(F.col("text"), then=runs.sizes_and_digests("\n"))
+    found = docs.select("doc_id", words.alias("found"))
+    return found.select("doc_id", F.col("found.size").alias("n_tokens"), "found.digest")
 
 
 def byte_sequences(spark, sf_dir):

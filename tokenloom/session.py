@@ -28,6 +28,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
+def with_arrow_batches(spark: SparkSession, max_bytes: int) -> SparkSession:
+    """The session with all its settings once more, but for Arrow batches of about so many bytes.
+
+    A batch lies in memory several times: in the vectors of a task, in what it writes to its Python worker, and in the worker.
+    """
+    own = type(spark)(spark.sparkContext, spark._jsparkSession.cloneSession())
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(max_bytes))
+    return own
+
+
 #: Folders of this application. Tables may be read from them as long as it runs. Paths alone: functions that name a
 #: module of the package travel with it, and a session cannot.
 _made: list[str] = []
